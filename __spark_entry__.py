@@ -18,9 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telvault.operators import features, marts, vault
-from telvault.operators.staging import stage
-from telvault.plans.silver import Windows, build_silver, support_posture
+from telvault.operators import catalog, features, metrics, quality, semantic
+from telvault.operators.staging import STAGING_COLUMNS, stage
+from telvault.plans import contracts
+from telvault.plans.silver import Windows, build_silver, customer_360, support_posture
+from telvault.schemas import COLUMN_TESTS, RELATIONSHIPS, RISK_BANDS
 from telvault.session import apply_runtime_conf
 from telvault.sources.star import BILLING_AS_OF, EVENT_AS_OF, StarSource
 
@@ -66,6 +68,128 @@ def _stage(table: str):
     return run
 
 
+# ---- data tests, rules, checks ----------------------------------------------
+def q_test_unique(spark, sf_dir):
+    return quality.run_column_tests(_star(spark, sf_dir).tables(), COLUMN_TESTS, kinds=("unique",))
+
+
+def q_test_not_null(spark, sf_dir):
+    return quality.run_column_tests(_star(spark, sf_dir).tables(), COLUMN_TESTS, kinds=("not_null",))
+
+
+def q_test_relationships(spark, sf_dir):
+    return quality.run_relationship_tests(_star(spark, sf_dir).tables(), RELATIONSHIPS)
+
+
+def _marts(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return {"mart_subscriber360_core": s.subscriber360_core, "mart_subscriber_health_scorecard": s.health_scorecard}
+
+
+def q_test_accepted_values(spark, sf_dir):
+    m = _marts(spark, sf_dir)
+    return quality._union([quality.test_accepted_values(df, "support_risk_band", RISK_BANDS, t)
+                           for t, df in m.items()])
+
+
+def q_test_mart_not_null(spark, sf_dir):
+    m = _marts(spark, sf_dir)
+    return quality._union([
+        quality.test_not_null(m["mart_subscriber360_core"], "mart_subscriber360_core",
+                              ["account_id", "service_id", "support_health_score"]),
+        quality.test_not_null(m["mart_subscriber_health_scorecard"], "mart_subscriber_health_scorecard",
+                              ["account_id", "service_id", "open_ticket_count_30d"])])
+
+
+def q_dq_rules(spark, sf_dir):
+    m = _marts(spark, sf_dir)
+    return quality._union([
+        quality.evaluate_rules(m["mart_subscriber360_core"], contracts.CORE_RULES, "mart_subscriber360_core"),
+        quality.evaluate_rules(m["mart_subscriber_health_scorecard"], contracts.SCORECARD_RULES,
+                               "mart_subscriber_health_scorecard")])
+
+
+def q_schema_check(spark, sf_dir):
+    star = _star(spark, sf_dir)
+    core = build_silver(star.tables(), EVENT_AS_OF, BILLING_AS_OF).subscriber360_core
+    posture = support_posture(star.tables(), EVENT_AS_OF)
+    return quality._union([
+        quality.check_schema(core, contracts.CORE_SCHEMA, target="mart_subscriber360_core"),
+        quality.check_schema(posture, contracts.POSTURE_SCHEMA, target="support_posture")])
+
+
+RECONCILE_TABLES = ("party", "account", "product_offering", "service", "subscription", "usage_event", "invoice")
+
+
+def q_row_reconciliation(spark, sf_dir):
+    star = _star(spark, sf_dir)
+    src = {t: star.table(t) for t in RECONCILE_TABLES}
+    return quality.reconcile_counts(src, {t: stage(df, t) for t, df in src.items()})
+
+
+def q_freshness(spark, sf_dir):
+    star = _star(spark, sf_dir)
+    tables = {t: star.table(t) for t in RECONCILE_TABLES}
+    return quality.freshness(tables, contracts.LOADED_AT_FIELDS, EVENT_AS_OF, contracts.SILVER_FRESHNESS_HOURS)
+
+
+def q_data_metrics(spark, sf_dir):
+    return metrics.data_metrics(_star(spark, sf_dir).tables())
+
+
+def q_column_catalog(spark, sf_dir):
+    return catalog.column_catalog(_star(spark, sf_dir).tables())
+
+
+def q_classify_columns(spark, sf_dir):
+    return catalog.classify_columns(_star(spark, sf_dir).tables())
+
+
+# ---- metric layer, gold, masking ----------------------------------------------
+def q_metric_active_recurring_revenue(spark, sf_dir):
+    core = _silver(spark, sf_dir).subscriber360_core
+    return _portable(semantic.metric_query(
+        semantic.CORE_MODEL, core, ["active_recurring_revenue", "avg_support_health_score", "data_mb_30d"],
+        ["BILLING_STATUS"], grain="day", round_digits=2))
+
+
+def q_metric_support_health_by_band(spark, sf_dir):
+    sc = _silver(spark, sf_dir).health_scorecard
+    return _portable(semantic.metric_query(
+        semantic.SCORECARD_MODEL, sc, ["average_support_health", "open_ticket_pressure", "interaction_count_30d"],
+        ["SUPPORT_RISK_BAND"], round_digits=2))
+
+
+def q_customer_360(spark, sf_dir):
+    tables = _star(spark, sf_dir).tables()
+    b1 = build_silver(tables, EVENT_AS_OF, BILLING_AS_OF)
+    b2 = build_silver(tables, EVENT_AS_OF, BILLING_AS_OF, SHORT)
+    return _portable(customer_360([b1, b2]))
+
+
+def q_pii_masked_core(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    upstream = catalog.tag_columns(s.sat_account_profile, {"account_number": "pii"})
+    return _portable(catalog.mask(catalog.propagate_tags(upstream, s.subscriber360_core)))
+
+
+def _posture_part(fn):
+    def run(spark, sf_dir):
+        t = _star(spark, sf_dir).tables()
+        return _portable(fn(t))
+    return run
+
+
+POSTURE_PARTS = {
+    "usage_by_service_30d": _posture_part(
+        lambda t: features.usage_30d(t["usage_event"], EVENT_AS_OF, by_account=False)),
+    "interactions_by_account_30d": _posture_part(
+        lambda t: features.interactions_30d(t["customer_interaction"], EVENT_AS_OF, by_service=False)),
+    "open_tickets_all_time": _posture_part(lambda t: features.open_tickets(t["trouble_ticket"])),
+    "latest_lifecycle_event": _posture_part(lambda t: features.latest_lifecycle(t["service_lifecycle_event"])),
+}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the subscriber-360 core mart over the sf0.001 star tables."""
     return _silver_attr("subscriber360_core")(spark, SMOKE_DIR)
@@ -96,6 +220,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for t in ("party", "account", "product_offering", "service", "subscription", "usage_event", "invoice"):
         out[f"stg_{t}"] = _stage(t)
+    out.update({
+        "test_unique": q_test_unique, "test_not_null": q_test_not_null,
+        "test_relationships": q_test_relationships, "test_accepted_values": q_test_accepted_values,
+        "test_mart_not_null": q_test_mart_not_null, "dq_rules": q_dq_rules, "schema_check": q_schema_check,
+        "row_reconciliation": q_row_reconciliation, "freshness": q_freshness, "data_metrics": q_data_metrics,
+        "column_catalog": q_column_catalog, "classify_columns": q_classify_columns,
+        "metric_active_recurring_revenue": q_metric_active_recurring_revenue,
+        "metric_support_health_by_band": q_metric_support_health_by_band,
+        "customer_360": q_customer_360, "pii_masked_core": q_pii_masked_core,
+    })
+    out.update(POSTURE_PARTS)
     return out
 
 

@@ -2,11 +2,11 @@
 
 from telvault.functions.hashing import dv_hash, dv_hashdiff, stable_uuid
 from telvault.functions.scoring import (
-    health_score, money, risk_band, round_half_up, severity_weight,
+    exact_avg, health_score, money, risk_band, round_half_up, severity_weight,
 )
 from telvault.functions.windows import trailing_date_window, trailing_window
 
 __all__ = [
-    "dv_hash", "dv_hashdiff", "stable_uuid", "health_score", "money", "risk_band",
+    "dv_hash", "dv_hashdiff", "stable_uuid", "exact_avg", "health_score", "money", "risk_band",
     "round_half_up", "severity_weight", "trailing_date_window", "trailing_window",
 ]

@@ -51,3 +51,13 @@ def health_score(open_tickets: Column, interactions: Column, recurring_charge: C
            - F.least(interactions * INTERACTION_PENALTY, F.lit(INTERACTION_CAP))
            + F.least(mrc / F.lit(CHARGE_DIVISOR), F.lit(CHARGE_BONUS_CAP).cast("decimal(18,2)")))
     return F.round(raw.cast("decimal(24,6)"), 2).cast("decimal(18,2)")
+
+
+def exact_avg(c, digits: int = 2) -> Column:
+    """Average as exact decimal division, rounded half-up to ``digits``.
+
+    ``avg`` over decimals rounds the quotient to scale 6 before any
+    presentation rounding; sum/count at scale 10 avoids that double rounding.
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    return F.round(F.try_divide(F.sum(col.cast("decimal(38,10)")), F.count(col)), digits)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from telvault.functions.scoring import exact_avg
 from telvault.operators.features import interactions_30d, latest_lifecycle, open_tickets, usage_30d
 from telvault.operators.joins import bounded_broadcast
 
@@ -124,7 +125,7 @@ def _core_tiebreak() -> list:
 
 
 def _scorecard_tiebreak() -> list:
-    return [F.col("total_charges_30d").desc_nulls_last()] + _core_tiebreak()
+    return [F.col("total_charges_30d").desc_nulls_last()] + _core_tiebreak()[:4]
 
 
 def customer_360(cores: list[DataFrame], scorecards: list[DataFrame]) -> DataFrame:
@@ -140,8 +141,7 @@ def customer_360(cores: list[DataFrame], scorecards: list[DataFrame]) -> DataFra
            .agg(F.count_distinct("subscription_id").alias("subscription_count"),
                 F.count_distinct(F.when(F.col("service_status") == "active", F.col("service_id")))
                 .alias("active_service_count"),
-                F.round(F.avg("support_health_score").cast("decimal(24,6)"), 2).cast("decimal(18,2)")
-                .alias("avg_health_score"),
+                exact_avg("support_health_score", 2).cast("decimal(18,2)").alias("avg_health_score"),
                 F.bool_or(F.col("support_risk_band").isin("high", "critical")).alias("high_risk_flag"),
                 F.max("last_interaction_at").alias("last_interaction_at"),
                 F.max("snapshot_at").alias("snapshot_at")))

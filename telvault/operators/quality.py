@@ -31,6 +31,15 @@ def _test_row(target: str, column: str, test: str, failures) -> list:
             f.cast("bigint").alias("failures"), (f.cast("bigint") == 0).alias("passed")]
 
 
+def _rows(one_row: DataFrame, structs: list) -> DataFrame:
+    """Explode a one-row aggregate into report rows without re-running it per row."""
+    return one_row.select(F.inline(F.array(*structs)))
+
+
+def _test_struct(target: str, column: str, test: str, failures):
+    return F.struct(*_test_row(target, column, test, failures))
+
+
 # ---- dbt-style column tests ---------------------------------------------------
 def column_tests(df: DataFrame, target: str, tests: list[tuple[str, tuple[str, ...]]]) -> DataFrame:
     """unique / not_null tests of one table.
@@ -48,12 +57,13 @@ def column_tests(df: DataFrame, target: str, tests: list[tuple[str, tuple[str, .
         g = df.groupBy(F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
         stats = g.agg(F.count_if(F.col("__v").isNotNull() & (F.col("__n") > 1)).alias("dup"),
                       F.coalesce(F.sum(F.when(F.col("__v").isNull(), F.col("__n"))), F.lit(0)).alias("nul"))
-        frames.append(stats.select(*_test_row(target, col, "unique", F.col("dup"))))
+        structs = [_test_struct(target, col, "unique", F.col("dup"))]
         if "not_null" in t:
-            frames.append(stats.select(*_test_row(target, col, "not_null", F.col("nul"))))
+            structs.append(_test_struct(target, col, "not_null", F.col("nul")))
+        frames.append(_rows(stats, structs))
     if plain_nn:
         nn = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in plain_nn])
-        frames += [nn.select(*_test_row(target, c, "not_null", F.col(c))) for c in plain_nn]
+        frames.append(_rows(nn, [_test_struct(target, c, "not_null", F.col(c)) for c in plain_nn]))
     return _union(frames)
 
 
@@ -124,11 +134,11 @@ def _rule_measure(r: Rule):
     """
     c = F.col(r.selector)
     if r.type == "completeness":
-        v = F.count(c) / F.count(F.lit(1))
+        v = F.try_divide(F.count(c), F.count(F.lit(1)))
     elif r.type == "uniqueness":
-        v = F.count_distinct(c) / F.count(c)
+        v = F.try_divide(F.count_distinct(c), F.count(c))
     elif r.type == "valid_values":
-        v = F.count_if(c.isin(list(r.values))) / F.count(c)
+        v = F.try_divide(F.count_if(c.isin(list(r.values))), F.count(c))
     elif r.type == "accuracy":
         return F.min(c).cast("double")
     else:
@@ -142,13 +152,13 @@ def evaluate_rules(df: DataFrame, rules: list[Rule], target: str) -> DataFrame:
     rows = []
     for i, r in enumerate(rules):
         v = F.col(f"__r{i}")
-        rows.append(m.select(
+        rows.append(F.struct(
             F.lit(target).alias("target"), F.lit(r.id).alias("rule_id"), F.lit(r.type).alias("rule_type"),
             F.lit(r.selector).alias("selector"), v.alias("value"),
             F.lit(float(r.threshold)).alias("threshold"), F.lit(r.operator).alias("operator"),
             F.lit(r.severity).alias("severity"),
             F.coalesce(_OPS[r.operator](v, F.lit(float(r.threshold))), F.lit(False)).alias("passed")))
-    return _union(rows)
+    return _rows(m, rows)
 
 
 class QualityError(RuntimeError):
@@ -181,7 +191,8 @@ SCHEMA_REPORT_SCHEMA = ("column_name string, expected_type string, actual_type s
                         "null_count bigint, status string, passed boolean")
 
 
-def check_schema(df: DataFrame, contract: list[tuple[str, str, bool]], strict: bool = True) -> DataFrame:
+def check_schema(df: DataFrame, contract: list[tuple[str, str, bool]], strict: bool = True,
+                 target: str | None = None) -> DataFrame:
     """Strict schema check against (name, logical type, required) entries.
 
     One row per contract or frame column: ``ok``, ``added`` (in the frame
@@ -194,15 +205,15 @@ def check_schema(df: DataFrame, contract: list[tuple[str, str, bool]], strict: b
     actual = {f.name.lower(): f for f in df.schema.fields}
     expected = {n.lower(): (n, t.upper(), req) for n, t, req in contract}
     req_cols = [actual[k].name for k, (_, _, req) in expected.items() if req and k in actual]
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"__n_{c.lower()}") for c in req_cols]) \
-        if req_cols else df.sparkSession.range(1).select()
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"),
+                    *[F.count_if(F.col(c).isNull()).alias(f"__n_{c.lower()}") for c in req_cols])
     rows = []
     for k, (name, typ, req) in expected.items():
         if k not in actual:
-            rows.append(counts.select(F.lit(name).alias("column_name"), F.lit(typ).alias("expected_type"),
-                                      F.lit(None).cast("string").alias("actual_type"), F.lit(req).alias("required"),
-                                      F.lit(None).cast("bigint").alias("null_count"), F.lit("removed").alias("status"),
-                                      F.lit(False).alias("passed")))
+            rows.append(F.struct(F.lit(name).alias("column_name"), F.lit(typ).alias("expected_type"),
+                                 F.lit(None).cast("string").alias("actual_type"), F.lit(req).alias("required"),
+                                 F.lit(None).cast("bigint").alias("null_count"), F.lit("removed").alias("status"),
+                                 F.lit(False).alias("passed")))
             continue
         f = actual[k]
         fam_ok = isinstance(f.dataType, _FAMILIES.get(typ, (T.StringType,)))
@@ -214,17 +225,18 @@ def check_schema(df: DataFrame, contract: list[tuple[str, str, bool]], strict: b
             passed = (nulls == 0) | F.lit(not strict)
         else:
             status, passed = F.lit("ok"), F.lit(True)
-        rows.append(counts.select(F.lit(name).alias("column_name"), F.lit(typ).alias("expected_type"),
-                                  F.lit(f.dataType.simpleString()).alias("actual_type"), F.lit(req).alias("required"),
-                                  nulls.cast("bigint").alias("null_count"), status.alias("status"),
-                                  passed.alias("passed")))
+        rows.append(F.struct(F.lit(name).alias("column_name"), F.lit(typ).alias("expected_type"),
+                             F.lit(f.dataType.simpleString()).cast("string").alias("actual_type"),
+                             F.lit(req).alias("required"), nulls.cast("bigint").alias("null_count"),
+                             status.alias("status"), passed.alias("passed")))
     for k, f in actual.items():
         if k not in expected:
-            rows.append(counts.select(F.lit(f.name).alias("column_name"), F.lit(None).cast("string").alias("expected_type"),
-                                      F.lit(f.dataType.simpleString()).alias("actual_type"),
-                                      F.lit(False).alias("required"), F.lit(None).cast("bigint").alias("null_count"),
-                                      F.lit("added").alias("status"), F.lit(not strict).alias("passed")))
-    return _union(rows)
+            rows.append(F.struct(F.lit(f.name).alias("column_name"), F.lit(None).cast("string").alias("expected_type"),
+                                 F.lit(f.dataType.simpleString()).cast("string").alias("actual_type"),
+                                 F.lit(False).alias("required"), F.lit(None).cast("bigint").alias("null_count"),
+                                 F.lit("added").alias("status"), F.lit(not strict).alias("passed")))
+    out = _rows(counts, rows)
+    return out if target is None else out.select(F.lit(target).alias("target"), "*")
 
 
 def check_table_drift(spark, table_name: str, contract, strict: bool = True) -> DataFrame:
