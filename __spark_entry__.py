@@ -162,8 +162,10 @@ def q_metric_support_health_by_band(spark, sf_dir):
 
 def q_customer_360(spark, sf_dir):
     tables = _star(spark, sf_dir).tables()
-    b1 = build_silver(tables, EVENT_AS_OF, BILLING_AS_OF)
-    b2 = build_silver(tables, EVENT_AS_OF, BILLING_AS_OF, SHORT)
+    # each silver product's health satellite feeds its core and its scorecard:
+    # checkpoint it once (shared checkpoint folder) instead of building it twice
+    b1 = build_silver(tables, EVENT_AS_OF, BILLING_AS_OF, materialize=True)
+    b2 = build_silver(tables, EVENT_AS_OF, BILLING_AS_OF, SHORT, materialize=True)
     return _portable(customer_360([b1, b2]))
 
 

@@ -18,37 +18,57 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return df
 
 
-def wildcard_left_join(left: DataFrame, right: DataFrame, group_key: str, wildcard_key: str) -> DataFrame:
+def wildcard_matches(right: DataFrame, keys: DataFrame, group_key: str, wildcard_key: str) -> DataFrame:
+    """Right rows keyed for an equi-join that reproduces the NULL-as-wildcard condition.
+
+    Condition: ``l.g = r.g AND coalesce(l.w, '') = coalesce(r.w, l.w)``. The
+    probe key of a left row is ``(g, w IS NULL, coalesce(w, ''))``; this
+    returns, per right row, every probe key it satisfies:
+
+    * keyed row (w = k): ``(g, false, k)``, and also ``(g, true, '')`` when
+      k = '' (a NULL left key compares as '');
+    * wildcard row (w NULL): one row per distinct non-NULL left key of its
+      group, taken from ``keys`` (the left entity table, not an accumulated
+      join).
+
+    One pass over ``right``: a left join to the group's keys that only
+    wildcard rows can satisfy, then an ``explode`` of each row's probe keys.
+    Output is bounded by right rows + (left keys x wildcard rows per group).
+    """
+    rcols = [c for c in right.columns if c not in (group_key, wildcard_key)]
+    lk = (keys.select(F.col(group_key).alias("__g"), F.col(wildcard_key).alias("__lk"))
+          .filter(F.col("__lk").isNotNull() & F.col("__g").isNotNull())
+          .distinct())
+    w = F.col(wildcard_key)
+    x = right.join(lk, (F.col(group_key) == F.col("__g")) & w.isNull(), "left")
+
+    def probe(is_null, key):
+        return F.struct(F.lit(is_null).alias("__wnull"), key.cast("string").alias("__wkey"))
+
+    probes = (F.when(w.isNull(), F.array(probe(False, F.col("__lk"))))
+              .when(w == "", F.array(probe(False, w), probe(True, F.lit(""))))
+              .otherwise(F.array(probe(False, w))))
+    return (x.select(group_key, F.explode(probes).alias("__p"), *rcols)
+            .select(group_key, "__p.__wnull", "__p.__wkey", *rcols)
+            .filter(F.col("__wkey").isNotNull()))
+
+
+def wildcard_left_join(left: DataFrame, right: DataFrame, group_key: str, wildcard_key: str,
+                       keys: DataFrame | None = None) -> DataFrame:
     """``left LEFT JOIN right ON l.g = r.g AND coalesce(l.w, '') = coalesce(r.w, l.w)``.
 
     A right row whose ``wildcard_key`` is NULL matches every left row of its
-    group; a non-NULL one matches its own key. Rewritten as an equi-join:
-    NULL-key right rows are first expanded over the left keys of their group
-    (an equi-join on the group key), then unioned with the keyed right rows,
-    and one left equi-join on (group, key) follows. No theta join, no
-    nested loop. The expansion emits one row per (left key, wildcard row),
-    bounded by the left side; a hot group is a skewed equi-join that AQE
-    splits.
-
-    Left rows whose ``wildcard_key`` is NULL can only match a right row with
-    key '' (by the coalesce); they are joined separately on that literal.
+    group; a non-NULL one matches its own key. Rewritten as one left
+    equi-join on (group, NULL flag, key) -- no theta join, no nested loop --
+    against :func:`wildcard_matches`. ``keys`` is the frame the wildcard rows
+    expand over (default: ``left``); pass the entity table when ``left`` is
+    itself a join so that join is not evaluated twice. A hot group is a
+    skewed equi-join on the group key, which AQE splits.
     """
-    rcols = [c for c in right.columns if c not in (group_key, wildcard_key)]
-    keyed = right.filter(F.col(wildcard_key).isNotNull())
-    wild = right.filter(F.col(wildcard_key).isNull()).drop(wildcard_key)
-    left_keys = (left.select(group_key, wildcard_key)
-                 .filter(F.col(wildcard_key).isNotNull() & F.col(group_key).isNotNull())
-                 .distinct())
-    expanded = wild.join(left_keys, group_key).select(group_key, wildcard_key, *rcols)
-    matchable = keyed.select(group_key, wildcard_key, *rcols).unionByName(expanded)
-
-    lk = left.filter(F.col(wildcard_key).isNotNull())
-    nk = left.filter(F.col(wildcard_key).isNull())
-    joined = lk.join(matchable, [group_key, wildcard_key], "left")
-    # NULL left key: coalesce(NULL,'') = '' matches right rows keyed '' only.
-    blanks = keyed.filter(F.col(wildcard_key) == "").drop(wildcard_key)
-    joined_nk = nk.join(blanks, group_key, "left")
-    return joined.unionByName(joined_nk.select(joined.columns))
+    m = wildcard_matches(right, left if keys is None else keys, group_key, wildcard_key)
+    probe = left.withColumn("__wnull", F.col(wildcard_key).isNull()) \
+                .withColumn("__wkey", F.coalesce(F.col(wildcard_key), F.lit("")))
+    return probe.join(m, [group_key, "__wnull", "__wkey"], "left").drop("__wnull", "__wkey")
 
 
 def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:

@@ -87,8 +87,9 @@ def sat_service_support_health(dv_service: DataFrame, usage: DataFrame, interact
     u = usage.select(F.col("service_id").alias("__u_sid"), "usage_events_30d", "data_mb_30d",
                      F.col("snapshot_at").alias("u_snap"))
 
-    j = wildcard_left_join(s, i, "account_id", "service_id")
-    j = wildcard_left_join(j, t, "account_id", "service_id")
+    keys = s.select("account_id", "service_id")
+    j = wildcard_left_join(s, i, "account_id", "service_id", keys=keys)
+    j = wildcard_left_join(j, t, "account_id", "service_id", keys=keys)
     j = j.join(c, ["account_id", "service_id"], "left")
     j = j.join(u, j.service_id == u.__u_sid, "left")
 
