@@ -18,7 +18,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return df
 
 
-def wildcard_matches(right: DataFrame, keys: DataFrame, group_key: str, wildcard_key: str) -> DataFrame:
+# Wildcard rows are replicated into this many salt buckets so that the keys of
+# one hot group (say an account holding a third of all services) spread over
+# that many tasks; only wildcard rows (at most one per group and feature) are
+# replicated. Salts come from a hash of the key, so a retried task sees the
+# same assignment.
+WILDCARD_SALT_BUCKETS = 16
+
+
+def wildcard_matches(right: DataFrame, keys: DataFrame, group_key: str, wildcard_key: str,
+                     salt_buckets: int = WILDCARD_SALT_BUCKETS) -> DataFrame:
     """Right rows keyed for an equi-join that reproduces the NULL-as-wildcard condition.
 
     Condition: ``l.g = r.g AND coalesce(l.w, '') = coalesce(r.w, l.w)``. The
@@ -34,13 +43,20 @@ def wildcard_matches(right: DataFrame, keys: DataFrame, group_key: str, wildcard
     One pass over ``right``: a left join to the group's keys that only
     wildcard rows can satisfy, then an ``explode`` of each row's probe keys.
     Output is bounded by right rows + (left keys x wildcard rows per group).
+    The join is on (group, salt): keys carry ``hash(key) mod buckets``, each
+    wildcard row is copied once per bucket, keyed rows carry salt -1 and
+    pass through unmatched.
     """
     rcols = [c for c in right.columns if c not in (group_key, wildcard_key)]
+    n = max(1, int(salt_buckets))
     lk = (keys.select(F.col(group_key).alias("__g"), F.col(wildcard_key).alias("__lk"))
           .filter(F.col("__lk").isNotNull() & F.col("__g").isNotNull())
-          .distinct())
+          .distinct()
+          .withColumn("__ks", F.pmod(F.xxhash64("__lk"), F.lit(n)).cast("int")))
     w = F.col(wildcard_key)
-    x = right.join(lk, (F.col(group_key) == F.col("__g")) & w.isNull(), "left")
+    salted = right.withColumn("__rs", F.explode(F.when(w.isNull(), F.sequence(F.lit(0), F.lit(n - 1)))
+                                                 .otherwise(F.array(F.lit(-1)))))
+    x = salted.join(lk, (F.col(group_key) == F.col("__g")) & (F.col("__rs") == F.col("__ks")), "left")
 
     def probe(is_null, key):
         return F.struct(F.lit(is_null).alias("__wnull"), key.cast("string").alias("__wkey"))
