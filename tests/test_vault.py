@@ -163,6 +163,6 @@ def test_wildcard_hot_group_salted(spark):
     for buckets in (1, 3, 16):
         from telvault.operators.joins import wildcard_matches
         m = wildcard_matches(right, svc, "account_id", "service_id", salt_buckets=buckets)
-        got = Counter((r.account_id, r.__wkey, r.n) for r in m.collect())
+        got = Counter((r["account_id"], r["__wkey"], r["n"]) for r in m.collect())
         assert sum(1 for k in got if k[2] == 7) == 300 and got[("hot", "s5", 1)] == 1
         assert got[("a301", "s301", 2)] == 1 and sum(got.values()) == 302
