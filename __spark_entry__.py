@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from telvault.operators import catalog, features, metrics, quality, semantic
 from telvault.operators.staging import STAGING_COLUMNS, stage
+from telvault.functions.hashing import stable_uuid
 from telvault.plans import contracts
 from telvault.plans.silver import Windows, build_silver, customer_360, support_posture
 from telvault.schemas import COLUMN_TESTS, RELATIONSHIPS, RISK_BANDS
@@ -169,6 +170,31 @@ def q_customer_360(spark, sf_dir):
     return _portable(customer_360([b1, b2]))
 
 
+def q_metric_customer_360(spark, sf_dir):
+    gold = q_customer_360(spark, sf_dir)
+    return _portable(semantic.metric_query(
+        semantic.CUSTOMER_360_MODEL, gold, ["subscription_count", "total_revenue_30d", "avg_health_score"],
+        grain="day", round_digits=2))
+
+
+# fixed value: namespace of the deterministic party ids
+PARTY_NAMESPACE = "6f65ba7c-c968-42b1-987a-5f4637b2f181"
+
+
+def q_party_uuid(spark, sf_dir):
+    party = _star(spark, sf_dir).table("party")
+    return party.select("party_id", stable_uuid(PARTY_NAMESPACE, F.concat(F.lit("party:"), "party_id"))
+                        .alias("party_uuid"))
+
+
+def q_table_fingerprints(spark, sf_dir):
+    """Order-free content fingerprint (rows, bit_xor of row hashes) per landing table."""
+    from telvault.sources.files import fingerprint
+    star = _star(spark, sf_dir)
+    return quality._union([fingerprint(df).select(F.lit(t).alias("table_name"), "rows", "fingerprint")
+                           for t, df in star.tables().items()])
+
+
 def q_pii_masked_core(spark, sf_dir):
     s = _silver(spark, sf_dir)
     upstream = catalog.tag_columns(s.sat_account_profile, {"account_number": "pii"})
@@ -231,6 +257,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metric_active_recurring_revenue": q_metric_active_recurring_revenue,
         "metric_support_health_by_band": q_metric_support_health_by_band,
         "customer_360": q_customer_360, "pii_masked_core": q_pii_masked_core,
+        "metric_customer_360": q_metric_customer_360, "party_uuid": q_party_uuid,
+        "table_fingerprints": q_table_fingerprints,
     })
     out.update(POSTURE_PARTS)
     return out

@@ -574,11 +574,12 @@ FROM sat_health GROUP BY 1""", sat_health())
 
 _TIE = ("support_health_score ASC NULLS LAST, open_ticket_count_30d DESC NULLS LAST, "
         "interaction_count_30d DESC NULLS LAST, data_mb_30d DESC NULLS LAST, last_interaction_at DESC NULLS LAST")
-CUSTOMER_360 = q(f"""
+C360_BODY = f"""
 SELECT a.account_id, a.account_number, a.subscription_count, a.active_service_count,
        cast(coalesce(r.total_revenue_30d, 0) AS double) AS total_revenue_30d,
        cast(a.avg_health_score AS double) AS avg_health_score, a.high_risk_flag, a.last_interaction_at, a.snapshot_at
-FROM agg a LEFT JOIN rev r ON a.account_id = r.account_id AND a.m = r.m""",
+FROM agg a LEFT JOIN rev r ON a.account_id = r.account_id AND a.m = r.m"""
+C360_BLOCKS = [
     sat_health("sat_b1", "_b1"), core("sat_b1", "core_b1"),
     sat_health("sat_b2", "_b2", **SHORT_WINDOWS), core("sat_b2", "core_b2"), f"""
 core_dedup AS (
@@ -604,7 +605,22 @@ sc_dedup AS (
   WHERE rn = 1),
 rev AS (
   SELECT account_id, date_trunc('month', snapshot_at) AS m, sum(total_charges_30d) AS total_revenue_30d
-  FROM sc_dedup GROUP BY 1, 2)""")
+  FROM sc_dedup GROUP BY 1, 2)"""]
+CUSTOMER_360 = q(C360_BODY, *C360_BLOCKS)
+METRIC_C360 = q("""
+SELECT cast(date_trunc('day', snapshot_at) AS timestamp) AS snapshot_at__day,
+       cast(sum(subscription_count) AS bigint) AS subscription_count,
+       round(sum(total_revenue_30d), 2) AS total_revenue_30d,
+       cast(round(cast(avg(avg_health_score) AS decimal(38,10)), 2) AS double) AS avg_health_score
+FROM c360 GROUP BY 1""", *C360_BLOCKS, "c360 AS (" + C360_BODY + ")")
+
+PARTY_NS = "6f65ba7cc96842b1987a5f4637b2f181"
+PARTY_UUID = q(f"""
+SELECT party_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-'
+       || printf('%x', ((('0x' || substr(h, 17, 1))::int) & 3) | 8) || substr(h, 18, 3) || '-' || substr(h, 21, 12)
+       AS party_uuid
+FROM (SELECT party_id, sha1(unhex('{PARTY_NS}') || encode('party:' || party_id)) AS h FROM party) x""")
+
 
 PII_MASKED_CORE = q(f"""SELECT party_id, account_id, sha256(account_number) AS account_number, service_id,
 subscription_id, product_offering_name, service_status, billing_status, {_dbl('monthly_recurring_charge')},
@@ -629,6 +645,7 @@ def oracle_sql_extra() -> dict[str, str]:
         "column_catalog": COLUMN_CATALOG, "classify_columns": CLASSIFY,
         "metric_active_recurring_revenue": METRIC_ARR, "metric_support_health_by_band": METRIC_BAND,
         "customer_360": CUSTOMER_360, "pii_masked_core": PII_MASKED_CORE,
+        "metric_customer_360": METRIC_C360, "party_uuid": PARTY_UUID,
     }
     out.update(POSTURE_PARTS_SQL)
     return out
