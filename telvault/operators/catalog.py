@@ -156,38 +156,37 @@ def classify_columns(tables: dict[str, DataFrame], sample_rows: int | None = Non
                      min_confidence: float = CLASSIFY_MIN_CONFIDENCE) -> DataFrame:
     """Per string column: best-matching value class and its share of non-NULL values.
 
-    ``sample_rows`` limits each table to its first N rows (the reference
-    classifies a 1,000-row sample); by default every row is measured.
-    Below ``min_confidence`` the class is ``unclassified``.
+    Long form: every string value becomes a (table, column, value) row, all
+    tables are unioned, and one grouped aggregate counts the pattern hits
+    per column (partial aggregation keeps the shuffle at one row per column
+    and input partition). ``sample_rows`` limits each table to its first N
+    rows (the reference classifies a 1,000-row sample); by default every row
+    is measured. Below ``min_confidence`` the class is ``unclassified``.
     """
-    frames = []
+    longs = []
     for t, df in tables.items():
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
         if not cols:
             continue
         src = df.limit(sample_rows) if sample_rows else df
-        aggs = []
-        for i, c in enumerate(cols):
-            aggs.append(F.count(F.col(c)).alias(f"__c{i}"))
-            for j, (_, pat) in enumerate(VALUE_PATTERNS):
-                aggs.append(F.count_if(F.col(c).rlike(pat)).alias(f"__m{i}_{j}"))
-        m = src.agg(*aggs)
-        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("value_class"),
-                                  F.lit(j).alias("priority"), F.col(f"__c{i}").alias("non_null"),
-                                  F.col(f"__m{i}_{j}").alias("matches"))
-                         for i, c in enumerate(cols) for j, (k, _) in enumerate(VALUE_PATTERNS)])
-        frames.append(m.select(F.inline(rows)).withColumn("table_name", F.lit(t)))
-    long = reduce(lambda a, b: a.unionByName(b), frames)
-    long = long.withColumn("ratio", F.when(F.col("non_null") > 0, F.col("matches") / F.col("non_null"))
-                           .otherwise(F.lit(0.0)))
-    best = (long.groupBy("table_name", "column_name")
-            .agg(F.max_by(F.struct("value_class", "ratio"), F.struct(F.col("ratio"), -F.col("priority")))
-                 .alias("b"), F.first("non_null").alias("non_null_values")))
-    conf = F.col("b.ratio")
-    return best.select("table_name", "column_name",
-                       F.when(conf >= min_confidence, F.col("b.value_class")).otherwise("unclassified")
-                       .alias("value_class"),
-                       F.round(conf, 6).alias("confidence"), F.col("non_null_values").cast("bigint"))
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in cols]))
+        longs.append(src.select(cells.alias("__c"))
+                     .select(F.lit(t).alias("table_name"), "__c.column_name", "__c.v"))
+    cells = reduce(lambda a, b: a.unionByName(b), longs)
+    v = F.col("v")
+    counts = cells.groupBy("table_name", "column_name").agg(
+        F.count(v).alias("non_null"),
+        *[F.count_if(v.rlike(pat)).alias(f"__m{j}") for j, (_, pat) in enumerate(VALUE_PATTERNS)])
+    nn = F.col("non_null")
+    scored = F.array(*[F.struct(F.when(nn > 0, F.col(f"__m{j}") / nn).otherwise(F.lit(0.0)).alias("ratio"),
+                                F.lit(-j).alias("neg_priority"), F.lit(k).alias("value_class"))
+                       for j, (k, _) in enumerate(VALUE_PATTERNS)])
+    best = F.array_max(scored)   # highest ratio, then earliest pattern
+    conf = best["ratio"]
+    return counts.select("table_name", "column_name",
+                         F.when(conf >= min_confidence, best["value_class"]).otherwise("unclassified")
+                         .alias("value_class"),
+                         F.round(conf, 6).alias("confidence"), nn.cast("bigint").alias("non_null_values"))
 
 
 # ---- tag propagation and masking ------------------------------------------------

@@ -29,6 +29,7 @@ decimal, timestamps are TIMESTAMP_NTZ, exactly as the landing schemas say.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,15 +74,48 @@ def _null(table: str, column: str):
     return F.lit(None).cast(SCHEMAS[table][column].dataType)
 
 
+class LazyTables(Mapping):
+    """Read-only mapping of table name -> DataFrame, each derived on first access.
+
+    A job that needs three tables does not pay for deriving (and analysing)
+    the other eight.
+    """
+
+    def __init__(self, names, build):
+        self._names = tuple(names)
+        self._build = build
+        self._cache: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._cache:
+            self._cache[name] = self._build(name)
+        return self._cache[name]
+
+    def __contains__(self, name) -> bool:   # membership must not build the table
+        return name in self._names
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 class StarSource:
     """Lazily derived telco landing tables over one star-schema folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One scan definition per star table (file listing and footer read happen once)."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     # ---- entities -------------------------------------------------------
     def party(self) -> DataFrame:
@@ -246,10 +280,12 @@ class StarSource:
             raise KeyError(f"no star counterpart for landing table {name!r}")
         return getattr(self, name)()
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {t: self.table(t) for t in self.TABLES}
+    def tables(self) -> LazyTables:
+        if not hasattr(self, "_tables"):
+            self._tables = LazyTables(self.TABLES, self.table)
+        return self._tables
 
 
-def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All derivable landing tables as lazy DataFrames."""
+def star_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """All derivable landing tables, each derived on first access."""
     return StarSource(spark, sf_dir).tables()
