@@ -69,6 +69,23 @@ def wildcard_matches(right: DataFrame, keys: DataFrame, group_key: str, wildcard
             .filter(F.col("__wkey").isNotNull()))
 
 
+def probe_keys(df: DataFrame, wildcard_key: str) -> DataFrame:
+    """Add the probe key (``w IS NULL``, ``coalesce(w, '')``) used by the wildcard joins."""
+    return (df.withColumn("__wnull", F.col(wildcard_key).isNull())
+              .withColumn("__wkey", F.coalesce(F.col(wildcard_key), F.lit(""))))
+
+
+def exact_keys(right: DataFrame, wildcard_key: str) -> DataFrame:
+    """Right rows of a plain equi-join on ``w``, keyed like :func:`wildcard_matches`.
+
+    NULL keys never match (SQL equality), so they are dropped; joining on the
+    same (group, flag, key) columns keeps one hash partitioning across a
+    chain of wildcard and plain joins.
+    """
+    return (right.filter(F.col(wildcard_key).isNotNull())
+            .withColumn("__wnull", F.lit(False)).withColumnRenamed(wildcard_key, "__wkey"))
+
+
 def wildcard_left_join(left: DataFrame, right: DataFrame, group_key: str, wildcard_key: str,
                        keys: DataFrame | None = None) -> DataFrame:
     """``left LEFT JOIN right ON l.g = r.g AND coalesce(l.w, '') = coalesce(r.w, l.w)``.
@@ -82,9 +99,8 @@ def wildcard_left_join(left: DataFrame, right: DataFrame, group_key: str, wildca
     skewed equi-join on the group key, which AQE splits.
     """
     m = wildcard_matches(right, left if keys is None else keys, group_key, wildcard_key)
-    probe = left.withColumn("__wnull", F.col(wildcard_key).isNull()) \
-                .withColumn("__wkey", F.coalesce(F.col(wildcard_key), F.lit("")))
-    return probe.join(m, [group_key, "__wnull", "__wkey"], "left").drop("__wnull", "__wkey")
+    return probe_keys(left, wildcard_key).join(m, [group_key, "__wnull", "__wkey"], "left") \
+        .drop("__wnull", "__wkey")
 
 
 def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:

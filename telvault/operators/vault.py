@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from telvault.functions.hashing import dv_hashdiff
 from telvault.functions.scoring import health_score, risk_band
 from telvault.functions.windows import as_timestamp
-from telvault.operators.joins import wildcard_left_join
+from telvault.operators.joins import exact_keys, probe_keys, wildcard_matches
 
 # --- fixed values: record sources of the vault tables ----------------------
 LINK_ACCOUNT_SERVICE_SOURCE = "TELCO_DV2.LINK_ACCOUNT_SERVICE"
@@ -74,8 +74,10 @@ def sat_service_support_health(dv_service: DataFrame, usage: DataFrame, interact
     A service can therefore appear more than once (its own interaction
     group plus its account's NULL-service group) -- the model's behaviour.
 
-    Plan: the three (account, service)-keyed sides are joined first so they
-    share one hash partitioning; usage (keyed by service only) joins last.
+    Plan: usage (keyed by service only) joins first; then interactions,
+    tickets and charges join on one probe key (account, service IS NULL,
+    coalesce(service, '')), so the three joins share one hash partitioning
+    of the service side (two shuffles of it in total, not four).
     """
     s = dv_service.select("hk_service", "account_id", "service_id", "service_status", "load_dts")
     i = interactions.select("account_id", "service_id", "interaction_count_30d", "last_interaction_at",
@@ -88,10 +90,12 @@ def sat_service_support_health(dv_service: DataFrame, usage: DataFrame, interact
                      F.col("snapshot_at").alias("u_snap"))
 
     keys = s.select("account_id", "service_id")
-    j = wildcard_left_join(s, i, "account_id", "service_id", keys=keys)
-    j = wildcard_left_join(j, t, "account_id", "service_id", keys=keys)
-    j = j.join(c, ["account_id", "service_id"], "left")
-    j = j.join(u, j.service_id == u.__u_sid, "left")
+    on = ["account_id", "__wnull", "__wkey"]
+    j = s.join(u, s.service_id == u.__u_sid, "left")
+    j = probe_keys(j, "service_id")
+    j = j.join(wildcard_matches(i, keys, "account_id", "service_id"), on, "left")
+    j = j.join(wildcard_matches(t, keys, "account_id", "service_id"), on, "left")
+    j = j.join(exact_keys(c, "service_id"), on, "left")
 
     z = F.lit(0)
     open_t = F.coalesce("open_ticket_count_30d", z)
