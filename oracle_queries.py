@@ -428,7 +428,8 @@ def _rule(target, src, r) -> str:
         v = f"cast(min({c}) AS double)"
     return (f"SELECT {_lit(target)} AS target, {_lit(r.id)} AS rule_id, {_lit(r.type)} AS rule_type, "
             f"{_lit(c)} AS selector, value, cast({float(r.threshold)} AS double) AS threshold, {_lit(r.operator)} AS operator, "
-            f"{_lit(r.severity)} AS severity, coalesce(value {r.operator} {float(r.threshold)}, false) AS passed "
+            f"{_lit(r.severity)} AS severity, coalesce(value {r.operator} {float(r.threshold)}, "
+            f"{'true' if r.type == 'accuracy' else 'false'}) AS passed "
             f"FROM (SELECT {v} AS value FROM {src}) x")
 
 

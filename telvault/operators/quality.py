@@ -130,7 +130,8 @@ def _rule_measure(r: Rule):
     completeness = non-NULL share of rows; uniqueness = distinct / non-NULL;
     valid_values = share of non-NULL values inside the list; accuracy =
     minimum value (every value compared with the threshold). An empty
-    input measures 1.0 (vacuously complete/unique/valid).
+    input measures 1.0 (vacuously complete/unique/valid); accuracy over no
+    values is NULL and passes.
     """
     c = F.col(r.selector)
     if r.type == "completeness":
@@ -157,7 +158,9 @@ def evaluate_rules(df: DataFrame, rules: list[Rule], target: str) -> DataFrame:
             F.lit(r.selector).alias("selector"), v.alias("value"),
             F.lit(float(r.threshold)).alias("threshold"), F.lit(r.operator).alias("operator"),
             F.lit(r.severity).alias("severity"),
-            F.coalesce(_OPS[r.operator](v, F.lit(float(r.threshold))), F.lit(False)).alias("passed")))
+            # no non-NULL value (accuracy) violates nothing: vacuously passed
+            F.coalesce(_OPS[r.operator](v, F.lit(float(r.threshold))), F.lit(r.type == "accuracy"))
+            .alias("passed")))
     return _rows(m, rows)
 
 

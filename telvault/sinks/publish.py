@@ -131,3 +131,12 @@ def smoke_table(spark: SparkSession, name: str, message: str, track: str, create
     df = spark.createDataFrame([(1, message, track, created_at)], schema)
     df.write.mode("overwrite").saveAsTable(name)
     return spark.table(name)
+
+
+def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """View materialization: expose lazy frames to SQL as temporary views (no data is written)."""
+    names = []
+    for t, df in tables.items():
+        df.createOrReplaceTempView(prefix + t)
+        names.append(prefix + t)
+    return names
