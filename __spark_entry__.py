@@ -42,8 +42,9 @@ def _star(spark: SparkSession, sf_dir: str) -> StarSource:
     return StarSource(spark, sf_dir)
 
 
-def _silver(spark, sf_dir, windows: Windows = Windows()):
-    return build_silver(_star(spark, sf_dir).tables(), EVENT_AS_OF, BILLING_AS_OF, windows)
+def _silver(spark, sf_dir, windows: Windows = Windows(), merge_null_groups: bool = False):
+    return build_silver(_star(spark, sf_dir).tables(), EVENT_AS_OF, BILLING_AS_OF, windows,
+                        merge_null_groups=merge_null_groups)
 
 
 def q_support_posture(spark, sf_dir):
@@ -57,6 +58,11 @@ def _silver_attr(attr: str, windows: Windows = Windows()):
     return run
 
 
+def q_sat_health_merged(spark, sf_dir):
+    """Support-health satellite with NULL-service groups merged: one row per service."""
+    return _portable(_silver(spark, sf_dir, merge_null_groups=True).sat_service_support_health)
+
+
 def q_charges_30d(spark, sf_dir):
     s = _silver(spark, sf_dir)
     return _portable(s.charges)
@@ -243,6 +249,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sat_account_profile": _silver_attr("sat_account_profile"),
         "sat_service_support_health": _silver_attr("sat_service_support_health"),
         "sat_service_support_health_short": _silver_attr("sat_service_support_health", SHORT),
+        "sat_service_support_health_merged": q_sat_health_merged,
         "mart_subscriber360_core": _silver_attr("subscriber360_core"),
         "mart_health_scorecard": _silver_attr("health_scorecard"),
     }

@@ -62,6 +62,20 @@ def ticket_status_30d(trouble_ticket: DataFrame, as_of, days: int = 30) -> DataF
             .withColumn("snapshot_at", as_timestamp(as_of)))
 
 
+def ticket_parts_30d(trouble_ticket: DataFrame, as_of, days: int = 30) -> DataFrame:
+    """Ticket aggregates in additive form (open count, weight sum, ticket count).
+
+    Used when groups must be merged later (NULL-service group into the
+    service's own group): averages are re-formed from the summed parts.
+    """
+    return (trouble_ticket.filter(trailing_window("opened_at", as_of, days))
+            .groupBy("account_id", "service_id")
+            .agg(F.count_if(F.col("status") != "resolved").alias("open_ticket_count_30d"),
+                 F.sum(severity_weight("severity")).cast("bigint").alias("severity_weight_sum"),
+                 F.count(F.lit(1)).alias("ticket_count_30d"))
+            .withColumn("snapshot_at", as_timestamp(as_of)))
+
+
 def open_tickets(trouble_ticket: DataFrame) -> DataFrame:
     """All-time unresolved tickets per service (posture definition)."""
     return (trouble_ticket.filter(F.col("status") != "resolved")

@@ -64,7 +64,8 @@ def sat_account_profile(dv_account: DataFrame) -> DataFrame:
 
 
 def sat_service_support_health(dv_service: DataFrame, usage: DataFrame, interactions: DataFrame,
-                               tickets: DataFrame, charges: DataFrame, as_of) -> DataFrame:
+                               tickets: DataFrame, charges: DataFrame, as_of,
+                               merge_null_groups: bool = False) -> DataFrame:
     """Business satellite: one row per service and per matching feature row.
 
     Joins (all left, from the staged service):
@@ -73,6 +74,10 @@ def sat_service_support_health(dv_service: DataFrame, usage: DataFrame, interact
       charges on (account_id, service_id).
     A service can therefore appear more than once (its own interaction
     group plus its account's NULL-service group) -- the model's behaviour.
+    With ``merge_null_groups=True`` the matches of a service are combined
+    into one row instead (counts summed, latest time kept, severity index
+    re-formed from summed parts; ``tickets`` must then come from
+    ``features.ticket_parts_30d``).
 
     Plan: usage (keyed by service only) joins first; then interactions,
     tickets and charges join on one probe key (account, service IS NULL,
@@ -82,8 +87,12 @@ def sat_service_support_health(dv_service: DataFrame, usage: DataFrame, interact
     s = dv_service.select("hk_service", "account_id", "service_id", "service_status", "load_dts")
     i = interactions.select("account_id", "service_id", "interaction_count_30d", "last_interaction_at",
                             F.col("snapshot_at").alias("i_snap"))
-    t = tickets.select("account_id", "service_id", "open_ticket_count_30d", "ticket_severity_index",
-                       F.col("snapshot_at").alias("t_snap"))
+    if merge_null_groups:
+        t = tickets.select("account_id", "service_id", "open_ticket_count_30d", "severity_weight_sum",
+                           "ticket_count_30d", F.col("snapshot_at").alias("t_snap"))
+    else:
+        t = tickets.select("account_id", "service_id", "open_ticket_count_30d", "ticket_severity_index",
+                           F.col("snapshot_at").alias("t_snap"))
     c = charges.select("account_id", "service_id", "total_charges_30d", "monthly_recurring_charge",
                        F.col("snapshot_at").alias("c_snap"))
     u = usage.select(F.col("service_id").alias("__u_sid"), "usage_events_30d", "data_mb_30d",
@@ -93,8 +102,21 @@ def sat_service_support_health(dv_service: DataFrame, usage: DataFrame, interact
     on = ["account_id", "__wnull", "__wkey"]
     j = s.join(u, s.service_id == u.__u_sid, "left")
     j = probe_keys(j, "service_id")
-    j = j.join(wildcard_matches(i, keys, "account_id", "service_id"), on, "left")
-    j = j.join(wildcard_matches(t, keys, "account_id", "service_id"), on, "left")
+    im = wildcard_matches(i, keys, "account_id", "service_id")
+    tm = wildcard_matches(t, keys, "account_id", "service_id")
+    if merge_null_groups:
+        # at most two matches per service key (own group, NULL group): a small combine
+        im = im.groupBy(*on).agg(F.sum("interaction_count_30d").alias("interaction_count_30d"),
+                                 F.max("last_interaction_at").alias("last_interaction_at"),
+                                 F.max("i_snap").alias("i_snap"))
+        tm = (tm.groupBy(*on).agg(F.sum("open_ticket_count_30d").alias("open_ticket_count_30d"),
+                                  F.sum("severity_weight_sum").alias("__wsum"),
+                                  F.sum("ticket_count_30d").alias("__n"), F.max("t_snap").alias("t_snap"))
+              .select(*on, "open_ticket_count_30d", "t_snap",
+                      F.round(F.col("__wsum").cast("decimal(20,0)") / F.col("__n").cast("decimal(20,0)"), 6)
+                      .cast("decimal(18,6)").alias("ticket_severity_index")))
+    j = j.join(im, on, "left")
+    j = j.join(tm, on, "left")
     j = j.join(exact_keys(c, "service_id"), on, "left")
 
     z = F.lit(0)

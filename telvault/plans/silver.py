@@ -41,13 +41,14 @@ class Silver:
     """Lazily built silver products over one set of landing tables."""
 
     def __init__(self, inputs: dict[str, DataFrame], as_of, billing_as_of=None,
-                 windows: Windows = Windows(), materialize: bool = False):
+                 windows: Windows = Windows(), materialize: bool = False, merge_null_groups: bool = False):
         require_ports(inputs, REQUIRED_INPUTS)
         self.inputs = inputs
         self.as_of = as_of
         self.billing_as_of = billing_as_of if billing_as_of is not None else as_of
         self.windows = windows
         self._materialize = materialize
+        self.merge_null_groups = merge_null_groups
 
     # DV staging
     @cached_property
@@ -79,6 +80,10 @@ class Silver:
     def tickets(self) -> DataFrame:
         return features.ticket_status_30d(self.inputs["trouble_ticket"], self.as_of, self.windows.tickets)
 
+    @cached_property
+    def ticket_parts(self) -> DataFrame:
+        return features.ticket_parts_30d(self.inputs["trouble_ticket"], self.as_of, self.windows.tickets)
+
     @cached_property
     def charges(self) -> DataFrame:
         return features.charges_30d(self.inputs["invoice_charge"], self.inputs["invoice"], self.inputs["service"],
@@ -117,8 +122,9 @@ class Silver:
 
     @cached_property
     def sat_service_support_health(self) -> DataFrame:
-        df = vault.sat_service_support_health(self.dv_service, self.usage, self.interactions, self.tickets,
-                                              self.charges, self.as_of)
+        tickets = self.ticket_parts if self.merge_null_groups else self.tickets
+        df = vault.sat_service_support_health(self.dv_service, self.usage, self.interactions, tickets,
+                                              self.charges, self.as_of, self.merge_null_groups)
         return _materialize(df) if self._materialize else df
 
     # marts
@@ -134,8 +140,8 @@ class Silver:
 
 
 def build_silver(inputs: dict[str, DataFrame], as_of, billing_as_of=None, windows: Windows = Windows(),
-                 materialize: bool = False) -> Silver:
-    return Silver(inputs, as_of, billing_as_of, windows, materialize)
+                 materialize: bool = False, merge_null_groups: bool = False) -> Silver:
+    return Silver(inputs, as_of, billing_as_of, windows, materialize, merge_null_groups)
 
 
 def support_posture(inputs: dict[str, DataFrame], as_of, days: int = 30) -> DataFrame:

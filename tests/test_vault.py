@@ -166,3 +166,23 @@ def test_wildcard_hot_group_salted(spark):
         got = Counter((r["account_id"], r["__wkey"], r["n"]) for r in m.collect())
         assert sum(1 for k in got if k[2] == 7) == 300 and got[("hot", "s5", 1)] == 1
         assert got[("a301", "s301", 2)] == 1 and sum(got.values()) == 302
+
+
+def test_merge_null_groups_one_row_per_service(spark):
+    ins = inputs(
+        spark,
+        service=[dict(service_id="s1", account_id="a1", status="active"),
+                 dict(service_id="s2", account_id="a1", status="active")],
+        trouble_ticket=[dict(ticket_id=f"t{i}", account_id="a1", service_id=None if i == 0 else "s1",
+                             status="open", severity=("critical", "high", "low")[i], opened_at=T0)
+                        for i in range(3)],
+        customer_interaction=[dict(interaction_id=f"i{i}", account_id="a1", service_id=None if i < 4 else "s1",
+                                   interaction_timestamp=T0) for i in range(9)],
+    )
+    rows = {r.service_id: r for r in build_silver(ins, AS_OF, merge_null_groups=True)
+            .sat_service_support_health.collect()}
+    assert len(rows) == 2
+    s1, s2 = rows["s1"], rows["s2"]
+    assert (s1.interaction_count_30d, s1.open_ticket_count_30d, str(s1.ticket_severity_index)) == (9, 3, "2.666667")
+    assert (s1.support_risk_band, str(s1.support_health_score)) == ("critical", "39.00")
+    assert (s2.interaction_count_30d, s2.open_ticket_count_30d, str(s2.ticket_severity_index)) == (4, 1, "4.000000")
