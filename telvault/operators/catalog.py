@@ -210,3 +210,15 @@ def mask(df: DataFrame, values=("pii",), key: str = TAG_KEY) -> DataFrame:
     hit = {f.name for f in df.schema.fields if f.metadata.get(key) in values}
     return df.select([F.sha2(F.col(c).cast("string"), 256).alias(c, metadata=df.schema[c].metadata) if c in hit
                       else F.col(c) for c in df.columns])
+
+
+def auto_tag(df: DataFrame, classification: DataFrame, table: str, key: str = "value_class") -> DataFrame:
+    """Tag a frame's columns with their detected value class (classification auto-tag).
+
+    ``classification`` is the output of :func:`classify_columns`; only its
+    rows for ``table`` are read -- one small row per column, bounded by the
+    schema width, never by the data.
+    """
+    rows = (classification.filter((F.col("table_name") == table) & (F.col("value_class") != "unclassified"))
+            .select("column_name", "value_class").collect())
+    return tag_columns(df, {r.column_name: r.value_class for r in rows if r.column_name in df.columns}, key)

@@ -279,3 +279,35 @@ def freshness(tables: dict[str, DataFrame], fields: dict[str, str], as_of, slo_h
                                lag.alias("lag_hours"), F.lit(float(slo_hours)).alias("slo_hours"),
                                F.coalesce(lag <= F.lit(float(slo_hours)), F.lit(False)).alias("passed")))
     return _union(frames)
+
+
+class ReconciliationError(RuntimeError):
+    pass
+
+
+def assert_reconciled(report: DataFrame) -> DataFrame:
+    """Raise when any table's counts disagree (report of ``reconcile_counts``)."""
+    bad = report.filter(~F.col("matched")).take(20)
+    if bad:
+        raise ReconciliationError("row counts differ: " + ", ".join(
+            f"{b.table_name} ({b.source_rows} vs {b.target_rows})" for b in bad))
+    return report
+
+
+def verify_manifest(declared: DataFrame, actual: DataFrame) -> DataFrame:
+    """Compare a declared manifest with the files found: (table, file, rows, sha256) both sides.
+
+    Files are matched by table and base name. Returns one row per file with
+    ``status`` in ok / missing / unexpected / rows_differ / hash_differs.
+    """
+    def keyed(df, tag):
+        return df.select(F.col("table_name").alias("table_name"),
+                         F.element_at(F.split("file", "/"), -1).alias("file_name"),
+                         F.col("rows").cast("bigint").alias(f"{tag}_rows"), F.col("sha256").alias(f"{tag}_sha256"))
+    j = keyed(declared, "declared").join(keyed(actual, "actual"), ["table_name", "file_name"], "full")
+    status = (F.when(F.col("actual_rows").isNull(), "missing")
+              .when(F.col("declared_rows").isNull(), "unexpected")
+              .when(F.col("declared_rows") != F.col("actual_rows"), "rows_differ")
+              .when(F.col("declared_sha256") != F.col("actual_sha256"), "hash_differs")
+              .otherwise("ok"))
+    return j.withColumn("status", status).withColumn("passed", F.col("status") == "ok")

@@ -59,3 +59,33 @@ def test_gold_rules_on_empty_frame_are_vacuous(spark):
     df = spark.createDataFrame([], "account_id string, subscription_count bigint, avg_health_score double")
     rep = {r.rule_id: r.passed for r in quality.evaluate_rules(df, contracts.CUSTOMER_360_RULES, "c360").collect()}
     assert rep["account_id_not_null"] is True and rep["subscription_count_non_negative"] is True
+
+
+def test_reconcile_raises_and_manifest_verification(spark, tmp_path):
+    from telvault.sources import files
+    df = spark.createDataFrame([("p1", "i", "a", None, None)], SCHEMAS["party"])
+    rep = quality.reconcile_counts({"party": df}, {"party": df.union(df)})
+    with pytest.raises(quality.ReconciliationError):
+        quality.assert_reconciled(rep)
+    files.write_landing_csv(df, str(tmp_path / "party"))
+    actual = files.file_manifest(spark, str(tmp_path), ["party"])
+    declared = actual.withColumn("rows", actual.rows + 1)
+    n_files = actual.count()
+    got = [r.status for r in quality.verify_manifest(declared, actual).collect()]
+    assert got == ["rows_differ"] * n_files
+    assert [r.status for r in quality.verify_manifest(actual, actual).collect()] == ["ok"] * n_files
+    missing = quality.verify_manifest(actual, actual.limit(0)).select("status").distinct().collect()
+    assert [r.status for r in missing] == ["missing"]
+
+
+def test_auto_tag_and_comments_persist(spark):
+    from telvault.operators import catalog
+    df = spark.createDataFrame([("a@b.ch", "x")], "email string, note string")
+    cls = catalog.classify_columns({"individual": df})
+    tagged = catalog.auto_tag(df, cls, "individual")
+    assert tagged.schema["email"].metadata == {"value_class": "email"} and tagged.schema["note"].metadata == {}
+    name = "default.commented"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    P.with_comments(df, {"email": "contact address"}).write.saveAsTable(name)
+    desc = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE TABLE {name}").collect()}
+    assert desc["email"] == "contact address"
