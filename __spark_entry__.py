@@ -89,7 +89,8 @@ def q_test_relationships(spark, sf_dir):
 
 
 def _marts(spark, sf_dir):
-    s = _silver(spark, sf_dir)
+    """Both marts over one checkpointed support-health satellite (built once, read twice)."""
+    s = build_silver(_star(spark, sf_dir).tables(), EVENT_AS_OF, BILLING_AS_OF, materialize=True)
     return {"mart_subscriber360_core": s.subscriber360_core, "mart_subscriber_health_scorecard": s.health_scorecard}
 
 
