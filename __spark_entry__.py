@@ -32,9 +32,14 @@ SHORT = Windows(interactions=3, tickets=10)
 
 
 def _portable(df: DataFrame) -> DataFrame:
-    """Cast decimal columns to double (engine-neutral value type)."""
-    return df.select([F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-                      else F.col(f.name) for f in df.schema.fields])
+    """Engine-neutral value types for the comparison: decimal -> double, date -> timestamp."""
+    def conv(f):
+        if isinstance(f.dataType, T.DecimalType):
+            return F.col(f.name).cast("double").alias(f.name)
+        if isinstance(f.dataType, T.DateType):
+            return F.col(f.name).cast("timestamp_ntz").alias(f.name)
+        return F.col(f.name)
+    return df.select([conv(f) for f in df.schema.fields])
 
 
 def _star(spark: SparkSession, sf_dir: str) -> StarSource:

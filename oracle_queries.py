@@ -158,7 +158,7 @@ interaction_daily{sfx} AS (
          max(interaction_timestamp) AS last_interaction_at, {NOW} AS snapshot_at
   FROM customer_interaction WHERE interaction_timestamp >= {since(inter_days)} GROUP BY account_id, service_id),
 ticket_status{sfx} AS (
-  SELECT account_id, service_id, count_if(status <> 'resolved') AS open_ticket_count_30d,
+  SELECT account_id, service_id, cast(count_if(status <> 'resolved') AS bigint) AS open_ticket_count_30d,
          cast(avg(CASE severity WHEN 'critical' THEN 4 WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END)
               AS decimal(18,6)) AS ticket_severity_index,
          {NOW} AS snapshot_at
@@ -186,18 +186,18 @@ def sat_health(name="sat_health", sfx="", merged=False, **win) -> str:
         tdays = win.get("ticket_days", 30)
         merged_ctes = f""",
 interaction_merged{sfx} AS (
-  SELECT s.account_id, s.service_id, sum(i.interaction_count_30d) AS interaction_count_30d,
+  SELECT s.account_id, s.service_id, cast(sum(i.interaction_count_30d) AS bigint) AS interaction_count_30d,
          max(i.last_interaction_at) AS last_interaction_at, max(i.snapshot_at) AS snapshot_at
   FROM stg_service s JOIN interaction_daily{sfx} i ON s.account_id = i.account_id
     AND coalesce(s.service_id, '') = coalesce(i.service_id, s.service_id)
   GROUP BY s.account_id, s.service_id),
 ticket_parts{sfx} AS (
-  SELECT account_id, service_id, count_if(status <> 'resolved') AS open_ticket_count_30d,
+  SELECT account_id, service_id, cast(count_if(status <> 'resolved') AS bigint) AS open_ticket_count_30d,
          sum(CASE severity WHEN 'critical' THEN 4 WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END) AS wsum,
          count(*) AS n
   FROM trouble_ticket WHERE opened_at >= {since(tdays)} GROUP BY account_id, service_id),
 ticket_merged{sfx} AS (
-  SELECT s.account_id, s.service_id, sum(t.open_ticket_count_30d) AS open_ticket_count_30d,
+  SELECT s.account_id, s.service_id, cast(sum(t.open_ticket_count_30d) AS bigint) AS open_ticket_count_30d,
          cast(cast(sum(t.wsum) AS decimal(20,0)) / sum(t.n) AS decimal(18,6)) AS ticket_severity_index,
          {NOW} AS snapshot_at
   FROM stg_service s JOIN ticket_parts{sfx} t ON s.account_id = t.account_id
@@ -311,7 +311,8 @@ snapshot_at FROM charge_monthly""", features())
 
 DV_ACCOUNT = q("SELECT * FROM stg_account")
 DV_SERVICE = q("SELECT * FROM stg_service")
-DV_SUBSCRIPTION = q("SELECT * FROM stg_subscription")
+DV_SUBSCRIPTION = q("""SELECT * REPLACE (cast(start_date AS timestamp) AS start_date, cast(end_date AS timestamp)
+AS end_date, cast(renewal_date AS timestamp) AS renewal_date) FROM stg_subscription""")
 DV_PRODUCT_OFFERING = q(f"""SELECT product_offering_id, product_offering_name, product_category,
 {_dbl('data_limit_gb')}, voice_limit_min, {_dbl('price_chf')}, product_status, hk_product_offering,
 hd_product_offering, load_dts, record_source FROM stg_product_offering""")
@@ -359,11 +360,13 @@ STAGING = {
     "product_offering": "product_offering_id, name, category, cast(data_limit_gb AS double) AS data_limit_gb, "
                         "voice_limit_min, cast(price_chf AS double) AS price_chf, status, created_at",
     "service": "service_id, account_id, service_type, status, activated_at, terminated_at",
-    "subscription": "subscription_id, service_id, product_offering_id, status, start_date, end_date, "
-                    "renewal_date, created_at",
+    "subscription": "subscription_id, service_id, product_offering_id, status, "
+                    "cast(start_date AS timestamp) AS start_date, cast(end_date AS timestamp) AS end_date, "
+                    "cast(renewal_date AS timestamp) AS renewal_date, created_at",
     "usage_event": "usage_id, account_id, service_id, usage_type, cast(quantity AS double) AS quantity, "
                    "event_timestamp, rating_status",
-    "invoice": "invoice_id, account_id, invoice_number, invoice_date, due_date, "
+    "invoice": "invoice_id, account_id, invoice_number, cast(invoice_date AS timestamp) AS invoice_date, "
+               "cast(due_date AS timestamp) AS due_date, "
                "cast(total_amount_chf AS double) AS total_amount_chf, status, created_at",
 }
 STAGING_SQL = {f"stg_{t}": q(f"SELECT {cols} FROM {t}") for t, cols in STAGING.items()}
@@ -482,7 +485,7 @@ def _schema_rows(target, src, contract, types) -> list[str]:
     out = []
     for name, typ, req in contract:
         c = name.lower()
-        nulls = f"count_if({c} IS NULL)" if req else "cast(max(NULL) AS bigint)"
+        nulls = f"cast(count_if({c} IS NULL) AS bigint)" if req else "cast(max(NULL) AS bigint)"
         status = f"CASE WHEN {nulls} > 0 THEN 'required_null' ELSE 'ok' END" if req else "'ok'"
         passed = f"{nulls} = 0" if req else "count(*) >= 0"
         out.append(f"SELECT {_lit(target)} AS target, {_lit(name)} AS column_name, {_lit(typ)} AS expected_type, "
@@ -519,7 +522,7 @@ FRESH = {"party": "updated_at", "account": "created_at", "product_offering": "cr
          "service": "activated_at", "subscription": "created_at", "usage_event": "event_timestamp",
          "invoice": "created_at"}
 FRESHNESS = q("\nUNION ALL\n".join(
-    f"SELECT {_lit(t)} AS table_name, {_lit(c)} AS loaded_at_field, latest, lag_hours, 6.0 AS slo_hours, "
+    f"SELECT {_lit(t)} AS table_name, {_lit(c)} AS loaded_at_field, latest, lag_hours, cast(6.0 AS double) AS slo_hours, "
     f"coalesce(lag_hours <= 6.0, false) AS passed FROM (SELECT max({c}) AS latest, "
     f"date_diff('microsecond', max({c}), {NOW}) / 3.6e9 AS lag_hours FROM {t}) x" for t, c in FRESH.items()))
 
@@ -533,7 +536,7 @@ DATA_METRICS = q("\nUNION ALL\n".join(
   CASE metric WHEN 'ROW_COUNT' THEN value > 0 ELSE value = 0 END AS passed FROM (
   SELECT 'ROW_COUNT' AS metric, cast(NULL AS varchar) AS argument, count(*) AS value,
          {_lit(t + '_has_rows')} AS expectation, 'VALUE > 0' AS expression FROM {t}
-  UNION ALL SELECT 'NULL_COUNT', {_lit(_pk(t))}, count_if({_pk(t)} IS NULL), {_lit(_pk(t) + '_not_null')},
+  UNION ALL SELECT 'NULL_COUNT', {_lit(_pk(t))}, cast(count_if({_pk(t)} IS NULL) AS bigint), {_lit(_pk(t) + '_not_null')},
          'VALUE = 0' FROM {t}
   UNION ALL SELECT 'DUPLICATE_COUNT', {_lit(_pk(t))}, count({_pk(t)}) - count(DISTINCT {_pk(t)}),
          {_lit(_pk(t) + '_unique')}, 'VALUE = 0' FROM {t}) m""" for t in STAR))
@@ -562,7 +565,7 @@ COLUMN_CATALOG = q("\nUNION ALL\n".join(
     f"{_lit(f.dataType.simpleString())} AS data_type, "
     + ", ".join(f"{_lit(v)} AS {k}" for k, v in zip(("semantic_type", "sensitivity", "identifier_role",
                                                      "record_grain"), _tags(t, f.name)))
-    + f", count_if({f.name} IS NULL) AS null_count, count({f.name}) AS non_null_count FROM {t}"
+    + f", cast(count_if({f.name} IS NULL) AS bigint) AS null_count, count({f.name}) AS non_null_count FROM {t}"
     for t in STAR for i, f in enumerate(SCHEMAS[t].fields)))
 
 
@@ -575,7 +578,7 @@ def _classify() -> str:
             for j, (k, pat) in enumerate(VALUE_PATTERNS):
                 parts.append(f"SELECT {_lit(t)} AS table_name, {_lit(f.name)} AS column_name, {_lit(k)} AS value_class, "
                              f"{j} AS priority, count({f.name}) AS non_null, "
-                             f"count_if(regexp_matches({f.name}, {_lit(pat)})) AS matches FROM {t}")
+                             f"cast(count_if(regexp_matches({f.name}, {_lit(pat)})) AS bigint) AS matches FROM {t}")
     return "\nUNION ALL\n".join(parts)
 
 

@@ -136,7 +136,7 @@ def customer_360(cores: list[DataFrame], scorecards: list[DataFrame]) -> DataFra
     * counts are exact distinct counts; the risk flag is a boolean OR.
     """
     core = compose_products(cores, ["account_id", "service_id", "subscription_id"], _core_tiebreak())
-    core = core.withColumn("snapshot_month", F.date_trunc("month", "snapshot_at"))
+    core = core.withColumn("snapshot_month", F.date_trunc("month", "snapshot_at").cast("timestamp_ntz"))
     agg = (core.groupBy("account_id", "account_number", "snapshot_month")
            .agg(F.count_distinct("subscription_id").alias("subscription_count"),
                 F.count_distinct(F.when(F.col("service_status") == "active", F.col("service_id")))
@@ -146,7 +146,7 @@ def customer_360(cores: list[DataFrame], scorecards: list[DataFrame]) -> DataFra
                 F.max("last_interaction_at").alias("last_interaction_at"),
                 F.max("snapshot_at").alias("snapshot_at")))
     sc = compose_products(scorecards, ["account_id", "service_id"], _scorecard_tiebreak())
-    rev = (sc.withColumn("snapshot_month", F.date_trunc("month", "snapshot_at"))
+    rev = (sc.withColumn("snapshot_month", F.date_trunc("month", "snapshot_at").cast("timestamp_ntz"))
            .groupBy(F.col("account_id").alias("__r_aid"), F.col("snapshot_month").alias("__r_m"))
            .agg(F.sum("total_charges_30d").cast("decimal(38,2)").alias("total_revenue_30d")))
     j = agg.join(rev, (F.col("account_id") == F.col("__r_aid")) & (F.col("snapshot_month") == F.col("__r_m")),

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from telvault.functions.scoring import exact_avg
 
@@ -102,7 +103,11 @@ def metric_query(model: SemanticModel, df: DataFrame, metrics: list[str], group_
         keys.append(F.col(g).alias(g.lower()))
     if grain:
         td = model.default_time_dimension
-        keys.append(F.date_trunc(grain, F.col(td)).alias(f"{td.lower()}__{grain}"))
+        bucket = F.date_trunc(grain, F.col(td))
+        ftype = next(f.dataType for f in df.schema.fields if f.name.lower() == td.lower())
+        if isinstance(ftype, T.TimestampNTZType):
+            bucket = bucket.cast("timestamp_ntz")   # date_trunc yields a zoned timestamp; keep wall-clock type
+        keys.append(bucket.alias(f"{td.lower()}__{grain}"))
     return df.groupBy(*keys).agg(*[metric_column(model, defined[m], round_digits) for m in metrics])
 
 

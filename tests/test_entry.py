@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as E
-from tools.check_oracle import TABLES, norm
+from tools.check_oracle import TABLES, norm, type_mismatches
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,6 +35,8 @@ def test_query_matches_oracle(spark, duck, name):
     sql = E.oracle_sql().get(name)
     if sql is None:
         return
+    rel = duck.sql(sql)
+    assert type_mismatches(sdf.schema, rel.columns, rel.types) == []
     cur = duck.execute(sql)
     dcols = [d[0] for d in cur.description]
     assert sorted(sdf.columns) == sorted(dcols)
