@@ -50,12 +50,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (distributed) folder there; we only read it.
-    Only when it is unset -- local tests -- a fresh scratch folder is made.
+    Only when it is unset in local mode (tests) a fresh scratch folder is
+    made; on a cluster an unset folder is an error, never a local temp dir.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="telvault-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder (HDFS/S3/...) for checkpoints")
+        d = tempfile.mkdtemp(prefix="telvault-ckpt-")   # local mode only (tests)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

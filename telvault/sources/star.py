@@ -51,27 +51,28 @@ SEVERITY_BY_MOD4 = ("low", "medium", "high", "critical")     # event_id % 4
 TICKET_STATUS_BY_MOD5 = ("resolved", "resolved", "resolved", "in_progress", "open")  # event_id % 5
 
 
-def _map(col, mapping: dict, default=None):
-    expr = F.lit(default)
-    for k, v in reversed(list(mapping.items())):
-        expr = F.when(col == k, F.lit(v)).otherwise(expr)
-    return expr
+def _case(col: str, mapping: dict) -> str:
+    """SQL ``CASE col WHEN k THEN v ... END`` from a fixed mapping."""
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {col} {whens} END"
 
 
-def _pick(index_col, values: tuple):
-    expr = F.lit(None).cast("string")
-    for i, v in reversed(list(enumerate(values))):
-        expr = F.when(index_col == i, F.lit(v)).otherwise(expr)
-    return expr
+def _pick(index_sql: str, values: tuple) -> str:
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {index_sql} {whens} END"
 
 
-def _conform(df: DataFrame, table: str) -> DataFrame:
-    """Select the landing columns in declared order, cast to declared types."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table]])
+def _conform(df: DataFrame, table: str, exprs: dict[str, str]) -> DataFrame:
+    """One projection: every landing column, in declared order, cast to its declared type.
 
-
-def _null(table: str, column: str):
-    return F.lit(None).cast(SCHEMAS[table][column].dataType)
+    ``exprs`` maps column -> SQL expression over ``df``; absent columns are
+    typed NULLs. A single ``selectExpr`` keeps plan construction cheap.
+    """
+    cols = []
+    for f in SCHEMAS[table].fields:
+        e = exprs.get(f.name, "NULL")
+        cols.append(f"CAST({e} AS {f.dataType.simpleString()}) AS {f.name}")
+    return df.selectExpr(*cols)
 
 
 class LazyTables(Mapping):
@@ -118,70 +119,39 @@ class StarSource:
         return self._raw[name]
 
     # ---- entities -------------------------------------------------------
+    _ACCOUNT_STATUS = "CASE WHEN c_acctbal < 0 THEN 'suspended' ELSE 'active' END"
+
     def party(self) -> DataFrame:
-        c = self.raw("customer")
-        return _conform(c.select(
-            F.col("c_custkey").cast("string").alias("party_id"),
-            F.lit("individual").alias("party_type"),
-            F.when(F.col("c_acctbal") < 0, "suspended").otherwise("active").alias("status"),
-            _null("party", "created_at").alias("created_at"),
-            _null("party", "updated_at").alias("updated_at"),
-        ), "party")
+        return _conform(self.raw("customer"), "party", {
+            "party_id": "CAST(c_custkey AS STRING)", "party_type": "'individual'", "status": self._ACCOUNT_STATUS})
 
     def account(self) -> DataFrame:
-        c = self.raw("customer")
-        return _conform(c.select(
-            F.col("c_custkey").cast("string").alias("account_id"),
-            F.col("c_custkey").cast("string").alias("party_id"),
-            F.col("c_name").alias("account_number"),
-            F.col("c_mktsegment").alias("account_type"),
-            F.when(F.col("c_acctbal") < 0, "suspended").otherwise("active").alias("status"),
-            _null("account", "created_at").alias("created_at"),
-            _null("account", "closed_at").alias("closed_at"),
-        ), "account")
+        return _conform(self.raw("customer"), "account", {
+            "account_id": "CAST(c_custkey AS STRING)", "party_id": "CAST(c_custkey AS STRING)",
+            "account_number": "c_name", "account_type": "c_mktsegment", "status": self._ACCOUNT_STATUS})
 
     def product_offering(self) -> DataFrame:
-        p = self.raw("part")
-        return _conform(p.select(
-            F.col("p_partkey").cast("string").alias("product_offering_id"),
-            F.col("p_name").alias("name"),
-            F.col("p_type").alias("category"),
-            F.col("p_size").cast("decimal(8,2)").alias("data_limit_gb"),
-            (F.col("p_size") * 100).cast("bigint").alias("voice_limit_min"),
-            F.col("p_retailprice").cast("decimal(10,2)").alias("price_chf"),
-            F.lit("active").alias("status"),
-            _null("product_offering", "created_at").alias("created_at"),
-        ), "product_offering")
+        return _conform(self.raw("part"), "product_offering", {
+            "product_offering_id": "CAST(p_partkey AS STRING)", "name": "p_name", "category": "p_type",
+            "data_limit_gb": "p_size", "voice_limit_min": "p_size * 100", "price_chf": "p_retailprice",
+            "status": "'active'"})
 
     def service(self) -> DataFrame:
-        o = self.raw("orders")
-        return _conform(o.select(
-            F.col("o_orderkey").cast("string").alias("service_id"),
-            F.col("o_custkey").cast("string").alias("account_id"),
-            F.col("o_orderpriority").alias("service_type"),
-            _map(F.col("o_orderstatus"), ORDER_STATUS_TO_SERVICE).alias("status"),
-            F.col("o_orderdate").alias("activated_at"),
-            _null("service", "terminated_at").alias("terminated_at"),
-        ), "service")
+        return _conform(self.raw("orders"), "service", {
+            "service_id": "CAST(o_orderkey AS STRING)", "account_id": "CAST(o_custkey AS STRING)",
+            "service_type": "o_orderpriority", "status": _case("o_orderstatus", ORDER_STATUS_TO_SERVICE),
+            "activated_at": "o_orderdate"})
 
     def subscription(self) -> DataFrame:
         """One subscription per order with lines; (orderkey, linenumber) is not unique."""
-        li = self.raw("lineitem")
-        g = li.groupBy("l_orderkey").agg(
-            F.min("l_partkey").alias("l_partkey"),
-            F.max("l_linestatus").alias("l_linestatus"),
-            F.min("l_shipdate").alias("first_ship"),
-        )
-        return _conform(g.select(
-            F.concat(F.lit("S"), F.col("l_orderkey").cast("string")).alias("subscription_id"),
-            F.col("l_orderkey").cast("string").alias("service_id"),
-            F.col("l_partkey").cast("string").alias("product_offering_id"),
-            _map(F.col("l_linestatus"), LINESTATUS_TO_SUBSCRIPTION).alias("status"),
-            F.to_date("first_ship").alias("start_date"),
-            _null("subscription", "end_date").alias("end_date"),
-            _null("subscription", "renewal_date").alias("renewal_date"),
-            F.col("first_ship").alias("created_at"),
-        ), "subscription")
+        g = self.raw("lineitem").groupBy("l_orderkey").agg(
+            F.min("l_partkey").alias("l_partkey"), F.max("l_linestatus").alias("l_linestatus"),
+            F.min("l_shipdate").alias("first_ship"))
+        return _conform(g, "subscription", {
+            "subscription_id": "'S' || CAST(l_orderkey AS STRING)", "service_id": "CAST(l_orderkey AS STRING)",
+            "product_offering_id": "CAST(l_partkey AS STRING)",
+            "status": _case("l_linestatus", LINESTATUS_TO_SUBSCRIPTION),
+            "start_date": "to_date(first_ship)", "created_at": "first_ship"})
 
     # ---- events ---------------------------------------------------------
     def _account_service(self) -> DataFrame:
@@ -197,80 +167,45 @@ class StarSource:
         return e.join(a, e.user_id == a.o_custkey, "left")
 
     def usage_event(self) -> DataFrame:
-        e = self._events(list(EVENT_TO_USAGE))
-        return _conform(e.select(
-            F.col("event_id").cast("string").alias("usage_id"),
-            F.col("user_id").cast("string").alias("account_id"),
-            F.col("svc_key").cast("string").alias("service_id"),
-            _map(F.col("event_type"), EVENT_TO_USAGE).alias("usage_type"),
-            F.col("value").cast("decimal(12,4)").alias("quantity"),
-            F.col("ts").alias("event_timestamp"),
-            F.lit("rated").alias("rating_status"),
-        ), "usage_event")
+        return _conform(self._events(list(EVENT_TO_USAGE)), "usage_event", {
+            "usage_id": "CAST(event_id AS STRING)", "account_id": "CAST(user_id AS STRING)",
+            "service_id": "CAST(svc_key AS STRING)", "usage_type": _case("event_type", EVENT_TO_USAGE),
+            "quantity": "value", "event_timestamp": "ts", "rating_status": "'rated'"})
 
     def customer_interaction(self) -> DataFrame:
-        e = self._events(["click", "view"])
-        return _conform(e.select(
-            F.col("event_id").cast("string").alias("interaction_id"),
-            F.col("user_id").cast("string").alias("account_id"),
-            F.when(F.col("event_id") % 4 == 0, F.lit(None).cast("string"))
-             .otherwise(F.col("svc_key").cast("string")).alias("service_id"),
-            F.when(F.col("event_type") == "click", "app").otherwise("web").alias("channel"),
-            F.col("event_type").alias("interaction_type"),
-            F.lit("completed").alias("outcome"),
-            F.col("ts").alias("interaction_timestamp"),
-        ), "customer_interaction")
+        return _conform(self._events(["click", "view"]), "customer_interaction", {
+            "interaction_id": "CAST(event_id AS STRING)", "account_id": "CAST(user_id AS STRING)",
+            "service_id": "CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(svc_key AS STRING) END",
+            "channel": "CASE WHEN event_type = 'click' THEN 'app' ELSE 'web' END",
+            "interaction_type": "event_type", "outcome": "'completed'", "interaction_timestamp": "ts"})
 
     def trouble_ticket(self) -> DataFrame:
-        e = self._events(["error"])
-        status = _pick(F.col("event_id") % 5, TICKET_STATUS_BY_MOD5)
-        return _conform(e.select(
-            F.col("event_id").cast("string").alias("ticket_id"),
-            F.col("user_id").cast("string").alias("account_id"),
-            F.col("svc_key").cast("string").alias("service_id"),
-            F.lit("technical").alias("ticket_category"),
-            _pick(F.col("event_id") % 4, SEVERITY_BY_MOD4).alias("severity"),
-            status.alias("status"),
-            F.col("ts").alias("opened_at"),
-            _null("trouble_ticket", "resolved_at").alias("resolved_at"),
-        ), "trouble_ticket")
+        return _conform(self._events(["error"]), "trouble_ticket", {
+            "ticket_id": "CAST(event_id AS STRING)", "account_id": "CAST(user_id AS STRING)",
+            "service_id": "CAST(svc_key AS STRING)", "ticket_category": "'technical'",
+            "severity": _pick("event_id % 4", SEVERITY_BY_MOD4),
+            "status": _pick("event_id % 5", TICKET_STATUS_BY_MOD5), "opened_at": "ts"})
 
     def service_lifecycle_event(self) -> DataFrame:
-        e = self._events(None)
-        return _conform(e.select(
-            F.col("event_id").cast("string").alias("lifecycle_event_id"),
-            F.col("svc_key").cast("string").alias("service_id"),
-            _map(F.col("event_type"), EVENT_TO_LIFECYCLE).alias("event_type"),
-            F.col("event_type").alias("event_reason"),
-            F.lit("customer").alias("actor_type"),
-            F.col("ts").alias("event_timestamp"),
-        ), "service_lifecycle_event")
+        return _conform(self._events(None), "service_lifecycle_event", {
+            "lifecycle_event_id": "CAST(event_id AS STRING)", "service_id": "CAST(svc_key AS STRING)",
+            "event_type": _case("event_type", EVENT_TO_LIFECYCLE), "event_reason": "event_type",
+            "actor_type": "'customer'", "event_timestamp": "ts"})
 
     # ---- billing --------------------------------------------------------
     def invoice(self) -> DataFrame:
-        o = self.raw("orders")
-        return _conform(o.select(
-            F.col("o_orderkey").cast("string").alias("invoice_id"),
-            F.col("o_custkey").cast("string").alias("account_id"),
-            F.concat(F.lit("INV-"), F.col("o_orderkey").cast("string")).alias("invoice_number"),
-            F.to_date("o_orderdate").alias("invoice_date"),
-            F.date_add(F.to_date("o_orderdate"), 30).alias("due_date"),
-            F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount_chf"),
-            F.when(F.col("o_orderstatus") == "P", "overdue").otherwise("paid").alias("status"),
-            F.col("o_orderdate").alias("created_at"),
-        ), "invoice")
+        return _conform(self.raw("orders"), "invoice", {
+            "invoice_id": "CAST(o_orderkey AS STRING)", "account_id": "CAST(o_custkey AS STRING)",
+            "invoice_number": "'INV-' || CAST(o_orderkey AS STRING)", "invoice_date": "to_date(o_orderdate)",
+            "due_date": "date_add(to_date(o_orderdate), 30)", "total_amount_chf": "o_totalprice",
+            "status": "CASE WHEN o_orderstatus = 'P' THEN 'overdue' ELSE 'paid' END", "created_at": "o_orderdate"})
 
     def invoice_charge(self) -> DataFrame:
-        li = self.raw("lineitem")
-        return _conform(li.select(
-            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("charge_id"),
-            F.col("l_orderkey").cast("string").alias("invoice_id"),
-            _map(F.col("l_returnflag"), RETURNFLAG_TO_CHARGE).alias("charge_type"),
-            F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("charge_description"),
-            F.col("l_quantity").cast("decimal(12,4)").alias("quantity"),
-            F.col("l_quantity").cast("decimal(10,2)").alias("amount_chf"),
-            F.to_date("l_shipdate").alias("charge_date"),
-        ), "invoice_charge")
+        return _conform(self.raw("lineitem"), "invoice_charge", {
+            "charge_id": "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING))",
+            "invoice_id": "CAST(l_orderkey AS STRING)", "charge_type": _case("l_returnflag", RETURNFLAG_TO_CHARGE),
+            "charge_description": "'line ' || CAST(l_linenumber AS STRING)", "quantity": "l_quantity",
+            "amount_chf": "l_quantity", "charge_date": "to_date(l_shipdate)"})
 
     TABLES = ("party", "account", "product_offering", "service", "subscription", "usage_event",
               "customer_interaction", "trouble_ticket", "service_lifecycle_event", "invoice", "invoice_charge")
