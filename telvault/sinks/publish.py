@@ -22,20 +22,42 @@ def create_typed_table(spark: SparkSession, name: str, table: str, fmt: str = "p
         spark.createDataFrame([], SCHEMAS[table]).write.format(fmt).saveAsTable(name)
 
 
-def full_refresh(df: DataFrame, name: str, fmt: str = "parquet") -> None:
+def _writer(df: DataFrame, fmt: str, partition_by=None, bucket_by: tuple[int, str] | None = None):
+    """DataFrameWriter with optional layout.
+
+    ``partition_by``: column(s) for directory partitioning (time pruning on
+    reads, e.g. a snapshot date). ``bucket_by``: (buckets, column) so later
+    joins and aggregations on that key read co-located buckets instead of
+    shuffling (for example the service key of the satellites and marts).
+    """
+    w = df.write.format(fmt)
+    if partition_by:
+        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if bucket_by:
+        n, col = bucket_by
+        w = w.bucketBy(n, col).sortBy(col)
+    return w
+
+
+def full_refresh(df: DataFrame, name: str, fmt: str = "parquet", partition_by=None,
+                 bucket_by: tuple[int, str] | None = None) -> None:
     """Truncate-and-load: replace the table's content (and schema) with ``df``."""
-    df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    _writer(df, fmt, partition_by, bucket_by).mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
 
 
-def create_or_replace_as_select(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+def create_or_replace_as_select(df: DataFrame, name: str, fmt: str = "parquet", partition_by=None,
+                                bucket_by: tuple[int, str] | None = None) -> DataFrame:
     """CREATE OR REPLACE TABLE name AS SELECT ...; returns the table."""
-    full_refresh(df, name, fmt)
+    full_refresh(df, name, fmt, partition_by, bucket_by)
     return df.sparkSession.table(name)
 
 
-def materialize_table(df: DataFrame, path: str) -> DataFrame:
-    """Table materialization to a path; later steps read the written files (lineage cut)."""
-    df.write.mode("overwrite").parquet(path)
+def materialize_table(df: DataFrame, path: str, partition_by=None) -> DataFrame:
+    """Table materialization to a (shared) path; later steps read the written files (lineage cut)."""
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    w.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -64,7 +86,7 @@ def schema_diff(current: T.StructType | None, new: T.StructType) -> DataFrame:
 
 
 def publish(df: DataFrame, name: str, mode: str = "create-only", allow_data_loss: bool = False,
-            fmt: str = "parquet") -> DataFrame:
+            fmt: str = "parquet", partition_by=None, bucket_by: tuple[int, str] | None = None) -> DataFrame:
     """Publish a product table.
 
     * ``dry-run``: write nothing; return the schema diff against the table.
@@ -86,10 +108,10 @@ def publish(df: DataFrame, name: str, mode: str = "create-only", allow_data_loss
     if mode == "create-only":
         if exists:
             raise FileExistsError(f"{name} exists (create-only)")
-        df.write.format(fmt).saveAsTable(name)
+        _writer(df, fmt, partition_by, bucket_by).saveAsTable(name)
     elif mode == "amend":
         if not exists:
-            df.write.format(fmt).saveAsTable(name)
+            _writer(df, fmt, partition_by, bucket_by).saveAsTable(name)
             return diff
         breaking = diff.filter(F.col("change") != "added").take(10)
         if breaking:
@@ -103,7 +125,8 @@ def publish(df: DataFrame, name: str, mode: str = "create-only", allow_data_loss
     else:  # replace
         if exists and not allow_data_loss:
             raise DataLossError(f"{name}: replace is destructive; pass allow_data_loss=True")
-        df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+        _writer(df, fmt, partition_by, bucket_by).mode("overwrite").option("overwriteSchema", "true") \
+            .saveAsTable(name)
     return diff
 
 

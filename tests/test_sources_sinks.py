@@ -76,3 +76,26 @@ def test_streaming_landing_available_now(spark, tmp_path):
     q2 = land_stream(spark, str(src), "party", str(tmp_path / "out"), str(tmp_path / "ck"))
     q2.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2   # rerun lands nothing twice
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    a = spark.range(1000).selectExpr("cast(id as string) AS service_id", "id % 7 AS x")
+    b = spark.range(1000).selectExpr("cast(id as string) AS service_id", "id % 5 AS y")
+    for name, df in (("default.bk_a", a), ("default.bk_b", b)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        P.full_refresh(df, name, bucket_by=(8, "service_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("default.bk_a").join(spark.table("default.bk_b"), "service_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and j.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_partitioned_materialization(spark, tmp_path):
+    df = spark.createDataFrame([("s1", "2026-01-15"), ("s2", "2026-01-16")], "service_id string, snapshot_date string")
+    back = P.materialize_table(df, str(tmp_path / "m"), partition_by="snapshot_date")
+    parts = sorted(d for d in os.listdir(tmp_path / "m") if d.startswith("snapshot_date="))
+    assert parts == ["snapshot_date=2026-01-15", "snapshot_date=2026-01-16"]
+    assert back.filter("snapshot_date = '2026-01-16'").count() == 1
