@@ -25,7 +25,7 @@ class Expose:
     alias: str
     schema: list
     rules: list
-    freshness_hours: float
+    freshness_hours: float | None          # None: the contract states no freshness objective
     time_column: str = "snapshot_at"
 
 
@@ -34,8 +34,7 @@ CORE_EXPOSE = Expose("SUBSCRIBER360_CORE_V1", contracts.CORE_SCHEMA, contracts.C
                      contracts.SILVER_FRESHNESS_HOURS)
 SCORECARD_EXPOSE = Expose("SUBSCRIBER_HEALTH_SCORECARD_V1", contracts.SCORECARD_SCHEMA, contracts.SCORECARD_RULES,
                           contracts.SILVER_FRESHNESS_HOURS)
-POSTURE_EXPOSE = Expose("TELCO_SUBSCRIBER_SUPPORT_POSTURE", contracts.POSTURE_SCHEMA, [], 24.0,
-                        "latest_lifecycle_event_at")
+POSTURE_EXPOSE = Expose("TELCO_SUBSCRIBER_SUPPORT_POSTURE", contracts.POSTURE_SCHEMA, [], None)
 
 
 class ContractViolation(RuntimeError):
@@ -63,8 +62,8 @@ def publish_expose(df: DataFrame, expose: Expose, schema: str, as_of, mode: str
     diff = publish(df, name, mode, allow_data_loss, bucket_by=bucket_by)
     table = df.sparkSession.table(name)
     rules = (quality.evaluate_rules(table, expose.rules, expose.alias) if expose.rules else None)
-    fresh = quality.freshness({expose.alias: table}, {expose.alias: expose.time_column}, as_of,
-                              expose.freshness_hours)
+    fresh = (quality.freshness({expose.alias: table}, {expose.alias: expose.time_column}, as_of,
+                               expose.freshness_hours) if expose.freshness_hours is not None else None)
     return {"table": table, "schema_diff": diff, "rules": rules, "freshness": fresh}
 
 
