@@ -182,6 +182,12 @@ def q_customer_360(spark, sf_dir):
     return _portable(customer_360([b1, b2]))
 
 
+def q_customer_360_rules(spark, sf_dir):
+    """Gold contract rules over the customer 360 (one aggregate, one row per rule)."""
+    gold = q_customer_360(spark, sf_dir)
+    return quality.evaluate_rules(gold, contracts.CUSTOMER_360_RULES, "customer_360")
+
+
 def q_metric_customer_360(spark, sf_dir):
     gold = q_customer_360(spark, sf_dir)
     return _portable(semantic.metric_query(
@@ -271,6 +277,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metric_support_health_by_band": q_metric_support_health_by_band,
         "customer_360": q_customer_360, "pii_masked_core": q_pii_masked_core,
         "metric_customer_360": q_metric_customer_360, "party_uuid": q_party_uuid,
+        "customer_360_rules": q_customer_360_rules,
         "table_fingerprints": q_table_fingerprints,
     })
     out.update(POSTURE_PARTS)

@@ -646,6 +646,10 @@ SELECT cast(date_trunc('day', snapshot_at) AS timestamp) AS snapshot_at__day,
        cast(round(cast(avg(avg_health_score) AS decimal(38,10)), 2) AS double) AS avg_health_score
 FROM c360 GROUP BY 1""", *C360_BLOCKS, "c360 AS (" + C360_BODY + ")")
 
+from telvault.plans.contracts import CUSTOMER_360_RULES  # noqa: E402
+C360_RULES = q("\nUNION ALL\n".join(_rule("customer_360", "c360", r) for r in CUSTOMER_360_RULES),
+               *C360_BLOCKS, "c360 AS (" + C360_BODY + ")")
+
 PARTY_NS = "6f65ba7cc96842b1987a5f4637b2f181"
 PARTY_UUID = q(f"""
 SELECT party_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-'
@@ -677,7 +681,7 @@ def oracle_sql_extra() -> dict[str, str]:
         "column_catalog": COLUMN_CATALOG, "classify_columns": CLASSIFY,
         "metric_active_recurring_revenue": METRIC_ARR, "metric_support_health_by_band": METRIC_BAND,
         "customer_360": CUSTOMER_360, "pii_masked_core": PII_MASKED_CORE,
-        "metric_customer_360": METRIC_C360, "party_uuid": PARTY_UUID,
+        "metric_customer_360": METRIC_C360, "party_uuid": PARTY_UUID, "customer_360_rules": C360_RULES,
     }
     out.update(POSTURE_PARTS_SQL)
     return out

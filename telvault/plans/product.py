@@ -91,3 +91,23 @@ def run_posture_product(inputs: dict[str, DataFrame], as_of, schema: str, mode:
                         allow_data_loss: bool = True) -> dict[str, DataFrame]:
     """Create-or-replace the support-posture table (the reference rebuilds it on every run)."""
     return publish_expose(support_posture(inputs, as_of), POSTURE_EXPOSE, schema, as_of, mode, allow_data_loss)
+
+
+CUSTOMER_360_EXPOSE = Expose("CUSTOMER_360_CDP_V1", contracts.CUSTOMER_360_SCHEMA, contracts.CUSTOMER_360_RULES,
+                             contracts.GOLD_FRESHNESS_HOURS)
+
+
+def run_gold_product(products: list[Silver], schema: str, mode: str = "replace",
+                     allow_data_loss: bool = True, pii_columns=("account_number",)) -> dict[str, DataFrame]:
+    """Compose silver products into the gold customer 360 and publish it.
+
+    PII tags travel with the column (field metadata, persisted by the
+    catalog), so consumers can mask by tag.
+    """
+    from telvault.operators.catalog import tag_columns
+    from telvault.plans.silver import customer_360
+
+    mats = [p if p._materialize else Silver(p.inputs, p.as_of, p.billing_as_of, p.windows, materialize=True,
+                                            merge_null_groups=p.merge_null_groups) for p in products]
+    gold = tag_columns(customer_360(mats), {c: "pii" for c in pii_columns})
+    return publish_expose(gold, CUSTOMER_360_EXPOSE, schema, mats[0].as_of, mode, allow_data_loss)

@@ -41,3 +41,17 @@ def test_posture_product_replaces(spark):
     n_first = product.run_posture_product(tables, EVENT_AS_OF, "bronze_t")["table"].count()
     b = product.run_posture_product(tables, EVENT_AS_OF, "bronze_t")   # replace: same rows, not doubled
     assert b["table"].count() == n_first > 0
+
+
+def test_gold_product_tags_pii_and_reports(spark):
+    from telvault.plans.silver import Windows
+    spark.sql("CREATE DATABASE IF NOT EXISTS gold_t")
+    tables = StarSource(spark, SF).tables()
+    b1 = build_silver(tables, EVENT_AS_OF, BILLING_AS_OF)
+    b2 = build_silver(tables, EVENT_AS_OF, BILLING_AS_OF, Windows(interactions=3, tickets=10))
+    out = product.run_gold_product([b1, b2], "gold_t")
+    t = out["table"]
+    assert t.schema["account_number"].metadata.get("sensitivity") == "pii"
+    assert {r.rule_id for r in out["rules"].collect()} == {"account_id_not_null", "subscription_count_non_negative",
+                                                           "avg_health_in_range"}
+    assert out["freshness"].first().passed
