@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telvault.operators import catalog, features, metrics, quality, semantic
-from telvault.operators.staging import STAGING_COLUMNS, stage
 from telvault.functions.hashing import stable_uuid
+from telvault.operators import catalog, features, metrics, quality, semantic
+from telvault.operators.staging import stage
 from telvault.plans import contracts
 from telvault.plans.silver import Windows, build_silver, customer_360, support_posture
 from telvault.schemas import COLUMN_TESTS, RELATIONSHIPS, RISK_BANDS
@@ -101,13 +101,13 @@ def _marts(spark, sf_dir):
 
 def q_test_accepted_values(spark, sf_dir):
     m = _marts(spark, sf_dir)
-    return quality._union([quality.test_accepted_values(df, "support_risk_band", RISK_BANDS, t)
+    return quality.union_all([quality.test_accepted_values(df, "support_risk_band", RISK_BANDS, t)
                            for t, df in m.items()])
 
 
 def q_test_mart_not_null(spark, sf_dir):
     m = _marts(spark, sf_dir)
-    return quality._union([
+    return quality.union_all([
         quality.test_not_null(m["mart_subscriber360_core"], "mart_subscriber360_core",
                               ["account_id", "service_id", "support_health_score"]),
         quality.test_not_null(m["mart_subscriber_health_scorecard"], "mart_subscriber_health_scorecard",
@@ -116,7 +116,7 @@ def q_test_mart_not_null(spark, sf_dir):
 
 def q_dq_rules(spark, sf_dir):
     m = _marts(spark, sf_dir)
-    return quality._union([
+    return quality.union_all([
         quality.evaluate_rules(m["mart_subscriber360_core"], contracts.CORE_RULES, "mart_subscriber360_core"),
         quality.evaluate_rules(m["mart_subscriber_health_scorecard"], contracts.SCORECARD_RULES,
                                "mart_subscriber_health_scorecard")])
@@ -126,7 +126,7 @@ def q_schema_check(spark, sf_dir):
     star = _star(spark, sf_dir)
     core = build_silver(star.tables(), EVENT_AS_OF, BILLING_AS_OF).subscriber360_core
     posture = support_posture(star.tables(), EVENT_AS_OF)
-    return quality._union([
+    return quality.union_all([
         quality.check_schema(core, contracts.CORE_SCHEMA, target="mart_subscriber360_core"),
         quality.check_schema(posture, contracts.POSTURE_SCHEMA, target="support_posture")])
 
@@ -209,7 +209,7 @@ def q_table_fingerprints(spark, sf_dir):
     """Order-free content fingerprint (rows, bit_xor of row hashes) per landing table."""
     from telvault.sources.files import fingerprint
     star = _star(spark, sf_dir)
-    return quality._union([fingerprint(df).select(F.lit(t).alias("table_name"), "rows", "fingerprint")
+    return quality.union_all([fingerprint(df).select(F.lit(t).alias("table_name"), "rows", "fingerprint")
                            for t, df in star.tables().items()])
 
 

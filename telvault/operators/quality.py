@@ -21,7 +21,8 @@ from telvault.operators.joins import orphans
 TEST_REPORT_SCHEMA = "target string, column_name string, test string, failures bigint, passed boolean"
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """Union report frames of one schema (by column name)."""
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
@@ -64,7 +65,7 @@ def column_tests(df: DataFrame, target: str, tests: list[tuple[str, tuple[str, .
     if plain_nn:
         nn = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in plain_nn])
         frames.append(_rows(nn, [_test_struct(target, c, "not_null", F.col(c)) for c in plain_nn]))
-    return _union(frames)
+    return union_all(frames)
 
 
 def test_unique(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
@@ -96,11 +97,11 @@ def run_column_tests(tables: dict[str, DataFrame], tests, kinds=("unique", "not_
         ks = tuple(k for k in ks if k in kinds)
         if t in tables and ks:
             by_table.setdefault(t, []).append((c, ks))
-    return _union([column_tests(tables[t], t, cols) for t, cols in by_table.items()])
+    return union_all([column_tests(tables[t], t, cols) for t, cols in by_table.items()])
 
 
 def run_relationship_tests(tables: dict[str, DataFrame], relationships) -> DataFrame:
-    return _union([test_relationships(tables[c], cc, tables[p], pc, c)
+    return union_all([test_relationships(tables[c], cc, tables[p], pc, c)
                    for c, cc, p, pc in relationships if c in tables and p in tables])
 
 
@@ -250,7 +251,7 @@ def check_table_drift(spark, table_name: str, contract, strict: bool = True) ->
 # ---- reconciliation and freshness ---------------------------------------------
 def row_counts(tables: dict[str, DataFrame], label: str = "rows") -> DataFrame:
     """(table_name, <label>) for every frame; one job, one aggregate per input."""
-    return _union([df.agg(F.count(F.lit(1)).alias(label)).select(F.lit(t).alias("table_name"), label)
+    return union_all([df.agg(F.count(F.lit(1)).alias(label)).select(F.lit(t).alias("table_name"), label)
                    for t, df in tables.items()])
 
 
@@ -278,7 +279,7 @@ def freshness(tables: dict[str, DataFrame], fields: dict[str, str], as_of, slo_h
         frames.append(m.select(F.lit(t).alias("table_name"), F.lit(col).alias("loaded_at_field"), "latest",
                                lag.alias("lag_hours"), F.lit(float(slo_hours)).alias("slo_hours"),
                                F.coalesce(lag <= F.lit(float(slo_hours)), F.lit(False)).alias("passed")))
-    return _union(frames)
+    return union_all(frames)
 
 
 class ReconciliationError(RuntimeError):

@@ -55,7 +55,6 @@ def test_register_views(spark):
 
 
 def test_gold_rules_on_empty_frame_are_vacuous(spark):
-    from telvault.operators.marts import CUSTOMER_360_COLUMNS  # noqa: F401
     df = spark.createDataFrame([], "account_id string, subscription_count bigint, avg_health_score double")
     rep = {r.rule_id: r.passed for r in quality.evaluate_rules(df, contracts.CUSTOMER_360_RULES, "c360").collect()}
     assert rep["account_id_not_null"] is True and rep["subscription_count_non_negative"] is True

@@ -6,7 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from telvault.operators import features, marts, vault
+from telvault.operators import features, marts
 from telvault.operators.joins import wildcard_left_join
 from telvault.operators.staging import dv_stage
 from telvault.plans.silver import build_silver, support_posture
