@@ -53,3 +53,35 @@ def test_wildcard_join_equals_theta_join(spark, left, right):
                          AND coalesce(l.service_id, '') = coalesce(r.service_id, l.service_id)""")
     got = wildcard_left_join(s, r, "account_id", "service_id").select("service_id", "account_id", "n")
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, brute.collect()))
+
+
+acc = st.sampled_from(["a1", "a2", "a3", None])
+svc = st.sampled_from(["s1", "s2", "s3", "s4", None])
+inv = st.sampled_from(["i1", "i2", "i3", None])
+amount = st.one_of(st.none(), st.decimals(min_value=0, max_value=50, places=2, allow_nan=False))
+
+
+@FAST
+@given(st.lists(st.tuples(svc, acc), max_size=6), st.lists(st.tuples(svc), max_size=6),
+       st.lists(st.tuples(inv, acc), max_size=5),
+       st.lists(st.tuples(inv, st.sampled_from(["recurring_charge", "usage_charge"]), amount), max_size=10))
+def test_charges_algebra_equals_literal_join(spark, services, subs, invoices, charges):
+    import datetime as dt
+    from telvault.operators.features import charges_30d
+    s = spark.createDataFrame(services, "service_id string, account_id string")
+    u = spark.createDataFrame(subs, "service_id string")
+    i = spark.createDataFrame(invoices, "invoice_id string, account_id string")
+    c = spark.createDataFrame([(a, b, m, dt.date(2026, 1, 10)) for a, b, m in charges],
+                              "invoice_id string, charge_type string, amount_chf decimal(10,2), charge_date date")
+    for n, df in (("ps", s), ("pu", u), ("pi", i), ("pc", c)):
+        df.createOrReplaceTempView(n)
+    brute = spark.sql("""
+        SELECT svc.account_id, sub.service_id, round(sum(ic.amount_chf), 2) AS t,
+               round(sum(CASE WHEN ic.charge_type = 'recurring_charge' THEN ic.amount_chf ELSE 0 END), 2) AS r
+        FROM pc ic JOIN pi inv ON ic.invoice_id = inv.invoice_id JOIN ps svc ON inv.account_id = svc.account_id
+        JOIN pu sub ON svc.service_id = sub.service_id GROUP BY svc.account_id, sub.service_id""")
+    got = charges_30d(c, i, s, u, dt.datetime(2026, 1, 15)).select(
+        "account_id", "service_id", "total_charges_30d", "monthly_recurring_charge")
+    norm = lambda rows: Counter(tuple(None if v is None else str(float(v)) if not isinstance(v, str) else v
+                                      for v in r) for r in rows)
+    assert norm(got.collect()) == norm(brute.collect())
