@@ -153,6 +153,23 @@ def support_posture(inputs: dict[str, DataFrame], as_of, days: int = 30) -> Data
                                  inputs["service_lifecycle_event"], as_of, days)
 
 
+def prepare(products: list[Silver]) -> list[Silver]:
+    """Materialize the satellites of independent products concurrently.
+
+    Each checkpoint is its own Spark job; submitting them from separate
+    driver threads lets the cluster run them side by side instead of one
+    after the other. Products built without ``materialize`` are left lazy.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    todo = [p for p in products if p._materialize]
+    if len(todo) > 1:
+        with ThreadPoolExecutor(max_workers=len(todo)) as ex:
+            list(ex.map(lambda p: p.sat_service_support_health, todo))
+    return products
+
+
 def customer_360(products: list[Silver]) -> DataFrame:
     """Gold: compose silver products (first has priority) into account-level 360."""
+    prepare(products)
     return marts.customer_360([p.subscriber360_core for p in products], [p.health_scorecard for p in products])
