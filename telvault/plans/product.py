@@ -75,9 +75,7 @@ def run_silver_product(silver: Silver, schema: str, mode: str = "create-only", a
     (shared checkpoint folder) before either table is written. With
     ``buckets`` the tables are bucketed by service for co-located joins.
     """
-    if not silver._materialize:
-        silver = Silver(silver.inputs, silver.as_of, silver.billing_as_of, silver.windows, materialize=True,
-                        merge_null_groups=silver.merge_null_groups)
+    silver = silver.materialized()
     bucket = (buckets, "service_id") if buckets else None
     return {
         "core": publish_expose(silver.subscriber360_core, CORE_EXPOSE, schema, silver.as_of, mode,
@@ -107,7 +105,6 @@ def run_gold_product(products: list[Silver], schema: str, mode: str = "replace",
     from telvault.operators.catalog import tag_columns
     from telvault.plans.silver import customer_360
 
-    mats = [p if p._materialize else Silver(p.inputs, p.as_of, p.billing_as_of, p.windows, materialize=True,
-                                            merge_null_groups=p.merge_null_groups) for p in products]
+    mats = [p.materialized() for p in products]
     gold = tag_columns(customer_360(mats), {c: "pii" for c in pii_columns})
     return publish_expose(gold, CUSTOMER_360_EXPOSE, schema, mats[0].as_of, mode, allow_data_loss)

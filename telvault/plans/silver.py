@@ -42,14 +42,22 @@ class Silver:
 
     def __init__(self, inputs: dict[str, DataFrame], as_of, billing_as_of=None,
                  windows: Windows = Windows(), materialize: bool = False, merge_null_groups: bool = False):
+        """``materialize``: checkpoint the support-health satellite (it feeds both marts)."""
         require_ports(inputs, REQUIRED_INPUTS)
         self.inputs = inputs
         self.as_of = as_of
         self.billing_as_of = billing_as_of if billing_as_of is not None else as_of
         self.windows = windows
-        self._materialize = materialize
+        self.materialize = materialize
         self.merge_null_groups = merge_null_groups
 
+    def materialized(self) -> "Silver":
+        """This build, or an equal one whose satellite is checkpointed."""
+        if self.materialize:
+            return self
+        return Silver(self.inputs, self.as_of, self.billing_as_of, self.windows, materialize=True,
+                      merge_null_groups=self.merge_null_groups)
+
     # DV staging
     @cached_property
     def dv_account(self) -> DataFrame:
@@ -125,7 +133,7 @@ class Silver:
         tickets = self.ticket_parts if self.merge_null_groups else self.tickets
         df = vault.sat_service_support_health(self.dv_service, self.usage, self.interactions, tickets,
                                               self.charges, self.as_of, self.merge_null_groups)
-        return _materialize(df) if self._materialize else df
+        return _materialize(df) if self.materialize else df
 
     # marts
     @cached_property
@@ -162,7 +170,7 @@ def prepare(products: list[Silver]) -> list[Silver]:
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    todo = [p for p in products if p._materialize]
+    todo = [p for p in products if p.materialize]
     if len(todo) > 1:
         with ThreadPoolExecutor(max_workers=len(todo)) as ex:
             list(ex.map(lambda p: p.sat_service_support_health, todo))
