@@ -55,3 +55,14 @@ def test_gold_product_tags_pii_and_reports(spark):
     assert {r.rule_id for r in out["rules"].collect()} == {"account_id_not_null", "subscription_count_non_negative",
                                                            "avg_health_in_range"}
     assert out["freshness"].first().passed
+
+
+def test_cli_commands(spark, capsys):
+    from telvault.__main__ import main
+    assert main(["metrics", "--sf-dir", SF]) == 0
+    assert "ROW_COUNT" in capsys.readouterr().out
+    rc = main(["test", "--sf-dir", SF])
+    out = capsys.readouterr().out
+    assert "contract rules" in out and rc in (0, 1)
+    assert main(["build", "--sf-dir", SF, "--schema", "cli_t"]) == 0
+    assert spark.table("cli_t.customer_360_cdp_v1").count() > 0
