@@ -39,7 +39,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--schema", default="telvault")
     ap.add_argument("--as-of", default=EVENT_AS_OF.isoformat())
     ap.add_argument("--billing-as-of", default=BILLING_AS_OF.isoformat())
-    ap.add_argument("--mode", default="replace", choices=["dry-run", "create-only", "amend", "replace"])
+    ap.add_argument("--mode", default="replace-and-build",
+                    choices=["dry-run", "create-only", "amend", "amend-and-build", "replace", "replace-and-build"])
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     as_of, billing = dt.datetime.fromisoformat(a.as_of), dt.datetime.fromisoformat(a.billing_as_of)

@@ -54,7 +54,7 @@ def gate_schema(df: DataFrame, expose: Expose) -> None:
         raise ContractViolation(f"{expose.alias}: " + ", ".join(f"{b.column_name}:{b.status}" for b in bad))
 
 
-def publish_expose(df: DataFrame, expose: Expose, schema: str, as_of, mode: str = "create-only",
+def publish_expose(df: DataFrame, expose: Expose, schema: str, as_of, mode: str = "amend-and-build",
                    allow_data_loss: bool = False, bucket_by: tuple[int, str] | None = None) -> dict[str, DataFrame]:
     """Gate, publish and measure one expose; returns its reports."""
     gate_schema(df, expose)
@@ -67,7 +67,7 @@ def publish_expose(df: DataFrame, expose: Expose, schema: str, as_of, mode: str
     return {"table": table, "schema_diff": diff, "rules": rules, "freshness": fresh}
 
 
-def run_silver_product(silver: Silver, schema: str, mode: str = "create-only", allow_data_loss: bool = False,
+def run_silver_product(silver: Silver, schema: str, mode: str = "amend-and-build", allow_data_loss: bool = False,
                        buckets: int | None = None) -> dict[str, dict[str, DataFrame]]:
     """Publish the core and scorecard exposes of one silver build.
 
@@ -85,7 +85,7 @@ def run_silver_product(silver: Silver, schema: str, mode: str = "create-only", a
     }
 
 
-def run_posture_product(inputs: dict[str, DataFrame], as_of, schema: str, mode: str = "replace",
+def run_posture_product(inputs: dict[str, DataFrame], as_of, schema: str, mode: str = "replace-and-build",
                         allow_data_loss: bool = True) -> dict[str, DataFrame]:
     """Create-or-replace the support-posture table (the reference rebuilds it on every run)."""
     return publish_expose(support_posture(inputs, as_of), POSTURE_EXPOSE, schema, as_of, mode, allow_data_loss)
@@ -95,7 +95,7 @@ CUSTOMER_360_EXPOSE = Expose("CUSTOMER_360_CDP_V1", contracts.CUSTOMER_360_SCHEM
                              contracts.GOLD_FRESHNESS_HOURS)
 
 
-def run_gold_product(products: list[Silver], schema: str, mode: str = "replace",
+def run_gold_product(products: list[Silver], schema: str, mode: str = "replace-and-build",
                      allow_data_loss: bool = True, pii_columns=("account_number",)) -> dict[str, DataFrame]:
     """Compose silver products into the gold customer 360 and publish it.
 

@@ -65,7 +65,7 @@ class DataLossError(RuntimeError):
     pass
 
 
-PUBLISH_MODES = ("dry-run", "create-only", "amend", "replace")
+PUBLISH_MODES = ("dry-run", "create-only", "amend", "amend-and-build", "replace", "replace-and-build")
 
 
 def schema_diff(current: T.StructType | None, new: T.StructType) -> DataFrame:
@@ -85,17 +85,22 @@ def schema_diff(current: T.StructType | None, new: T.StructType) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, change string, old_type string, new_type string")
 
 
-def publish(df: DataFrame, name: str, mode: str = "create-only", allow_data_loss: bool = False,
+def publish(df: DataFrame, name: str, mode: str = "amend-and-build", allow_data_loss: bool = False,
             fmt: str = "parquet", partition_by=None, bucket_by: tuple[int, str] | None = None) -> DataFrame:
-    """Publish a product table.
-
-    * ``dry-run``: write nothing; return the schema diff against the table.
-    * ``create-only``: create the table; fail if it exists.
-    * ``amend``: additive only -- new columns are added, rows appended;
-      removed or retyped columns fail.
-    * ``replace``: overwrite; requires ``allow_data_loss=True`` when the
-      table exists (destructive).
-    Returns the schema diff that was applied (or would be).
+    """Apply a product table in one of the contract apply modes.
+
+    Structure-only modes (no rows written):
+      * ``dry-run``: nothing changes; returns the schema diff.
+      * ``create-only``: create the table (empty, ``df``'s schema) if it is
+        missing; an existing table is left as it is.
+      * ``amend``: create if missing, else additive evolution only -- new
+        columns are added; removed or retyped columns fail.
+      * ``replace``: drop and recreate empty; destructive, so an existing
+        table needs ``allow_data_loss=True``.
+    ``*-and-build`` modes then (re)build the rows: ``amend-and-build``
+    overwrites the rows of the amended table; ``replace-and-build``
+    overwrites table and schema with ``df``.
+    Returns the schema diff against the table as it was.
     """
     if mode not in PUBLISH_MODES:
         raise ValueError(f"mode must be one of {PUBLISH_MODES}")
@@ -105,14 +110,16 @@ def publish(df: DataFrame, name: str, mode: str = "create-only", allow_data_loss
     diff = schema_diff(current, df.schema)
     if mode == "dry-run":
         return diff
-    if mode == "create-only":
-        if exists:
-            raise FileExistsError(f"{name} exists (create-only)")
-        _writer(df, fmt, partition_by, bucket_by).saveAsTable(name)
-    elif mode == "amend":
-        if not exists:
-            _writer(df, fmt, partition_by, bucket_by).saveAsTable(name)
-            return diff
+    if mode.startswith("replace"):
+        if exists and not allow_data_loss:
+            raise DataLossError(f"{name}: replace is destructive; pass allow_data_loss=True")
+        src = df if mode == "replace-and-build" else df.limit(0)
+        _writer(src, fmt, partition_by, bucket_by).mode("overwrite").option("overwriteSchema", "true") \
+            .saveAsTable(name)
+        return diff
+    if not exists:
+        _writer(df.limit(0), fmt, partition_by, bucket_by).saveAsTable(name)
+    elif mode != "create-only":
         breaking = diff.filter(F.col("change") != "added").take(10)
         if breaking:
             raise DataLossError(f"{name}: amend cannot apply " + ", ".join(f"{b.column_name}:{b.change}" for b in breaking))
@@ -120,13 +127,10 @@ def publish(df: DataFrame, name: str, mode: str = "create-only", allow_data_loss
         if added:
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS (" +
                       ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added) + ")")
+    if mode == "amend-and-build":
         target_cols = spark.table(name).columns
-        df.select(*[F.col(c) if c in df.columns else F.lit(None) for c in target_cols]).write.insertInto(name)
-    else:  # replace
-        if exists and not allow_data_loss:
-            raise DataLossError(f"{name}: replace is destructive; pass allow_data_loss=True")
-        _writer(df, fmt, partition_by, bucket_by).mode("overwrite").option("overwriteSchema", "true") \
-            .saveAsTable(name)
+        lower = {c.lower(): c for c in df.columns}
+        df.select(*[F.col(lower[c.lower()]) for c in target_cols]).write.insertInto(name, overwrite=True)
     return diff
 
 

@@ -15,7 +15,7 @@ def test_run_silver_product_publishes_and_reports(spark):
     for t in ("subscriber360_core_v1", "subscriber_health_scorecard_v1"):
         spark.sql(f"DROP TABLE IF EXISTS silver_t.{t}")
     silver = build_silver(StarSource(spark, SF).tables(), EVENT_AS_OF, BILLING_AS_OF)
-    out = product.run_silver_product(silver, "silver_t", "create-only", buckets=4)
+    out = product.run_silver_product(silver, "silver_t", "amend-and-build", buckets=4)
     core = out["core"]["table"]
     assert core.count() == silver.subscriber360_core.count() > 0
     rules = {r.rule_id: r.passed for r in out["core"]["rules"].collect()}
@@ -25,7 +25,7 @@ def test_run_silver_product_publishes_and_reports(spark):
     fresh = out["scorecard"]["freshness"].first()
     assert fresh.lag_hours == 0.0 and fresh.passed
     with pytest.raises(DataLossError):
-        product.run_silver_product(silver, "silver_t", "replace")
+        product.run_silver_product(silver, "silver_t", "replace-and-build")
 
 
 def test_schema_gate_blocks_drift(spark):

@@ -53,14 +53,21 @@ def test_publish_modes(spark):
     name = "default.pub_party"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     assert P.publish(df, name, "dry-run").count() == 5 and not spark.catalog.tableExists(name)
-    P.publish(df, name, "create-only")
-    with pytest.raises(FileExistsError):
-        P.publish(df, name, "create-only")
-    P.publish(df.withColumn("tier", df.status), name, "amend")
-    assert "tier" in spark.table(name).columns and spark.table(name).count() == 4
+    P.publish(df, name, "create-only")                              # structure only
+    assert spark.table(name).count() == 0 and spark.table(name).columns == df.columns
+    P.publish(df, name, "amend-and-build")                          # rows rebuilt
+    assert spark.table(name).count() == 2
+    P.publish(df.withColumn("tier", df.status), name, "amend")       # additive column, rows kept
+    assert "tier" in spark.table(name).columns and spark.table(name).count() == 2
+    with pytest.raises(P.DataLossError):
+        P.publish(df, name, "amend-and-build")                      # frame lacks `tier`: a removal
+    P.publish(df.withColumn("tier", df.party_type), name, "amend-and-build")   # rebuild: not appended
+    assert spark.table(name).count() == 2 and spark.table(name).filter("tier = party_type").count() == 2
     with pytest.raises(P.DataLossError):
         P.publish(df, name, "replace")
     P.publish(df, name, "replace", allow_data_loss=True)
+    assert spark.table(name).count() == 0 and "tier" not in spark.table(name).columns
+    P.publish(df, name, "replace-and-build", allow_data_loss=True)
     assert spark.table(name).count() == 2
     P.comment_table(spark, name, "parties", {"party_id": "key"})
     assert P.target_name("mart_core", "DEV", alias="SUBSCRIBER360_CORE_V1") == "DEV.SUBSCRIBER360_CORE_V1"
