@@ -135,3 +135,28 @@ def fingerprint(df: DataFrame) -> DataFrame:
     """Order-free content fingerprint of a frame: (rows, bit_xor of row hashes)."""
     return df.agg(F.count(F.lit(1)).alias("rows"),
                   F.bit_xor(F.xxhash64(*[F.col(c) for c in df.columns])).alias("fingerprint"))
+
+
+# --- fixed values: streams of the three source-aligned acquisitions ------------
+ACQUISITIONS: dict[str, tuple[str, ...]] = {
+    "billing": ("invoice", "invoice_charge"),
+    "party": ("party", "account", "service", "subscription", "product_offering"),
+    "usage": ("usage_event", "customer_interaction", "trouble_ticket"),
+}
+
+
+def acquire(product: str, read_stream: Callable[[str], DataFrame], bronze_dir: str,
+            strict: bool = True) -> DataFrame:
+    """Full-refresh acquisition of one source-aligned product into bronze.
+
+    ``read_stream(name)`` returns the source stream as a DataFrame (for
+    example ``lambda t: read_jdbc(spark, url, t, ...)``, a landing-CSV
+    reader, or the star adapter's ``table``). Each stream passes the strict
+    schema gate and overwrites its bronze folder; returns the load report.
+    """
+    return ingest({name: (lambda n=name: read_stream(n)) for name in ACQUISITIONS[product]}, bronze_dir, strict)
+
+
+def read_bronze(spark: SparkSession, bronze_dir: str, tables) -> dict[str, DataFrame]:
+    """Bronze tables with their declared schemas (no inference)."""
+    return {t: spark.read.schema(SCHEMAS[t]).parquet(os.path.join(bronze_dir, t)) for t in tables}

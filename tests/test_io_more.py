@@ -59,3 +59,18 @@ def test_stream_lands_only_new_files(spark, tmp_path):
     land_stream(spark, str(src), "party", str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(120)
     ids = sorted(r.party_id for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert ids == ["p1", "p2", "p3"]
+
+
+def test_acquire_products_then_build_from_bronze(spark, tmp_path):
+    from telvault.plans.silver import build_silver
+    from telvault.sources.star import BILLING_AS_OF, EVENT_AS_OF
+    star = StarSource(spark, SF)
+    bronze = str(tmp_path / "bronze")
+    reports = {p: files.acquire(p, star.table, bronze).collect() for p in files.ACQUISITIONS}
+    assert [r.table_name for r in reports["usage"]] == ["usage_event", "customer_interaction", "trouble_ticket"]
+    landed = {r.table_name: r.rows for rs in reports.values() for r in rs}
+    assert landed["service"] == star.table("service").count()
+    tables = files.read_bronze(spark, bronze, landed)
+    direct = build_silver(star.tables(), EVENT_AS_OF, BILLING_AS_OF).health_scorecard
+    via_bronze = build_silver(tables, EVENT_AS_OF, BILLING_AS_OF).health_scorecard
+    assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, via_bronze.collect()))
