@@ -46,11 +46,14 @@ def subscriber360_core(sat_account: DataFrame, dv_service: DataFrame, dv_subscri
                           "interaction_count_30d", "open_ticket_count_30d", "support_health_score",
                           "support_risk_band", "last_interaction_at", "snapshot_at")
     p = dv_account.select(F.col("account_id").alias("__p_aid"), "party_id")
+    # Each left join's condition uses only base (account, service) columns, so
+    # the joins commute: the two account-keyed joins run back to back and
+    # share one hash partitioning, then the service-keyed ones follow.
     j = (a.join(s, "account_id")
+         .join(p, F.col("account_id") == F.col("__p_aid"), "left")
          .join(sub, F.col("service_id") == F.col("__sub_sid"), "left")
          .join(po, F.col("product_offering_id") == F.col("__po_id"), "left")
-         .join(h, F.col("hk_service") == F.col("__h_hk"), "left")
-         .join(p, F.col("account_id") == F.col("__p_aid"), "left"))
+         .join(h, F.col("hk_service") == F.col("__h_hk"), "left"))
     return j.select(*CORE_COLUMNS)
 
 
