@@ -154,6 +154,10 @@ def q_column_catalog(spark, sf_dir):
     return catalog.column_catalog(_star(spark, sf_dir).tables())
 
 
+def q_column_profile(spark, sf_dir):
+    return catalog.column_profile(_star(spark, sf_dir).tables())
+
+
 def q_classify_columns(spark, sf_dir):
     return catalog.classify_columns(_star(spark, sf_dir).tables())
 
@@ -273,6 +277,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "test_mart_not_null": q_test_mart_not_null, "dq_rules": q_dq_rules, "schema_check": q_schema_check,
         "row_reconciliation": q_row_reconciliation, "freshness": q_freshness, "data_metrics": q_data_metrics,
         "column_catalog": q_column_catalog, "classify_columns": q_classify_columns,
+        "column_profile": q_column_profile,
         "metric_active_recurring_revenue": q_metric_active_recurring_revenue,
         "metric_support_health_by_band": q_metric_support_health_by_band,
         "customer_360": q_customer_360, "pii_masked_core": q_pii_masked_core,

@@ -590,6 +590,20 @@ FROM (SELECT *, row_number() OVER (PARTITION BY table_name, column_name ORDER BY
             FROM cls) r) b
 WHERE rn = 1""", "cls AS (" + _classify() + ")")
 
+COLUMN_PROFILE = q("""
+SELECT c.*, m.table_rows, m.pk_null_count, m.pk_duplicate_count, k.value_class, k.confidence
+FROM catalog_rows c
+LEFT JOIN (SELECT table_name,
+                  max(CASE WHEN metric = 'ROW_COUNT' THEN value END) AS table_rows,
+                  max(CASE WHEN metric = 'NULL_COUNT' THEN value END) AS pk_null_count,
+                  max(CASE WHEN metric = 'DUPLICATE_COUNT' THEN value END) AS pk_duplicate_count
+           FROM metric_rows GROUP BY table_name) m ON c.table_name = m.table_name
+LEFT JOIN class_rows k ON c.table_name = k.table_name AND c.column_name = k.column_name""",
+    "catalog_rows AS (" + COLUMN_CATALOG[len(BASE):].strip() + ")",
+    "metric_rows AS (" + DATA_METRICS[len(BASE):].strip() + ")",
+    "cls AS (" + _classify() + ")",
+    "class_rows AS (" + CLASSIFY[CLASSIFY.index("\nSELECT table_name, column_name, CASE"):].strip() + ")")
+
 METRIC_ARR = q("""
 SELECT billing_status, cast(date_trunc('day', snapshot_at) AS timestamp) AS snapshot_at__day,
        cast(round(sum(CASE WHEN service_status = 'active' THEN monthly_recurring_charge END), 2) AS double)
@@ -678,7 +692,7 @@ def oracle_sql_extra() -> dict[str, str]:
         "test_accepted_values": TEST_ACCEPTED,
         "test_mart_not_null": TEST_MART_NOT_NULL, "dq_rules": DQ_RULES, "schema_check": SCHEMA_CHECK,
         "row_reconciliation": ROW_RECONCILIATION, "freshness": FRESHNESS, "data_metrics": DATA_METRICS,
-        "column_catalog": COLUMN_CATALOG, "classify_columns": CLASSIFY,
+        "column_catalog": COLUMN_CATALOG, "classify_columns": CLASSIFY, "column_profile": COLUMN_PROFILE,
         "metric_active_recurring_revenue": METRIC_ARR, "metric_support_health_by_band": METRIC_BAND,
         "customer_360": CUSTOMER_360, "pii_masked_core": PII_MASKED_CORE,
         "metric_customer_360": METRIC_C360, "party_uuid": PARTY_UUID, "customer_360_rules": C360_RULES,

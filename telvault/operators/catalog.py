@@ -222,3 +222,24 @@ def auto_tag(df: DataFrame, classification: DataFrame, table: str, key: str = "v
     rows = (classification.filter((F.col("table_name") == table) & (F.col("value_class") != "unclassified"))
             .select("column_name", "value_class").collect())
     return tag_columns(df, {r.column_name: r.value_class for r in rows if r.column_name in df.columns}, key)
+
+
+def column_profile(tables: dict[str, DataFrame], overrides: dict[tuple[str, str], dict] | None = None,
+                   sample_rows: int | None = None) -> DataFrame:
+    """Column catalogue joined with the table metrics and the value classification.
+
+    One row per column: governance tags and NULL counts (catalogue), the
+    table's ROW_COUNT / NULL_COUNT(pk) / DUPLICATE_COUNT(pk), and for string
+    columns the detected value class. All joins are on (table, column) or
+    table keys of report-sized frames.
+    """
+    from telvault.operators.metrics import data_metrics
+
+    cat = column_catalog(tables, overrides)
+    m = data_metrics(tables).groupBy("table_name").agg(
+        F.max(F.when(F.col("metric") == "ROW_COUNT", F.col("value"))).alias("table_rows"),
+        F.max(F.when(F.col("metric") == "NULL_COUNT", F.col("value"))).alias("pk_null_count"),
+        F.max(F.when(F.col("metric") == "DUPLICATE_COUNT", F.col("value"))).alias("pk_duplicate_count"))
+    cls = classify_columns(tables, sample_rows).select("table_name", "column_name", "value_class", "confidence")
+    return (cat.join(m, "table_name", "left")
+            .join(cls, ["table_name", "column_name"], "left"))
