@@ -73,6 +73,19 @@ class SemanticModel:
                 return d
         raise KeyError(f"{self.name}: no dimension {name}")
 
+    def groupable(self, name: str) -> bool:
+        """Dimensions and entities can both be grouped by."""
+        return any(x.name.lower() == name.lower() for x in (*self.dimensions, *self.entities))
+
+    def validate(self, df: DataFrame, names=None) -> None:
+        """The bound frame must carry the named columns (default: every model column)."""
+        names = list(names) if names is not None else [x.name for x in (*self.entities, *self.measures,
+                                                                         *self.dimensions)]
+        have = {c.lower() for c in df.columns}
+        missing = [n for n in names if n.lower() not in have]
+        if missing:
+            raise KeyError(f"{self.name}: frame lacks {missing}")
+
 
 def metric_column(model: SemanticModel, metric: Metric, round_digits: int | None = None) -> Column:
     meas = model.measure(metric.measure)
@@ -97,9 +110,12 @@ def metric_query(model: SemanticModel, df: DataFrame, metrics: list[str], group_
     unknown = [m for m in metrics if m not in defined]
     if unknown:
         raise KeyError(f"{model.name}: unknown metrics {unknown}")
+    model.validate(df, [defined[m].measure for m in metrics] + list(group_by)
+                   + ([model.default_time_dimension] if grain else []))
     keys = []
     for g in group_by:
-        model.dimension(g)
+        if not model.groupable(g):
+            raise KeyError(f"{model.name}: {g} is neither a dimension nor an entity")
         keys.append(F.col(g).alias(g.lower()))
     if grain:
         td = model.default_time_dimension

@@ -29,3 +29,18 @@ def test_metric_filter(spark):
     r = semantic.metric_query(semantic.CORE_MODEL, df, ["active_recurring_revenue", "avg_support_health_score"],
                               ["BILLING_STATUS"], grain="day", round_digits=2).first()
     assert float(r.active_recurring_revenue) == 11.0 and float(r.avg_support_health_score) == 70.0
+
+
+def test_metric_by_entity_and_validation(spark):
+    import pytest
+    df = spark.createDataFrame([("a1", 3, 1, 50.0, "high"), ("a1", 2, 0, 70.0, "healthy"), ("a2", 0, 4, 90.0, "healthy")],
+                               "account_id string, open_ticket_count_30d int, interaction_count_30d int, "
+                               "support_health_score double, support_risk_band string")
+    df = df.withColumn("service_id", F.lit("s")).withColumn("snapshot_at", F.lit("2026-01-15").cast("timestamp_ntz"))
+    rows = {r.account_id: r.open_ticket_pressure for r in semantic.metric_query(
+        semantic.SCORECARD_MODEL, df, ["open_ticket_pressure"], ["ACCOUNT_ID"]).collect()}
+    assert rows == {"a1": 5, "a2": 0}
+    with pytest.raises(KeyError):
+        semantic.metric_query(semantic.SCORECARD_MODEL, df.drop("open_ticket_count_30d"), ["open_ticket_pressure"])
+    with pytest.raises(KeyError):
+        semantic.metric_query(semantic.SCORECARD_MODEL, df, ["open_ticket_pressure"], ["service_status"])
