@@ -205,12 +205,21 @@ def q_party_uuid(spark, sf_dir):
                         .alias("party_uuid"))
 
 
-def q_table_fingerprints(spark, sf_dir):
-    """Order-free content fingerprint (rows, bit_xor of row hashes) per landing table."""
+def _fingerprints(spark, sf_dir, portable: bool):
     from telvault.sources.files import fingerprint
     star = _star(spark, sf_dir)
-    return quality.union_all([fingerprint(df).select(F.lit(t).alias("table_name"), "rows", "fingerprint")
-                           for t, df in star.tables().items()])
+    return quality.union_all([fingerprint(df, portable).select(F.lit(t).alias("table_name"), "rows", "fingerprint")
+                              for t, df in star.tables().items()])
+
+
+def q_table_fingerprints(spark, sf_dir):
+    """Order-free content fingerprint (rows, bit_xor of xxhash64 row hashes) per landing table."""
+    return _fingerprints(spark, sf_dir, portable=False)
+
+
+def q_table_fingerprints_portable(spark, sf_dir):
+    """Same, with the engine-portable md5 row hash (recomputable in SQL, so it has an oracle)."""
+    return _fingerprints(spark, sf_dir, portable=True)
 
 
 def q_pii_masked_core(spark, sf_dir):
@@ -280,6 +289,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metric_customer_360": q_metric_customer_360, "party_uuid": q_party_uuid,
         "customer_360_rules": q_customer_360_rules,
         "table_fingerprints": q_table_fingerprints,
+        "table_fingerprints_portable": q_table_fingerprints_portable,
     })
     out.update(POSTURE_PARTS)
     return out

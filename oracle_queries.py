@@ -677,6 +677,11 @@ subscription_id, product_offering_name, service_status, billing_status, {_dbl('m
 {_dbl('data_mb_30d')}, interaction_count_30d, open_ticket_count_30d, {_dbl('support_health_score')},
 support_risk_band, last_interaction_at, snapshot_at FROM core""", sat_health(), core())
 
+FINGERPRINTS_PORTABLE = q("\nUNION ALL\n".join(
+    f"SELECT {_lit(t)} AS table_name, count(*) AS rows, "
+    f"bit_xor(('0x' || substr({h(*SCHEMAS[t].fieldNames())}, 1, 15))::BIGINT) AS fingerprint FROM {t}"
+    for t in STAR))
+
 POSTURE_PARTS = {
     "usage_by_service_30d": f"SELECT service_id, usage_events_30d, {_dbl('data_mb_30d')} FROM usage_30d",
     "interactions_by_account_30d": "SELECT * FROM interactions_30d",
@@ -696,6 +701,7 @@ def oracle_sql_extra() -> dict[str, str]:
         "metric_active_recurring_revenue": METRIC_ARR, "metric_support_health_by_band": METRIC_BAND,
         "customer_360": CUSTOMER_360, "pii_masked_core": PII_MASKED_CORE,
         "metric_customer_360": METRIC_C360, "party_uuid": PARTY_UUID, "customer_360_rules": C360_RULES,
+        "table_fingerprints_portable": FINGERPRINTS_PORTABLE,
     }
     out.update(POSTURE_PARTS_SQL)
     return out

@@ -131,10 +131,21 @@ def file_manifest(spark: SparkSession, root: str, tables: list[str], fmt: str =
     return out
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """Order-free content fingerprint of a frame: (rows, bit_xor of row hashes)."""
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.bit_xor(F.xxhash64(*[F.col(c) for c in df.columns])).alias("fingerprint"))
+def fingerprint(df: DataFrame, portable: bool = False) -> DataFrame:
+    """Order-free content fingerprint of a frame: (rows, bit_xor of row hashes).
+
+    Fast form: Spark's ``xxhash64`` of the row. Portable form: the first 60
+    bits of the md5 of the row's hash text (the ``dv_hash`` text, NULL as
+    ''), which any engine with md5 can recompute -- e.g. to verify a copy
+    of a table held elsewhere. XOR makes both independent of row order and
+    partitioning, and the aggregate is partial per partition.
+    """
+    if portable:
+        from telvault.functions.hashing import dv_hash
+        row = F.conv(F.substring(dv_hash(*df.columns), 1, 15), 16, 10).cast("bigint")
+    else:
+        row = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(row).alias("fingerprint"))
 
 
 # --- fixed values: streams of the three source-aligned acquisitions ------------
