@@ -54,7 +54,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     made; on a cluster an unset folder is an error, never a local temp dir.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:                      # already set (from spark.checkpoint.dir or by the application)
+        return current
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder (HDFS/S3/...) for checkpoints")

@@ -48,3 +48,9 @@ def test_window_edge_included_and_no_upper_bound(spark):
     assert one(spark, trailing_window(ts("2024-01-01 00:00:00"), "2024-01-31", 30)) is True
     assert one(spark, trailing_window(ts("2023-12-31 23:59:59"), "2024-01-31", 30)) is False
     assert one(spark, trailing_window(ts("2024-02-15 00:00:00"), "2024-01-31", 30)) is True
+
+
+def test_checkpoint_dir_is_stable(spark):
+    from telvault.session import checkpoint_dir
+    a = checkpoint_dir(spark)
+    assert checkpoint_dir(spark) == a == spark.sparkContext.getCheckpointDir()
