@@ -42,10 +42,11 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--mode", default="replace-and-build",
                     choices=["dry-run", "create-only", "amend", "amend-and-build", "replace", "replace-and-build"])
     ap.add_argument("--master", default=None)
+    ap.add_argument("--warehouse", default=None, help="spark.sql.warehouse.dir for the published tables")
     a = ap.parse_args(argv)
     as_of, billing = dt.datetime.fromisoformat(a.as_of), dt.datetime.fromisoformat(a.billing_as_of)
 
-    spark = get_spark(a.master)
+    spark = get_spark(a.master, extra={"spark.sql.warehouse.dir": a.warehouse} if a.warehouse else None)
     tables = StarSource(spark, a.sf_dir).tables()
     if a.command == "metrics":
         _show("data metrics", metrics.data_metrics(tables), 200)
