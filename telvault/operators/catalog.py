@@ -85,6 +85,28 @@ VALUE_PATTERNS: list[tuple[str, str]] = [
 CLASSIFY_MIN_CONFIDENCE = 0.8
 
 
+def _pattern_guard(value_class: str, v: Column) -> Column | None:
+    """A cheap necessary condition of a value pattern (exact: never drops a match).
+
+    Evaluated before the regex with short-circuit AND, so most values skip
+    the regex engine entirely.
+    """
+    n = F.length(v)
+    return {
+        "email": v.contains("@"),
+        "uuid": n == 36,
+        "imei": n == 15,
+        "iccid": (n >= 19) & (n <= 20) & v.startswith("89"),
+        "phone": (n >= 8) & (n <= 16),
+        "date": n == 10,
+    }.get(value_class)
+
+
+def _matches(value_class: str, pattern: str, v: Column) -> Column:
+    guard = _pattern_guard(value_class, v)
+    return v.rlike(pattern) if guard is None else (guard & v.rlike(pattern))
+
+
 def _first_match(name: Column, table: list[tuple[tuple[str, ...], str]], default: str) -> Column:
     expr = F.lit(default)
     for names, value in reversed(table):
@@ -176,7 +198,7 @@ def classify_columns(tables: dict[str, DataFrame], sample_rows: int | None = Non
     v = F.col("v")
     counts = cells.groupBy("table_name", "column_name").agg(
         F.count(v).alias("non_null"),
-        *[F.count_if(v.rlike(pat)).alias(f"__m{j}") for j, (_, pat) in enumerate(VALUE_PATTERNS)])
+        *[F.count_if(_matches(k, pat, v)).alias(f"__m{j}") for j, (k, pat) in enumerate(VALUE_PATTERNS)])
     nn = F.col("non_null")
     scored = F.array(*[F.struct(F.when(nn > 0, F.col(f"__m{j}") / nn).otherwise(F.lit(0.0)).alias("ratio"),
                                 F.lit(-j).alias("neg_priority"), F.lit(k).alias("value_class"))
