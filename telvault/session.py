@@ -30,6 +30,9 @@ def get_spark(master: str | None = None, app_name: str = "telvault",
         b = b.master(master)
     conf = dict(REQUIRED_CONF)
     conf["spark.ui.enabled"] = "false"
+    # checkpoint files of unreferenced frames are deleted by the context cleaner,
+    # so repeated runs do not grow the shared checkpoint folder
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
