@@ -140,33 +140,46 @@ def record_grain(table: Column) -> Column:
 
 
 def _column_stats(df: DataFrame, table: str) -> DataFrame:
-    """(table_name, column_name, ordinal, data_type, null_count, non_null_count) in one pass."""
+    """Per column: (table_name, column_name, ordinal, data_type, null_count, non_null_count),
+    plus the table's row count and key NULL / duplicate counts -- all from one pass.
+
+    The key statistics ride along as plain columns; a caller that does not
+    select them lets the optimizer drop them from the aggregate.
+    """
     cols = df.columns
+    pk = primary_key(table, cols)
     m = df.agg(F.count(F.lit(1)).alias("__rows"),
+               F.count_if(F.col(pk).isNull()).alias("__pk_nulls"),
+               (F.count(F.col(pk)) - F.count_distinct(F.col(pk))).alias("__pk_dups"),
                *[F.count_if(F.col(c).isNull()).alias(f"__n{i}") for i, c in enumerate(cols)])
     meta = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(i + 1).alias("ordinal"),
                               F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
                               F.col(f"__n{i}").alias("null_count")) for i, c in enumerate(cols)])
-    return (m.select(F.col("__rows"), F.inline(meta))
+    return (m.select("__rows", "__pk_nulls", "__pk_dups", F.inline(meta))
             .select(F.lit(table).alias("table_name"), "column_name", "ordinal", "data_type",
                     F.col("null_count").cast("bigint").alias("null_count"),
                     (F.col("__rows") - F.col("null_count")).cast("bigint").alias("non_null_count"),
-                    F.lit(primary_key(table, cols)).alias("__pk")))
+                    F.lit(pk).alias("__pk"), F.col("__rows").cast("bigint").alias("table_rows"),
+                    F.col("__pk_nulls").cast("bigint").alias("pk_null_count"),
+                    F.col("__pk_dups").cast("bigint").alias("pk_duplicate_count")))
 
 
-def column_catalog(tables: dict[str, DataFrame], overrides: dict[tuple[str, str], dict] | None = None) -> DataFrame:
+def column_catalog(tables: dict[str, DataFrame], overrides: dict[tuple[str, str], dict] | None = None,
+                   with_table_metrics: bool = False) -> DataFrame:
     """One row per column with governance tags and measured NULL counts.
 
     ``overrides`` maps (table, column) to hand-written tags, which win over
-    the name rules.
+    the name rules. ``with_table_metrics`` adds the table's ROW_COUNT and key
+    NULL / DUPLICATE counts, measured in the same pass.
     """
     stats = reduce(lambda a, b: a.unionByName(b), [_column_stats(df, t) for t, df in tables.items()])
     name, table = F.col("column_name"), F.col("table_name")
+    extra = ["table_rows", "pk_null_count", "pk_duplicate_count"] if with_table_metrics else []
     out = stats.select(
         "table_name", "column_name", "ordinal", "data_type",
         semantic_type(name).alias("semantic_type"), sensitivity(name).alias("sensitivity"),
         identifier_role(name, F.col("__pk")).alias("identifier_role"), record_grain(table).alias("record_grain"),
-        "null_count", "non_null_count")
+        "null_count", "non_null_count", *extra)
     for (t, c), tags in (overrides or {}).items():
         hit = (table == t) & (name == c)
         for k, v in tags.items():
@@ -251,17 +264,10 @@ def column_profile(tables: dict[str, DataFrame], overrides: dict[tuple[str, str]
     """Column catalogue joined with the table metrics and the value classification.
 
     One row per column: governance tags and NULL counts (catalogue), the
-    table's ROW_COUNT / NULL_COUNT(pk) / DUPLICATE_COUNT(pk), and for string
-    columns the detected value class. All joins are on (table, column) or
-    table keys of report-sized frames.
+    table's ROW_COUNT / NULL_COUNT(pk) / DUPLICATE_COUNT(pk) from the same
+    pass, and for string columns the detected value class (a join of two
+    report-sized frames on (table, column)).
     """
-    from telvault.operators.metrics import data_metrics
-
-    cat = column_catalog(tables, overrides)
-    m = data_metrics(tables).groupBy("table_name").agg(
-        F.max(F.when(F.col("metric") == "ROW_COUNT", F.col("value"))).alias("table_rows"),
-        F.max(F.when(F.col("metric") == "NULL_COUNT", F.col("value"))).alias("pk_null_count"),
-        F.max(F.when(F.col("metric") == "DUPLICATE_COUNT", F.col("value"))).alias("pk_duplicate_count"))
+    cat = column_catalog(tables, overrides, with_table_metrics=True)
     cls = classify_columns(tables, sample_rows).select("table_name", "column_name", "value_class", "confidence")
-    return (cat.join(m, "table_name", "left")
-            .join(cls, ["table_name", "column_name"], "left"))
+    return cat.join(cls, ["table_name", "column_name"], "left")
