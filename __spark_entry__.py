@@ -28,6 +28,12 @@ from telvault.schemas import COLUMN_TESTS, RELATIONSHIPS, RISK_BANDS
 from telvault.session import apply_runtime_conf
 from telvault.sources.star import BILLING_AS_OF, EVENT_AS_OF, StarSource
 
+try:  # the training-data operators are an optional subpackage
+    from telvault.llm.oracle import SQL as LLM_SQL
+    from telvault.llm.queries import QUERIES as LLM_QUERIES
+except ImportError:
+    LLM_QUERIES, LLM_SQL = {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 SHORT = Windows(interactions=3, tickets=10)
 
@@ -292,9 +298,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_fingerprints_portable": q_table_fingerprints_portable,
     })
     out.update(POSTURE_PARTS)
+    out.update(LLM_QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import oracle_sql as _oracle
-    return _oracle()
+    return _oracle() | LLM_SQL
