@@ -12,7 +12,7 @@ Documents are known by ``k1`` (the id) and ``k2`` (the text's hash), so repeated
 ids do not mix. Joins are on (document, position), which no hot term or document
 gathers; small sides are written tables whose size Spark sees.
 
-Defined results: null and empty texts have no words, no hits and no items; null
+Ids are integers. Defined results: null and empty texts have no words, no hits and no items; null
 item ids match but are not listed or counted; items with equal text are listed
 each; repeated documents give repeated rows; further columns are dropped.
 """
@@ -29,6 +29,8 @@ WORD = r"[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 13
 DOC = ["k1", "k2"]
+END = ""  # no word is empty
+NO_ID = -(1 << 63)  # stands for a null id, and is no id itself
 
 
 def lower_az(word: Column) -> Column:
@@ -42,16 +44,19 @@ def words_of(text: str) -> Column:
 
 def doc_keys(id_col: str, text_col: str) -> list[Column]:
     """Never null, and equal for rows of equal id and text."""
-    return [F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("k1"),
+    return [F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("k1"),
             F.xxhash64(F.col(id_col).isNull(), F.col(text_col)).alias("k2")]
 
 
 def build_index(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame | None = None) -> DataFrame:
-    """Written postings (k1, k2, pos, term) of all words, or of those in ``terms`` (distinct)."""
-    rows = docs.select(*doc_keys(id_col, text_col), F.posexplode(words_of(f"coalesce(`{text_col}`, '')")).alias("pos", "word"))
+    """Written postings (k1, k2, pos, term) of all words, or of those in ``terms`` (distinct). Behind its last word each
+    row has a posting of the term END, whose position is thus the row's number of words."""
+    words = F.concat(words_of(f"coalesce(`{text_col}`, '')"), F.array(F.lit(END)))
+    rows = docs.select(*doc_keys(id_col, text_col), F.posexplode(words).alias("pos", "word"))
     rows = rows.select(*DOC, "pos", lower_az(F.col("word")).alias("term"))
     if terms is not None:
-        rows = rows.join(terms, "term")
+        end = docs.sparkSession.range(1).select(F.lit(END).alias("term"))
+        rows = rows.join(shared_table(terms.select("term").unionAll(end), "terms"), "term")
     return shared_table(rows.select(*DOC, "pos", "term"), "postings")
 
 
@@ -91,10 +96,8 @@ def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
     second = index.join(terms.where("rank = 2").select("term").distinct(), "term", "left_semi")
     both = adjusted(found, "rank = 2").join(second, place, "left_semi").select("phrase", "len", *DOC, "start")
     both = shared_table(both.unionAll(found.where("len = 1")), "intersected")
-    # the other lists: only postings of documents that are left
-    left = shared_table(both.where("len > 2").select(*DOC).distinct(), "documents_left")
-    rest = index.join(left, DOC, "left_semi")
-    whole = adjusted(both, "rank > 2").join(rest, place, "left_semi").groupBy("phrase", "len", *DOC, "start").agg(
+    # the other lists, which hold the frequent terms: one shuffle of the postings by place
+    whole = adjusted(both, "rank > 2").join(index, place, "left_semi").groupBy("phrase", "len", *DOC, "start").agg(
         F.count(F.lit(1)).alias("n")).where("n = len - 2").drop("n")
     return shared_table(whole.unionAll(both.where("len <= 2")), "matches")
 
@@ -111,15 +114,16 @@ def proximity_matches(index: DataFrame, pairs: DataFrame) -> DataFrame:
         "pair", *DOC, "pos_a", "pos_b").distinct()
 
 
-def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             item_col: str = "item_id", item_text: str = "text", width: int = WINDOW) -> DataFrame:
-    """(k1, k2, n_hit, n_items, items) of each distinct document with a hit: words inside occurrences of windows, and
-    the items (text, sorted) whose windows occur."""
+def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           item_col: str = "item_id", item_text: str = "text", width: int = WINDOW) -> DataFrame:
+    """Per row of ``docs``: id (bigint), k1, k2, n_words, n_hit (words inside occurrences of windows), n_items and items
+    (those whose windows occur, as text, sorted), contaminated (a twentieth of the words hit, and one at least)."""
     runs = windows(items, item_col, item_text, width).select("item", "words", F.unhex(F.md5(F.array_join("words", " "))).alias("phrase"))
     runs = shared_table(runs, "windows")
     phrases = runs.select("phrase", "words").distinct()
     vocabulary = shared_table(phrases.select(F.explode("words").alias("term")).distinct(), "vocabulary")
-    found = phrase_matches(build_index(docs, id_col, text_col, vocabulary), phrases)
+    index = build_index(docs, id_col, text_col, vocabulary)
+    found = phrase_matches(index, phrases)
     # words covered: each occurrence adds what lies beyond the furthest end so far
     before = Window.partitionBy(*DOC).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     spans = found.groupBy(*DOC, "start").agg(F.max(F.col("start") + F.col("len")).alias("end"))
@@ -127,24 +131,18 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     hits = spans.groupBy(*DOC).agg(F.sum(F.greatest(F.col("end") - F.greatest("start", "reached"), F.lit(0))).cast("long").alias("n_hit"))
     owners = runs.where("item is not null").select("phrase", F.col("item").cast("string").alias("item")).distinct()
     named = found.select("phrase", *DOC).distinct().join(owners, "phrase").groupBy(*DOC).agg(F.array_sort(F.collect_set("item")).alias("items"))
-    return hits.join(named, DOC, "left").select(*DOC, "n_hit", F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
-                                                F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-
-
-def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
-    """Per row of ``docs``: id, k1, k2, n_words, n_hit, n_items, items, contaminated (a twentieth of the words hit, and one at least)."""
-    found = shared_table(overlaps(docs, items, id_col, text_col, width=width), "overlaps")
-    rows = docs.select(id_col, *doc_keys(id_col, text_col), F.expr(f"cast(coalesce(regexp_count(`{text_col}`, '{WORD}'), 0) as bigint)").alias("n_words"))
+    found = shared_table(hits.join(named, DOC, "left"), "overlaps")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    joined = rows.join(found, DOC, "left").select(
-        id_col, *DOC, "n_words", zero(F.col("n_hit")).alias("n_hit"), zero(F.col("n_items")).alias("n_items"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-    return joined.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
+    rows = index.where(F.col("term") == END).select(*DOC, F.col("pos").cast("long").alias("n_words"))
+    return rows.join(found, DOC, "left").select(
+        F.nullif("k1", F.lit(NO_ID)).alias(id_col), *DOC, "n_words", zero(F.col("n_hit")).alias("n_hit"),
+        zero(F.size(F.coalesce("items", F.array()))).alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    ).withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
 
 
 def clean_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their own columns."""
-    found = report(docs, items, id_col, text_col, width)
+    found = report(docs, items, id_col, text_col, width=width)
     bad = shared_table(found.where("contaminated").select(*DOC).distinct(), "contaminated")
     a, b = fresh("k1", docs), fresh("k2", docs)
     keys = [c.alias(n) for c, n in zip(doc_keys(id_col, text_col), (a, b))]
