@@ -66,8 +66,11 @@ def grams(hashes: np.ndarray, doc: np.ndarray, gaps: tuple[tuple[int, ...], ...]
             x = first[:n] * MIX[1] + np.uint64(k + 1)
             for g in gap:
                 x = (x ^ (x >> np.uint64(31))) * MIX[2] + first[g:g + n]
-            same = doc[:n] == doc[far:]
-            put(x[same], doc[:n][same])
+            near = doc[:n] == doc[far:]
+            put(x[near], doc[:n][near])
+            if gap == (1,):  # a word that follows itself, whichever it is
+                near &= first[:n] == first[1:]
+                put(np.full(int(near.sum()), MIX[2]), doc[:n][near])
     return np.concatenate(features), np.concatenate(docs)
 
 
@@ -105,11 +108,22 @@ class Rates:
     beta: float = 1.0
     l1: float = 1.0
     l2: float = 1.0
-    epochs: int = 3
+    epochs: int = 3  # at least
+    steps: int = 25_000  # at least, within 12 epochs
+    least_texts: int = 5  # a feature that fewer examples have is not learned
 
 
 def fit(examples: list[tuple[np.ndarray, np.ndarray, float]], size: int, rates: Rates) -> tuple[np.ndarray, np.ndarray, float]:
-    """(coordinates, weights, bias) after ``epochs`` passes; the bias is a coordinate without L1."""
+    """(coordinates, weights, bias); the bias is a coordinate without L1. Examples weigh so that both labels count
+    alike, a rare one ten times at most."""
+    seen = np.zeros(size + 1, np.int64)
+    for at, *_ in examples:
+        seen[at] += 1
+    seen[size] = rates.least_texts
+    examples = [(at[keep], x[keep], y) for at, x, y in examples for keep in [seen[at] >= rates.least_texts]]
+    ones = sum(y for *_, y in examples)
+    weight = [min(10.0, len(examples) / (2 * max(1, c))) if examples else 1.0 for c in (len(examples) - ones, ones)]
+    epochs = max(rates.epochs, min(12, -(-rates.steps // max(1, len(examples)))))
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     l1 = np.full(size + 1, rates.l1)
     l1[size] = 0.0
@@ -117,10 +131,10 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray, float]], size: int, rates:
     def weights(at):
         return np.where(np.abs(z[at]) <= l1[at], 0.0, (np.sign(z[at]) * l1[at] - z[at]) / ((rates.beta + np.sqrt(n[at])) / rates.alpha + rates.l2))
 
-    for _ in range(rates.epochs):
+    for _ in range(epochs):
         for at, x, y in examples:
             w = weights(at)
-            g = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - y) * x
+            g = weight[int(y)] * (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - y) * x
             z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / rates.alpha * w
             n[at] += g * g
     w = weights(slice(None))

@@ -1,6 +1,6 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-A text's features are its words, their first four and five characters (inflected
+A text's features are its words, their first four to seven characters (inflected
 forms share weights), its word pairs, and pairs with one or two words between.
 Each counts once per text, so a single abusive word weighs the same in a long
 text as in a short one. L1 leaves a few thousand weights, which are broadcast.
@@ -27,11 +27,11 @@ def words(text: str) -> list[str]:
 
 
 def forms(word: str) -> tuple[str, ...]:
-    return word, word[:4], word[:5]
+    return word, word[:4], word[:5], word[:6], word[:7]
 
 
 FEATURES = Features(words, forms, ((1,), (2,), (3,)), share=False)
-RATES = Rates(alpha=0.7, l1=5.0, l2=0.0, epochs=4)
+RATES = Rates(alpha=1.0, l1=20.0, l2=0.0, epochs=3)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

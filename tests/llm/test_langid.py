@@ -47,7 +47,7 @@ def test_held_out_documents(spark):
 def test_words_of_code_switched_text(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.fit_languages(docs)
-    de, es = (docs.where(f"lang = '{x}' and n_chars between 400 and 4000").orderBy("doc_id").first()["text"] for x in ("de", "es"))
+    de, es = (docs.where(f"lang = '{x}' and n_chars between 1500 and 4000").orderBy("doc_id").first()["text"] for x in ("de", "es"))
     said, chances = model.word_chances([" ".join(de.split()[:25] + es.split()[:25] + de.split()[25:50])])
     best = [model.languages[k] for k in chances.argmax(axis=1)]
     n = len(langid.WORDS.findall(" ".join(de.split()[:25])))
