@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,11 +22,12 @@ from pyspark.sql import types as T
 
 from telvault.functions.hashing import stable_uuid
 from telvault.operators import catalog, features, metrics, quality, semantic
-from telvault.operators.staging import stage
+from telvault.operators.staging import STAGING_COLUMNS, stage
 from telvault.plans import contracts
 from telvault.plans.silver import Windows, build_silver, customer_360, support_posture
 from telvault.schemas import COLUMN_TESTS, RELATIONSHIPS, RISK_BANDS
-from telvault.session import apply_runtime_conf
+from telvault.session import apply_runtime_conf, checkpoint_dir
+from telvault.sources import files
 from telvault.sources.star import BILLING_AS_OF, EVENT_AS_OF, StarSource
 
 try:  # the training-data operators are an optional subpackage
@@ -96,7 +98,7 @@ def q_test_relationships(spark, sf_dir):
 
 
 def _marts(spark, sf_dir):
-    """Both marts over one checkpointed support-health satellite (built once, read twice)."""
+    """Both marts over one written support-health satellite (built once, read twice)."""
     s = build_silver(_star(spark, sf_dir).tables(), EVENT_AS_OF, BILLING_AS_OF, materialize=True)
     return {"mart_subscriber360_core": s.subscriber360_core, "mart_subscriber_health_scorecard": s.health_scorecard}
 
@@ -133,19 +135,56 @@ def q_schema_check(spark, sf_dir):
         quality.check_schema(posture, contracts.POSTURE_SCHEMA, target="support_posture")])
 
 
-RECONCILE_TABLES = ("party", "account", "product_offering", "service", "subscription", "usage_event", "invoice")
+def _bronze_dir(spark) -> str:
+    return f"{checkpoint_dir(spark)}/bronze/{uuid.uuid4().hex}"
 
 
 def q_row_reconciliation(spark, sf_dir):
-    star = _star(spark, sf_dir)
-    src = {t: star.table(t) for t in RECONCILE_TABLES}
-    return quality.reconcile_counts(src, {t: stage(df, t) for t, df in src.items()})
+    """Row counts of all derived tables against their written and re-read bronze copies."""
+    tables = _star(spark, sf_dir).tables()
+    bronze = _bronze_dir(spark)
+    files.ingest(tables, bronze)
+    return quality.reconcile_counts(tables, files.read_bronze(spark, bronze, tables))
+
+
+def q_bronze_load_report(spark, sf_dir):
+    """The three source-aligned acquisitions into bronze: rows as counted while writing."""
+    star, bronze = _star(spark, sf_dir), _bronze_dir(spark)
+    reports = [files.acquire(product, star.table, bronze) for product in files.ACQUISITIONS]
+    return quality.union_all(reports).select("table_name", "rows")
+
+
+def q_landing_csv(spark, sf_dir):
+    """The charges, landed as CSV and read back with their declared schema."""
+    path = f"{_bronze_dir(spark)}/invoice_charge"
+    files.write_landing_csv(_star(spark, sf_dir).table("invoice_charge"), path)
+    return _portable(files.read_landing_csv(spark, path, "invoice_charge"))
 
 
 def q_freshness(spark, sf_dir):
-    star = _star(spark, sf_dir)
-    tables = {t: star.table(t) for t in RECONCILE_TABLES}
-    return quality.freshness(tables, contracts.LOADED_AT_FIELDS, EVENT_AS_OF, contracts.SILVER_FRESHNESS_HOURS)
+    return quality.freshness(_star(spark, sf_dir).tables(), contracts.LOADED_AT_FIELDS, EVENT_AS_OF,
+                             contracts.SILVER_FRESHNESS_HOURS)
+
+
+BOUND_RULES = [quality.Rule("score_at_most_100", "accuracy", "support_health_score", 100, "<=", "warn"),
+               quality.Rule("score_under_50", "accuracy", "support_health_score", 50, "<", "warn"),
+               quality.Rule("score_over_0", "accuracy", "support_health_score", 0, ">", "warn")]
+
+
+def q_dq_bounds(spark, sf_dir):
+    """Accuracy rules from above and below."""
+    return quality.evaluate_rules(_silver(spark, sf_dir).subscriber360_core, BOUND_RULES, "mart_subscriber360_core")
+
+
+DRIFT_CONTRACT = [("PAYMENT_ID", "STRING", True), ("INVOICE_ID", "STRING", False), ("AMOUNT_CHF", "NUMBER", False),
+                  ("CURRENCY", "STRING", False)]
+
+
+def q_schema_drift(spark, sf_dir):
+    """A payment frame that has an added, a removed and a retyped column, against its contract."""
+    pay = _star(spark, sf_dir).table("payment").select(
+        "payment_id", F.col("invoice_id").cast("bigint").alias("invoice_id"), "amount_chf", "payment_method")
+    return quality.check_schema(pay, DRIFT_CONTRACT, target="payment")
 
 
 def q_data_metrics(spark, sf_dir):
@@ -179,23 +218,27 @@ def q_metric_support_health_by_band(spark, sf_dir):
         ["SUPPORT_RISK_BAND"], round_digits=2))
 
 
-def q_customer_360(spark, sf_dir):
+def _customer_360(spark, sf_dir):
     tables = _star(spark, sf_dir).tables()
     # each silver product's health satellite feeds its core and its scorecard:
-    # checkpoint it once (shared checkpoint folder) instead of building it twice
+    # it is written once (shared folder) instead of built twice
     b1 = build_silver(tables, EVENT_AS_OF, BILLING_AS_OF, materialize=True)
     b2 = build_silver(tables, EVENT_AS_OF, BILLING_AS_OF, SHORT, materialize=True)
-    return _portable(customer_360([b1, b2]))
+    return customer_360([b1, b2])
+
+
+def q_customer_360(spark, sf_dir):
+    return _portable(_customer_360(spark, sf_dir))
 
 
 def q_customer_360_rules(spark, sf_dir):
     """Gold contract rules over the customer 360 (one aggregate, one row per rule)."""
-    gold = q_customer_360(spark, sf_dir)
+    gold = _customer_360(spark, sf_dir)
     return quality.evaluate_rules(gold, contracts.CUSTOMER_360_RULES, "customer_360")
 
 
 def q_metric_customer_360(spark, sf_dir):
-    gold = q_customer_360(spark, sf_dir)
+    gold = _customer_360(spark, sf_dir)
     return _portable(semantic.metric_query(
         semantic.CUSTOMER_360_MODEL, gold, ["subscription_count", "total_revenue_30d", "avg_health_score"],
         grain="day", round_digits=2))
@@ -211,23 +254,13 @@ def q_party_uuid(spark, sf_dir):
                         .alias("party_uuid"))
 
 
-def _fingerprints(spark, sf_dir, portable: bool):
-    from telvault.sources.files import fingerprint
+def q_table_fingerprints_portable(spark, sf_dir):
+    """Order-free content fingerprint (rows, bit_xor of md5 row hashes) per landing table."""
     star = _star(spark, sf_dir)
-    return quality.union_all([fingerprint(df, portable).select(F.lit(t).alias("table_name"), "rows", "fingerprint")
+    return quality.union_all([files.fingerprint(df, portable=True).select(F.lit(t).alias("table_name"), "rows", "fingerprint")
                               for t, df in star.tables().items()])
 
 
-def q_table_fingerprints(spark, sf_dir):
-    """Order-free content fingerprint (rows, bit_xor of xxhash64 row hashes) per landing table."""
-    return _fingerprints(spark, sf_dir, portable=False)
-
-
-def q_table_fingerprints_portable(spark, sf_dir):
-    """Same, with the engine-portable md5 row hash (recomputable in SQL, so it has an oracle)."""
-    return _fingerprints(spark, sf_dir, portable=True)
-
-
 def q_pii_masked_core(spark, sf_dir):
     s = _silver(spark, sf_dir)
     upstream = catalog.tag_columns(s.sat_account_profile, {"account_number": "pii"})
@@ -280,7 +313,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_subscriber360_core": _silver_attr("subscriber360_core"),
         "mart_health_scorecard": _silver_attr("health_scorecard"),
     }
-    for t in ("party", "account", "product_offering", "service", "subscription", "usage_event", "invoice"):
+    for t in STAGING_COLUMNS:
         out[f"stg_{t}"] = _stage(t)
     out.update({
         "test_unique": q_test_unique, "test_not_null": q_test_not_null,
@@ -294,7 +327,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "customer_360": q_customer_360, "pii_masked_core": q_pii_masked_core,
         "metric_customer_360": q_metric_customer_360, "party_uuid": q_party_uuid,
         "customer_360_rules": q_customer_360_rules,
-        "table_fingerprints": q_table_fingerprints,
+        "dq_bounds": q_dq_bounds, "schema_drift": q_schema_drift,
+        "landing_csv": q_landing_csv, "bronze_load_report": q_bronze_load_report,
         "table_fingerprints_portable": q_table_fingerprints_portable,
     })
     out.update(POSTURE_PARTS)

@@ -112,7 +112,43 @@ invoice_charge AS (
          'line ' || cast(l_linenumber AS varchar) AS charge_description,
          cast(l_quantity AS decimal(12,4)) AS quantity, cast(l_quantity AS decimal(10,2)) AS amount_chf,
          cast(l_shipdate AS date) AS charge_date
-  FROM lineitem)"""
+  FROM lineitem),
+individual AS (
+  SELECT 'I' || c_custkey AS individual_id, cast(c_custkey AS varchar) AS party_id, 'Customer' AS first_name,
+         cast(c_custkey AS varchar) AS last_name, 'customer' || c_custkey || '@example.com' AS email,
+         cast(NULL AS date) AS date_of_birth, cast(NULL AS timestamp) AS created_at
+  FROM customer),
+device AS (
+  SELECT 'D' || c_custkey AS device_id, cast(c_custkey AS varchar) AS account_id, 'phone' AS device_type,
+         cast(NULL AS varchar) AS manufacturer, c_mktsegment AS model, lpad(cast(c_custkey AS varchar), 15, '0') AS imei,
+         CASE WHEN c_acctbal < 0 THEN 'suspended' ELSE 'active' END AS status, cast(NULL AS timestamp) AS registered_at
+  FROM customer),
+sim_card AS (
+  SELECT 'M' || c_custkey AS sim_id, cast(c_custkey AS varchar) AS account_id, 'D' || c_custkey AS device_id,
+         '+41' || lpad(cast(c_custkey AS varchar), 9, '0') AS msisdn, '89' || lpad(cast(c_custkey AS varchar), 17, '0') AS iccid,
+         CASE WHEN c_acctbal < 0 THEN 'suspended' ELSE 'active' END AS status, cast(NULL AS timestamp) AS activated_at
+  FROM customer),
+app_event AS (
+  SELECT cast(event_id AS varchar) AS app_event_id, cast(user_id AS varchar) AS account_id, 'D' || user_id AS device_id,
+         event_type, cast(value AS decimal(8,2)) AS session_minutes, ts AS event_timestamp
+  FROM events),
+payment AS (
+  SELECT 'P' || o_orderkey AS payment_id, cast(o_orderkey AS varchar) AS invoice_id,
+         cast(o_totalprice AS decimal(10,2)) AS amount_chf, o_orderpriority AS payment_method,
+         cast(o_orderdate AS date) + 20 AS payment_date,
+         CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE 'settled' END AS status, o_orderdate AS created_at
+  FROM orders),
+agreement AS (
+  SELECT 'A' || o_orderkey AS agreement_id, cast(o_custkey AS varchar) AS account_id, o_orderpriority AS agreement_type,
+         CASE o_orderstatus WHEN 'O' THEN 'active' WHEN 'P' THEN 'suspended' WHEN 'F' THEN 'terminated' END AS status,
+         cast(o_orderdate AS date) AS signed_date, cast(o_orderdate AS date) + 1 AS effective_date,
+         cast(NULL AS date) AS termination_date, o_orderdate AS created_at
+  FROM orders),
+service_order AS (
+  SELECT cast(o_orderkey AS varchar) AS order_id, cast(o_custkey AS varchar) AS account_id, o_orderpriority AS order_type,
+         CASE o_orderstatus WHEN 'O' THEN 'active' WHEN 'P' THEN 'suspended' WHEN 'F' THEN 'terminated' END AS status,
+         o_orderdate AS order_date, cast(NULL AS timestamp) AS fulfillment_date
+  FROM orders)"""
 
 DV = f"""
 stg_account AS (
@@ -369,6 +405,17 @@ STAGING = {
                "cast(due_date AS timestamp) AS due_date, "
                "cast(total_amount_chf AS double) AS total_amount_chf, status, created_at",
 }
+_DATE = lambda c: f"cast({c} AS timestamp) AS {c}"
+STAGING |= {
+    "individual": f"individual_id, party_id, first_name, last_name, email, {_DATE('date_of_birth')}, created_at",
+    "device": "device_id, account_id, device_type, manufacturer, model, imei, status, registered_at",
+    "sim_card": "sim_id, account_id, device_id, msisdn, iccid, status, activated_at",
+    "app_event": f"app_event_id, account_id, device_id, event_type, {_dbl('session_minutes')}, event_timestamp",
+    "payment": f"payment_id, invoice_id, {_dbl('amount_chf')}, payment_method, {_DATE('payment_date')}, status, created_at",
+    "agreement": f"agreement_id, account_id, agreement_type, status, {_DATE('signed_date')}, {_DATE('effective_date')}, "
+                 f"{_DATE('termination_date')}, created_at",
+    "service_order": "order_id, account_id, order_type, status, order_date, fulfillment_date",
+}
 STAGING_SQL = {f"stg_{t}": q(f"SELECT {cols} FROM {t}") for t, cols in STAGING.items()}
 
 
@@ -401,7 +448,8 @@ from telvault.plans.contracts import CORE_RULES, CORE_SCHEMA, POSTURE_SCHEMA, SC
 from telvault.schemas import COLUMN_TESTS, PRIMARY_KEYS, RELATIONSHIPS, RISK_BANDS, SCHEMAS  # noqa: E402
 
 STAR = ("party", "account", "product_offering", "service", "subscription", "usage_event", "customer_interaction",
-        "trouble_ticket", "service_lifecycle_event", "invoice", "invoice_charge")
+        "trouble_ticket", "service_lifecycle_event", "invoice", "invoice_charge", "individual", "device", "sim_card",
+        "app_event", "payment", "agreement", "service_order")
 
 
 def _lit(v) -> str:
@@ -456,7 +504,7 @@ def _rule(target, src, r) -> str:
     elif r.type == "valid_values":
         v = f"coalesce(cast(count_if({c} IN {_inlist(r.values)}) AS double) / nullif(count({c}), 0), 1.0)"
     else:
-        v = f"cast(min({c}) AS double)"
+        v = f"cast({'max' if r.operator in ('<', '<=') else 'min'}({c}) AS double)"
     return (f"SELECT {_lit(target)} AS target, {_lit(r.id)} AS rule_id, {_lit(r.type)} AS rule_type, "
             f"{_lit(c)} AS selector, value, cast({float(r.threshold)} AS double) AS threshold, {_lit(r.operator)} AS operator, "
             f"{_lit(r.severity)} AS severity, coalesce(value {r.operator} {float(r.threshold)}, "
@@ -513,14 +561,14 @@ LEFT JOIN open_tickets t ON s.service_id = t.service_id
 LEFT JOIN latest_lifecycle l ON s.service_id = l.service_id
 WHERE s.status <> 'terminated')""")
 
-RECONCILE_TABLES = ("party", "account", "product_offering", "service", "subscription", "usage_event", "invoice")
 ROW_RECONCILIATION = q("\nUNION ALL\n".join(
     f"SELECT {_lit(t)} AS table_name, count(*) AS source_rows, count(*) AS target_rows, true AS matched FROM {t}"
-    for t in RECONCILE_TABLES))
+    for t in STAR))
 
 FRESH = {"party": "updated_at", "account": "created_at", "product_offering": "created_at",
          "service": "activated_at", "subscription": "created_at", "usage_event": "event_timestamp",
-         "invoice": "created_at"}
+         "invoice": "created_at", "individual": "created_at", "device": "registered_at", "sim_card": "activated_at",
+         "app_event": "event_timestamp", "payment": "created_at", "agreement": "created_at", "service_order": "order_date"}
 FRESHNESS = q("\nUNION ALL\n".join(
     f"SELECT {_lit(t)} AS table_name, {_lit(c)} AS loaded_at_field, latest, lag_hours, cast(6.0 AS double) AS slo_hours, "
     f"coalesce(lag_hours <= 6.0, false) AS passed FROM (SELECT max({c}) AS latest, "
@@ -661,6 +709,12 @@ SELECT cast(date_trunc('day', snapshot_at) AS timestamp) AS snapshot_at__day,
 FROM c360 GROUP BY 1""", *C360_BLOCKS, "c360 AS (" + C360_BODY + ")")
 
 from telvault.plans.contracts import CUSTOMER_360_RULES  # noqa: E402
+UPPER_RULES = q("""SELECT 'mart_subscriber360_core' AS target, id AS rule_id, 'accuracy' AS rule_type, 'support_health_score' AS selector,
+  cast(v AS double) AS value, cast(threshold AS double) AS threshold, op AS operator, 'warn' AS severity, ok AS passed
+FROM (SELECT max(support_health_score) AS hi, min(support_health_score) AS lo FROM core) m,
+  LATERAL (SELECT 'score_at_most_100' AS id, hi AS v, 100 AS threshold, '<=' AS op, coalesce(hi <= 100, true) AS ok
+           UNION ALL SELECT 'score_under_50', hi, 50, '<', coalesce(hi < 50, true)
+           UNION ALL SELECT 'score_over_0', lo, 0, '>', coalesce(lo > 0, true)) r""", MART_TESTS)
 C360_RULES = q("\nUNION ALL\n".join(_rule("customer_360", "c360", r) for r in CUSTOMER_360_RULES),
                *C360_BLOCKS, "c360 AS (" + C360_BODY + ")")
 
@@ -682,6 +736,19 @@ FINGERPRINTS_PORTABLE = q("\nUNION ALL\n".join(
     f"bit_xor(('0x' || substr({h(*SCHEMAS[t].fieldNames())}, 1, 15))::BIGINT) AS fingerprint FROM {t}"
     for t in STAR))
 
+DRIFTED = [("PAYMENT_ID", "STRING", True, "string", "0", "ok"), ("INVOICE_ID", "STRING", False, "bigint", "NULL", "retyped"),
+           ("AMOUNT_CHF", "NUMBER", False, "decimal(10,2)", "NULL", "ok"), ("CURRENCY", "STRING", False, None, "NULL", "removed"),
+           ("payment_method", None, False, "string", "NULL", "added")]
+SCHEMA_DRIFT = " UNION ALL ".join(
+    f"SELECT 'payment' AS target, '{n}' AS column_name, {_lit(t) if t else 'NULL'} AS expected_type, "
+    f"{_lit(a) if a else 'NULL'} AS actual_type, {str(r).lower()} AS required, cast({k} AS bigint) AS null_count, "
+    f"'{st}' AS status, {str(st == 'ok').lower()} AS passed" for n, t, r, a, k, st in DRIFTED)
+LANDING_CSV = q(f"SELECT charge_id, invoice_id, charge_type, charge_description, {_dbl('quantity')}, {_dbl('amount_chf')}, "
+                f"{_DATE('charge_date')} FROM invoice_charge")
+LOAD_REPORT = q(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in (
+    "invoice", "invoice_charge", "party", "account", "service", "subscription", "product_offering", "usage_event",
+    "customer_interaction", "trouble_ticket")))
+
 POSTURE_PARTS = {
     "usage_by_service_30d": f"SELECT service_id, usage_events_30d, {_dbl('data_mb_30d')} FROM usage_30d",
     "interactions_by_account_30d": "SELECT * FROM interactions_30d",
@@ -701,7 +768,8 @@ def oracle_sql_extra() -> dict[str, str]:
         "metric_active_recurring_revenue": METRIC_ARR, "metric_support_health_by_band": METRIC_BAND,
         "customer_360": CUSTOMER_360, "pii_masked_core": PII_MASKED_CORE,
         "metric_customer_360": METRIC_C360, "party_uuid": PARTY_UUID, "customer_360_rules": C360_RULES,
-        "table_fingerprints_portable": FINGERPRINTS_PORTABLE,
+        "table_fingerprints_portable": FINGERPRINTS_PORTABLE, "dq_bounds": UPPER_RULES, "schema_drift": SCHEMA_DRIFT,
+        "landing_csv": LANDING_CSV, "bronze_load_report": LOAD_REPORT,
     }
     out.update(POSTURE_PARTS_SQL)
     return out

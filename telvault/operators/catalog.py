@@ -78,7 +78,7 @@ VALUE_PATTERNS: list[tuple[str, str]] = [
     ("uuid", r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"),
     ("imei", r"^[0-9]{15}$"),
     ("iccid", r"^89[0-9]{17,18}$"),
-    ("phone", r"^\+?[0-9]{8,15}$"),
+    ("phone", r"^(\+|0)[0-9]{8,15}$"),
     ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
     ("number", r"^-?[0-9]+(\.[0-9]+)?$"),
 ]
@@ -97,7 +97,7 @@ def _pattern_guard(value_class: str, v: Column) -> Column | None:
         "uuid": n == 36,
         "imei": n == 15,
         "iccid": (n >= 19) & (n <= 20) & v.startswith("89"),
-        "phone": (n >= 8) & (n <= 16),
+        "phone": (n >= 9) & (n <= 16) & (v.startswith("+") | v.startswith("0")),
         "date": n == 10,
     }.get(value_class)
 
@@ -140,28 +140,29 @@ def record_grain(table: Column) -> Column:
 
 
 def _column_stats(df: DataFrame, table: str) -> DataFrame:
-    """Per column: (table_name, column_name, ordinal, data_type, null_count, non_null_count),
-    plus the table's row count and key NULL / duplicate counts -- all from one pass.
-
-    The key statistics ride along as plain columns; a caller that does not
-    select them lets the optimizer drop them from the aggregate.
-    """
+    """Per column: (table_name, column_name, ordinal, data_type, null_count, non_null_count) and the table's row
+    count, from one plain aggregate."""
     cols = df.columns
-    pk = primary_key(table, cols)
     m = df.agg(F.count(F.lit(1)).alias("__rows"),
-               F.count_if(F.col(pk).isNull()).alias("__pk_nulls"),
-               (F.count(F.col(pk)) - F.count_distinct(F.col(pk))).alias("__pk_dups"),
                *[F.count_if(F.col(c).isNull()).alias(f"__n{i}") for i, c in enumerate(cols)])
     meta = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(i + 1).alias("ordinal"),
                               F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
                               F.col(f"__n{i}").alias("null_count")) for i, c in enumerate(cols)])
-    return (m.select("__rows", "__pk_nulls", "__pk_dups", F.inline(meta))
+    return (m.select("__rows", F.inline(meta))
             .select(F.lit(table).alias("table_name"), "column_name", "ordinal", "data_type",
                     F.col("null_count").cast("bigint").alias("null_count"),
                     (F.col("__rows") - F.col("null_count")).cast("bigint").alias("non_null_count"),
-                    F.lit(pk).alias("__pk"), F.col("__rows").cast("bigint").alias("table_rows"),
-                    F.col("__pk_nulls").cast("bigint").alias("pk_null_count"),
-                    F.col("__pk_dups").cast("bigint").alias("pk_duplicate_count")))
+                    F.lit(primary_key(table, cols)).alias("__pk"), F.col("__rows").cast("bigint").alias("table_rows")))
+
+
+def _key_stats(df: DataFrame, table: str) -> DataFrame:
+    """(table_name, pk_null_count, pk_duplicate_count) from a grouping of the key alone: in one aggregate with the
+    NULL counters, a distinct count would carry every counter through the key's shuffle."""
+    per_key = df.groupBy(F.col(primary_key(table, df.columns)).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+    rows = lambda cond, value: F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("bigint")
+    return per_key.agg(rows(F.col("__k").isNull(), F.col("__n")).alias("pk_null_count"),
+                       rows(F.col("__k").isNotNull(), F.col("__n") - 1).alias("pk_duplicate_count")
+                       ).select(F.lit(table).alias("table_name"), "pk_null_count", "pk_duplicate_count")
 
 
 def column_catalog(tables: dict[str, DataFrame], overrides: dict[tuple[str, str], dict] | None = None,
@@ -170,9 +171,11 @@ def column_catalog(tables: dict[str, DataFrame], overrides: dict[tuple[str, str]
 
     ``overrides`` maps (table, column) to hand-written tags, which win over
     the name rules. ``with_table_metrics`` adds the table's ROW_COUNT and key
-    NULL / DUPLICATE counts, measured in the same pass.
+    NULL / DUPLICATE counts.
     """
     stats = reduce(lambda a, b: a.unionByName(b), [_column_stats(df, t) for t, df in tables.items()])
+    if with_table_metrics:
+        stats = stats.join(reduce(lambda a, b: a.unionByName(b), [_key_stats(df, t) for t, df in tables.items()]), "table_name")
     name, table = F.col("column_name"), F.col("table_name")
     extra = ["table_rows", "pk_null_count", "pk_duplicate_count"] if with_table_metrics else []
     out = stats.select(
@@ -187,31 +190,28 @@ def column_catalog(tables: dict[str, DataFrame], overrides: dict[tuple[str, str]
     return out
 
 
-def classify_columns(tables: dict[str, DataFrame], sample_rows: int | None = None,
-                     min_confidence: float = CLASSIFY_MIN_CONFIDENCE) -> DataFrame:
+def classify_columns(tables: dict[str, DataFrame], min_confidence: float = CLASSIFY_MIN_CONFIDENCE) -> DataFrame:
     """Per string column: best-matching value class and its share of non-NULL values.
 
-    Long form: every string value becomes a (table, column, value) row, all
-    tables are unioned, and one grouped aggregate counts the pattern hits
-    per column (partial aggregation keeps the shuffle at one row per column
-    and input partition). ``sample_rows`` limits each table to its first N
-    rows (the reference classifies a 1,000-row sample); by default every row
-    is measured. Below ``min_confidence`` the class is ``unclassified``.
+    Every row is measured. A table's string cells are numbered by column and
+    counted by that number: a wide aggregate of every column and pattern
+    would outgrow generated code. Partial aggregation leaves one row per
+    column and input partition to shuffle. Below ``min_confidence`` the class
+    is ``unclassified``.
     """
-    longs = []
+    reports = []
     for t, df in tables.items():
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
         if not cols:
             continue
-        src = df.limit(sample_rows) if sample_rows else df
-        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in cols]))
-        longs.append(src.select(cells.alias("__c"))
-                     .select(F.lit(t).alias("table_name"), "__c.column_name", "__c.v"))
-    cells = reduce(lambda a, b: a.unionByName(b), longs)
-    v = F.col("v")
-    counts = cells.groupBy("table_name", "column_name").agg(
-        F.count(v).alias("non_null"),
-        *[F.count_if(_matches(k, pat, v)).alias(f"__m{j}") for j, (k, pat) in enumerate(VALUE_PATTERNS)])
+        v = F.col("v")
+        counted = (df.select(F.posexplode(F.array(*cols)).alias("i", "v")).groupBy("i")
+                   .agg(F.count(v).alias("non_null"),
+                        *[F.count_if(_matches(k, pat, v)).alias(f"__m{j}") for j, (k, pat) in enumerate(VALUE_PATTERNS)]))
+        names = F.array(*[F.lit(c) for c in cols])
+        reports.append(counted.select(F.lit(t).alias("table_name"), F.element_at(names, F.col("i") + 1).alias("column_name"),
+                                      "non_null", *[f"__m{j}" for j in range(len(VALUE_PATTERNS))]))
+    counts = reduce(lambda a, b: a.unionByName(b), reports)
     nn = F.col("non_null")
     scored = F.array(*[F.struct(F.when(nn > 0, F.col(f"__m{j}") / nn).otherwise(F.lit(0.0)).alias("ratio"),
                                 F.lit(-j).alias("neg_priority"), F.lit(k).alias("value_class"))
@@ -259,8 +259,7 @@ def auto_tag(df: DataFrame, classification: DataFrame, table: str, key: str = "v
     return tag_columns(df, {r.column_name: r.value_class for r in rows if r.column_name in df.columns}, key)
 
 
-def column_profile(tables: dict[str, DataFrame], overrides: dict[tuple[str, str], dict] | None = None,
-                   sample_rows: int | None = None) -> DataFrame:
+def column_profile(tables: dict[str, DataFrame], overrides: dict[tuple[str, str], dict] | None = None) -> DataFrame:
     """Column catalogue joined with the table metrics and the value classification.
 
     One row per column: governance tags and NULL counts (catalogue), the
@@ -269,5 +268,5 @@ def column_profile(tables: dict[str, DataFrame], overrides: dict[tuple[str, str]
     report-sized frames on (table, column)).
     """
     cat = column_catalog(tables, overrides, with_table_metrics=True)
-    cls = classify_columns(tables, sample_rows).select("table_name", "column_name", "value_class", "confidence")
+    cls = classify_columns(tables).select("table_name", "column_name", "value_class", "confidence")
     return cat.join(cls, ["table_name", "column_name"], "left")

@@ -1,4 +1,4 @@
-"""Join helpers: NULL-as-wildcard left join, size-checked broadcast, orphans."""
+"""Join helpers: NULL-as-wildcard left join."""
 
 from __future__ import annotations
 
@@ -6,28 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early).
-    Above the bound the frame is returned unchanged and the planner (with
-    AQE's runtime statistics) chooses a shuffle join instead.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-# Wildcard rows are replicated into this many salt buckets so that the keys of
-# one hot group (say an account holding a third of all services) spread over
-# that many tasks; only wildcard rows (at most one per group and feature) are
-# replicated. Salts come from a hash of the key, so a retried task sees the
-# same assignment.
-WILDCARD_SALT_BUCKETS = 16
-
-
-def wildcard_matches(right: DataFrame, keys: DataFrame, group_key: str, wildcard_key: str,
-                     salt_buckets: int = WILDCARD_SALT_BUCKETS) -> DataFrame:
+def wildcard_matches(right: DataFrame, keys: DataFrame, group_key: str, wildcard_key: str) -> DataFrame:
     """Right rows keyed for an equi-join that reproduces the NULL-as-wildcard condition.
 
     Condition: ``l.g = r.g AND coalesce(l.w, '') = coalesce(r.w, l.w)``. The
@@ -38,35 +17,26 @@ def wildcard_matches(right: DataFrame, keys: DataFrame, group_key: str, wildcard
       k = '' (a NULL left key compares as '');
     * wildcard row (w NULL): one row per distinct non-NULL left key of its
       group, taken from ``keys`` (the left entity table, not an accumulated
-      join).
+      join), by an inner join on the group. The keys of a hot group are the
+      large side of that join, which AQE splits.
 
-    One pass over ``right``: a left join to the group's keys that only
-    wildcard rows can satisfy, then an ``explode`` of each row's probe keys.
     Output is bounded by right rows + (left keys x wildcard rows per group).
-    The join is on (group, salt): keys carry ``hash(key) mod buckets``, each
-    wildcard row is copied once per bucket, keyed rows carry salt -1 and
-    pass through unmatched.
     """
     rcols = [c for c in right.columns if c not in (group_key, wildcard_key)]
-    n = max(1, int(salt_buckets))
-    lk = (keys.select(F.col(group_key).alias("__g"), F.col(wildcard_key).alias("__lk"))
-          .filter(F.col("__lk").isNotNull() & F.col("__g").isNotNull())
-          .distinct()
-          .withColumn("__ks", F.pmod(F.xxhash64("__lk"), F.lit(n)).cast("int")))
     w = F.col(wildcard_key)
-    salted = right.withColumn("__rs", F.explode(F.when(w.isNull(), F.sequence(F.lit(0), F.lit(n - 1)))
-                                                 .otherwise(F.array(F.lit(-1)))))
-    x = salted.join(lk, (F.col(group_key) == F.col("__g")) & (F.col("__rs") == F.col("__ks")), "left")
+    # grouped on more than the join's key, so that the join shuffles both sides itself: only such a shuffle can be split
+    lk = (keys.select(F.col(group_key).alias("__g"), F.col(wildcard_key).alias("__lk"))
+          .filter(F.col("__lk").isNotNull() & F.col("__g").isNotNull()).distinct())
+    wild = right.filter(w.isNull()).drop(wildcard_key).join(lk, F.col(group_key) == F.col("__g")).select(
+        group_key, F.lit(False).alias("__wnull"), F.col("__lk").cast("string").alias("__wkey"), *rcols)
 
     def probe(is_null, key):
         return F.struct(F.lit(is_null).alias("__wnull"), key.cast("string").alias("__wkey"))
 
-    probes = (F.when(w.isNull(), F.array(probe(False, F.col("__lk"))))
-              .when(w == "", F.array(probe(False, w), probe(True, F.lit(""))))
-              .otherwise(F.array(probe(False, w))))
-    return (x.select(group_key, F.explode(probes).alias("__p"), *rcols)
-            .select(group_key, "__p.__wnull", "__p.__wkey", *rcols)
-            .filter(F.col("__wkey").isNotNull()))
+    probes = F.when(w == "", F.array(probe(False, w), probe(True, F.lit("")))).otherwise(F.array(probe(False, w)))
+    keyed = (right.filter(w.isNotNull()).select(group_key, F.explode(probes).alias("__p"), *rcols)
+             .select(group_key, "__p.__wnull", "__p.__wkey", *rcols))
+    return wild.unionByName(keyed)
 
 
 def probe_keys(df: DataFrame, wildcard_key: str) -> DataFrame:
@@ -101,10 +71,3 @@ def wildcard_left_join(left: DataFrame, right: DataFrame, group_key: str, wildca
     m = wildcard_matches(right, left if keys is None else keys, group_key, wildcard_key)
     return probe_keys(left, wildcard_key).join(m, [group_key, "__wnull", "__wkey"], "left") \
         .drop("__wnull", "__wkey")
-
-
-def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent (NULL child keys are not orphans)."""
-    p = parent.select(F.col(parent_col).alias("__pk")).filter(F.col("__pk").isNotNull())
-    return (child.filter(F.col(child_col).isNotNull())
-            .join(p, F.col(child_col) == F.col("__pk"), "left_anti"))

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from telvault.functions.scoring import exact_avg
 from telvault.operators.features import interactions_30d, latest_lifecycle, open_tickets, usage_30d
-from telvault.operators.joins import bounded_broadcast
-
-# Dimension lookups (product plans) are broadcast only under this proven bound.
-DIMENSION_BROADCAST_ROWS = 100_000
 
 CORE_COLUMNS = [
     "party_id", "account_id", "account_number", "service_id", "subscription_id", "product_offering_name",
@@ -27,33 +23,28 @@ POSTURE_COLUMNS = [
     "usage_events_30d", "data_mb_30d", "interaction_count_30d", "open_ticket_count", "latest_interaction_at",
     "latest_lifecycle_event_at",
 ]
-CUSTOMER_360_COLUMNS = [
-    "account_id", "account_number", "subscription_count", "active_service_count", "total_revenue_30d", "avg_health_score", "high_risk_flag", "last_interaction_at", "snapshot_at",
-]
 
 
 def subscriber360_core(sat_account: DataFrame, dv_service: DataFrame, dv_subscription: DataFrame,
-                       dv_product_offering: DataFrame, sat_health: DataFrame, dv_account: DataFrame,
-                       broadcast_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
+                       dv_product_offering: DataFrame, sat_health: DataFrame, dv_account: DataFrame) -> DataFrame:
     """Core mart: account x service, left to subscription, plan, health, party."""
     a = sat_account.select("account_id", "account_number", F.col("account_status").alias("billing_status"))
     s = dv_service.select("account_id", "service_id", "hk_service", "service_status")
     sub = dv_subscription.select(F.col("service_id").alias("__sub_sid"), "subscription_id",
                                  "product_offering_id")
-    po = bounded_broadcast(dv_product_offering.select(F.col("product_offering_id").alias("__po_id"),
-                                                      "product_offering_name"), broadcast_rows)
+    po = dv_product_offering.select(F.col("product_offering_id").alias("__po_id"), "product_offering_name")
     h = sat_health.select(F.col("hk_service").alias("__h_hk"), "monthly_recurring_charge", "data_mb_30d",
                           "interaction_count_30d", "open_ticket_count_30d", "support_health_score",
                           "support_risk_band", "last_interaction_at", "snapshot_at")
     p = dv_account.select(F.col("account_id").alias("__p_aid"), "party_id")
     # Each left join's condition uses only base (account, service) columns, so
-    # the joins commute: the two account-keyed joins run back to back and
-    # share one hash partitioning, then the service-keyed ones follow.
+    # the joins commute. The two account-keyed ones stand apart: back to back
+    # they would share one shuffle, which AQE then cannot split for a hot account.
     j = (a.join(s, "account_id")
-         .join(p, F.col("account_id") == F.col("__p_aid"), "left")
          .join(sub, F.col("service_id") == F.col("__sub_sid"), "left")
          .join(po, F.col("product_offering_id") == F.col("__po_id"), "left")
-         .join(h, F.col("hk_service") == F.col("__h_hk"), "left"))
+         .join(h, F.col("hk_service") == F.col("__h_hk"), "left")
+         .join(p, F.col("account_id") == F.col("__p_aid"), "left"))
     return j.select(*CORE_COLUMNS)
 
 
@@ -63,8 +54,7 @@ def health_scorecard(sat_health: DataFrame) -> DataFrame:
 
 def support_posture(service: DataFrame, subscription: DataFrame, product_offering: DataFrame,
                     usage_event: DataFrame, customer_interaction: DataFrame, trouble_ticket: DataFrame,
-                    service_lifecycle_event: DataFrame, as_of, days: int = 30,
-                    broadcast_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
+                    service_lifecycle_event: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Support posture: non-terminated services with plan and pre-aggregated signals.
 
     Usage per service (window), interactions per *account* (window),
@@ -80,8 +70,7 @@ def support_posture(service: DataFrame, subscription: DataFrame, product_offerin
         "service_id", "account_id", "service_type", F.col("status").alias("service_status"))
     sub = (subscription.filter(F.col("status") != "cancelled")
            .select(F.col("service_id").alias("__sub_sid"), "subscription_id", "product_offering_id"))
-    po = bounded_broadcast(product_offering.select(F.col("product_offering_id").alias("__po_id"),
-                                                   F.col("name").alias("product_offering_name")), broadcast_rows)
+    po = product_offering.select(F.col("product_offering_id").alias("__po_id"), F.col("name").alias("product_offering_name"))
     j = (s.join(sub, F.col("service_id") == F.col("__sub_sid"), "left")
          .join(po, F.col("product_offering_id") == F.col("__po_id"), "left")
          .join(u, F.col("service_id") == F.col("__u_sid"), "left")

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telvault.functions.windows import as_timestamp
-from telvault.operators.joins import orphans
 
 TEST_REPORT_SCHEMA = "target string, column_name string, test string, failures bigint, passed boolean"
 
@@ -26,6 +25,13 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def require(tables, names) -> None:
+    """Refuse a check of tables that are not given: leaving them out would look like a pass."""
+    absent = sorted({t for t in names if t not in tables})
+    if absent:
+        raise KeyError(f"tables to check are absent: {', '.join(absent)}")
+
+
 def _test_row(target: str, column: str, test: str, failures) -> list:
     f = failures if not isinstance(failures, (int, type(None))) else F.lit(failures)
     return [F.lit(target).alias("target"), F.lit(column).alias("column_name"), F.lit(test).alias("test"),
@@ -101,18 +107,19 @@ def test_accepted_values(df: DataFrame, column: str, values, target: str) -> Dat
 
 
 def run_column_tests(tables: dict[str, DataFrame], tests, kinds=("unique", "not_null")) -> DataFrame:
-    """Run the listed (table, column, tests) for the tables present."""
+    """Run the listed (table, column, tests); a table that is not there is an error, not a pass."""
     by_table: dict[str, list] = {}
     for t, c, ks in tests:
         ks = tuple(k for k in ks if k in kinds)
-        if t in tables and ks:
+        if ks:
             by_table.setdefault(t, []).append((c, ks))
+    require(tables, by_table)
     return union_all([column_tests(tables[t], t, cols) for t, cols in by_table.items()])
 
 
 def run_relationship_tests(tables: dict[str, DataFrame], relationships) -> DataFrame:
-    return union_all([test_relationships(tables[c], cc, tables[p], pc, c)
-                   for c, cc, p, pc in relationships if c in tables and p in tables])
+    require(tables, [t for c, _, p, _ in relationships for t in (c, p)])
+    return union_all([test_relationships(tables[c], cc, tables[p], pc, c) for c, cc, p, pc in relationships])
 
 
 # ---- contract quality rules ---------------------------------------------------
@@ -139,8 +146,10 @@ def _rule_measure(r: Rule):
     """Aggregate expression of a rule's measured value (double).
 
     completeness = non-NULL share of rows; uniqueness = distinct / non-NULL;
-    valid_values = share of non-NULL values inside the list; accuracy =
-    minimum value (every value compared with the threshold). An empty
+    valid_values = share of non-NULL values inside the list; accuracy = the
+    value that decides whether all values hold against the threshold: the
+    minimum for >= and >, the maximum for <= and <, the value furthest from
+    the threshold for =, and for != the threshold if it occurs. An empty
     input measures 1.0 (vacuously complete/unique/valid); accuracy over no
     values is NULL and passes.
     """
@@ -152,7 +161,14 @@ def _rule_measure(r: Rule):
     elif r.type == "valid_values":
         v = F.try_divide(F.count_if(c.isin(list(r.values))), F.count(c))
     elif r.type == "accuracy":
-        return F.min(c).cast("double")
+        low, high, at = F.min(c).cast("double"), F.max(c).cast("double"), F.lit(float(r.threshold))
+        if r.operator in ("<=", "<"):
+            return high
+        if r.operator in ("=", "=="):
+            return F.when(F.abs(low - at) > F.abs(high - at), low).otherwise(high)
+        if r.operator == "!=":
+            return F.max(F.when(c.cast("double") == at, at)).cast("double")
+        return low
     else:
         raise ValueError(f"unknown rule type {r.type}")
     return F.coalesce(v.cast("double"), F.lit(1.0))
@@ -182,9 +198,9 @@ class QualityError(RuntimeError):
 def assert_quality(report: DataFrame) -> DataFrame:
     """Raise if any error-severity rule failed; warnings are only reported.
 
-    Only the failing rows (a handful) are brought to the driver.
+    All failing rows are named; a report has one row per rule.
     """
-    bad = report.filter((F.col("severity") == "error") & ~F.col("passed")).select("target", "rule_id").take(50)
+    bad = report.filter((F.col("severity") == "error") & ~F.col("passed")).select("target", "rule_id").collect()
     if bad:
         raise QualityError("quality rules failed: " + ", ".join(f"{b.target}.{b.rule_id}" for b in bad))
     return report
@@ -205,6 +221,16 @@ SCHEMA_REPORT_SCHEMA = ("column_name string, expected_type string, actual_type s
                         "null_count bigint, status string, passed boolean")
 
 
+def schema_differences(schema: T.StructType, contract: list[tuple[str, str, bool]]) -> list[tuple[str, str]]:
+    """(column, added | removed | retyped) of a schema against a contract, without a job."""
+    actual = {f.name.lower(): f for f in schema.fields}
+    expected = {n.lower(): (n, t.upper()) for n, t, _ in contract}
+    out = [(n, "removed") for k, (n, _) in expected.items() if k not in actual]
+    out += [(n, "retyped") for k, (n, t) in expected.items()
+            if k in actual and not isinstance(actual[k].dataType, _FAMILIES.get(t, (T.StringType,)))]
+    return out + [(f.name, "added") for k, f in actual.items() if k not in expected]
+
+
 def check_schema(df: DataFrame, contract: list[tuple[str, str, bool]], strict: bool = True,
                  target: str | None = None) -> DataFrame:
     """Strict schema check against (name, logical type, required) entries.
@@ -281,9 +307,8 @@ def freshness(tables: dict[str, DataFrame], fields: dict[str, str], as_of, slo_h
     """
     now = as_timestamp(as_of)
     frames = []
+    require(tables, fields)
     for t, col in fields.items():
-        if t not in tables:
-            continue
         m = tables[t].agg(F.max(F.col(col).cast("timestamp_ntz")).alias("latest"))
         lag = F.timestamp_diff("MICROSECOND", F.col("latest"), now) / F.lit(3.6e9)
         frames.append(m.select(F.lit(t).alias("table_name"), F.lit(col).alias("loaded_at_field"), "latest",
@@ -298,7 +323,7 @@ class ReconciliationError(RuntimeError):
 
 def assert_reconciled(report: DataFrame) -> DataFrame:
     """Raise when any table's counts disagree (report of ``reconcile_counts``)."""
-    bad = report.filter(~F.col("matched")).take(20)
+    bad = report.filter(~F.col("matched")).collect()   # one row per table
     if bad:
         raise ReconciliationError("row counts differ: " + ", ".join(
             f"{b.table_name} ({b.source_rows} vs {b.target_rows})" for b in bad))

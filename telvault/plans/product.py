@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from telvault.operators import quality
 from telvault.plans import contracts
@@ -47,11 +46,9 @@ def gate_schema(df: DataFrame, expose: Expose) -> None:
     NULLs in required columns are reported by the rules, not here: the
     model's left joins allow them (the contract documents the mismatch).
     """
-    bad = (quality.check_schema(df, expose.schema, strict=True)
-           .filter(F.col("status").isin("added", "removed", "retyped"))
-           .select("column_name", "status").take(20))
+    bad = quality.schema_differences(df.schema, expose.schema)
     if bad:
-        raise ContractViolation(f"{expose.alias}: " + ", ".join(f"{b.column_name}:{b.status}" for b in bad))
+        raise ContractViolation(f"{expose.alias}: " + ", ".join(f"{c}:{status}" for c, status in bad))
 
 
 def publish_expose(df: DataFrame, expose: Expose, schema: str, as_of, mode: str = "amend-and-build",
@@ -86,8 +83,8 @@ def run_silver_product(silver: Silver, schema: str, mode: str = "amend-and-build
 
 
 def run_posture_product(inputs: dict[str, DataFrame], as_of, schema: str, mode: str = "replace-and-build",
-                        allow_data_loss: bool = True) -> dict[str, DataFrame]:
-    """Create-or-replace the support-posture table (the reference rebuilds it on every run)."""
+                        allow_data_loss: bool = False) -> dict[str, DataFrame]:
+    """Create or replace the support-posture table; replacing one needs ``allow_data_loss=True``."""
     return publish_expose(support_posture(inputs, as_of), POSTURE_EXPOSE, schema, as_of, mode, allow_data_loss)
 
 
@@ -96,7 +93,7 @@ CUSTOMER_360_EXPOSE = Expose("CUSTOMER_360_CDP_V1", contracts.CUSTOMER_360_SCHEM
 
 
 def run_gold_product(products: list[Silver], schema: str, mode: str = "replace-and-build",
-                     allow_data_loss: bool = True, pii_columns=("account_number",)) -> dict[str, DataFrame]:
+                     allow_data_loss: bool = False, pii_columns=("account_number",)) -> dict[str, DataFrame]:
     """Compose silver products into the gold customer 360 and publish it.
 
     PII tags travel with the column (field metadata, persisted by the

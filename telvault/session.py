@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,9 +29,6 @@ def get_spark(master: str | None = None, app_name: str = "telvault",
         b = b.master(master)
     conf = dict(REQUIRED_CONF)
     conf["spark.ui.enabled"] = "false"
-    # checkpoint files of unreferenced frames are deleted by the context cleaner,
-    # so repeated runs do not grow the shared checkpoint folder
-    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -50,36 +46,25 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, for written intermediates.
 
-    A cluster names a shared (distributed) folder there; we only read it.
-    Only when it is unset in local mode (tests) a fresh scratch folder is
-    made; on a cluster an unset folder is an error, never a local temp dir.
+    A cluster names a shared (distributed) folder there; it is only read. Where
+    it is unset (a local session), a folder inside the warehouse is used, which
+    is shared storage too; never a machine's temporary folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:                      # already set (from spark.checkpoint.dir or by the application)
-        return current
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder (HDFS/S3/...) for checkpoints")
-        d = tempfile.mkdtemp(prefix="telvault-ckpt-")   # local mode only (tests)
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    return (d or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
 
 
-def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage by a reliable checkpoint into ``spark.checkpoint.dir``.
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back (the "table" materialization).
 
-    Used where one built table feeds several downstream products (the dbt
-    "table" materialization): a lost executor re-reads the checkpoint files
-    instead of replaying the whole upstream plan.
+    Used where one built table feeds several downstream products: a lost
+    executor re-reads files instead of replaying the whole upstream plan, and
+    readers keep column pruning and size statistics, which a row-form
+    checkpoint would lose.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -120,7 +120,7 @@ def publish(df: DataFrame, name: str, mode: str = "amend-and-build", allow_data_
     if not exists:
         _writer(df.limit(0), fmt, partition_by, bucket_by).saveAsTable(name)
     elif mode != "create-only":
-        breaking = diff.filter(F.col("change") != "added").take(10)
+        breaking = diff.filter(F.col("change") != "added").collect()   # one row per column
         if breaking:
             raise DataLossError(f"{name}: amend cannot apply " + ", ".join(f"{b.column_name}:{b.change}" for b in breaking))
         added = [f for f in df.schema.fields if f.name.lower() not in {c.name.lower() for c in current.fields}]

@@ -16,23 +16,24 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 
 
+# one set of options for reader, writer and stream
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "nullValue": NULL_TOKEN,
+               "timestampNTZFormat": TIMESTAMP_FORMAT, "dateFormat": DATE_FORMAT}
+CSV_READ_OPTIONS = CSV_OPTIONS | {"mode": "FAILFAST", "enforceSchema": False}
+
+
 def read_landing_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Typed CSV scan of a landing file: header, '"'-quoted, ``\\N`` and empty -> NULL.
 
     The declared schema is enforced against the header (``enforceSchema=False``
     checks names) and any malformed value aborts the read (``FAILFAST``).
     """
-    return (spark.read.schema(SCHEMAS[table])
-            .option("header", True).option("quote", '"').option("escape", '"')
-            .option("nullValue", NULL_TOKEN).option("mode", "FAILFAST").option("enforceSchema", False)
-            .option("timestampNTZFormat", TIMESTAMP_FORMAT).option("dateFormat", DATE_FORMAT)
-            .csv(path))
+    return spark.read.schema(SCHEMAS[table]).options(**CSV_READ_OPTIONS).csv(path)
 
 
 def write_landing_csv(df: DataFrame, path: str) -> None:
     """Write a frame in the landing file format (round trip of ``read_landing_csv``)."""
-    (df.write.mode("overwrite").option("header", True).option("nullValue", NULL_TOKEN)
-     .option("timestampNTZFormat", TIMESTAMP_FORMAT).option("dateFormat", DATE_FORMAT).csv(path))
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,

@@ -17,6 +17,11 @@ trouble_ticket         events error
 service_lifecycle_ev.  events, every type
 invoice                orders (one invoice per order)
 invoice_charge         lineitem (one charge per line)
+individual, device,    customer (one of each per customer)
+sim_card
+app_event              events, every type
+payment, agreement,    orders (one of each per order)
+service_order
 =====================  =======================================================
 
 Events reach a service through the account's lowest order key. Categorical
@@ -207,8 +212,55 @@ class StarSource:
             "charge_description": "'line ' || CAST(l_linenumber AS STRING)", "quantity": "l_quantity",
             "amount_chf": "l_quantity", "charge_date": "to_date(l_shipdate)"})
 
+    # ---- people, devices, further documents -----------------------------
+    def individual(self) -> DataFrame:
+        return _conform(self.raw("customer"), "individual", {
+            "individual_id": "'I' || CAST(c_custkey AS STRING)", "party_id": "CAST(c_custkey AS STRING)",
+            "first_name": "'Customer'", "last_name": "CAST(c_custkey AS STRING)",
+            "email": "'customer' || CAST(c_custkey AS STRING) || '@example.com'"})
+
+    def device(self) -> DataFrame:
+        return _conform(self.raw("customer"), "device", {
+            "device_id": "'D' || CAST(c_custkey AS STRING)", "account_id": "CAST(c_custkey AS STRING)",
+            "device_type": "'phone'", "model": "c_mktsegment", "imei": "lpad(CAST(c_custkey AS STRING), 15, '0')",
+            "status": self._ACCOUNT_STATUS})
+
+    def sim_card(self) -> DataFrame:
+        return _conform(self.raw("customer"), "sim_card", {
+            "sim_id": "'M' || CAST(c_custkey AS STRING)", "account_id": "CAST(c_custkey AS STRING)",
+            "device_id": "'D' || CAST(c_custkey AS STRING)",
+            "msisdn": "'+41' || lpad(CAST(c_custkey AS STRING), 9, '0')",
+            "iccid": "'89' || lpad(CAST(c_custkey AS STRING), 17, '0')", "status": self._ACCOUNT_STATUS})
+
+    def app_event(self) -> DataFrame:
+        return _conform(self.raw("events"), "app_event", {
+            "app_event_id": "CAST(event_id AS STRING)", "account_id": "CAST(user_id AS STRING)",
+            "device_id": "'D' || CAST(user_id AS STRING)", "event_type": "event_type", "session_minutes": "value",
+            "event_timestamp": "ts"})
+
+    def payment(self) -> DataFrame:
+        return _conform(self.raw("orders"), "payment", {
+            "payment_id": "'P' || CAST(o_orderkey AS STRING)", "invoice_id": "CAST(o_orderkey AS STRING)",
+            "amount_chf": "o_totalprice", "payment_method": "o_orderpriority",
+            "payment_date": "date_add(to_date(o_orderdate), 20)",
+            "status": "CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE 'settled' END", "created_at": "o_orderdate"})
+
+    def agreement(self) -> DataFrame:
+        return _conform(self.raw("orders"), "agreement", {
+            "agreement_id": "'A' || CAST(o_orderkey AS STRING)", "account_id": "CAST(o_custkey AS STRING)",
+            "agreement_type": "o_orderpriority", "status": _case("o_orderstatus", ORDER_STATUS_TO_SERVICE),
+            "signed_date": "to_date(o_orderdate)", "effective_date": "date_add(to_date(o_orderdate), 1)",
+            "created_at": "o_orderdate"})
+
+    def service_order(self) -> DataFrame:
+        return _conform(self.raw("orders"), "service_order", {
+            "order_id": "CAST(o_orderkey AS STRING)", "account_id": "CAST(o_custkey AS STRING)",
+            "order_type": "o_orderpriority", "status": _case("o_orderstatus", ORDER_STATUS_TO_SERVICE),
+            "order_date": "o_orderdate"})
+
     TABLES = ("party", "account", "product_offering", "service", "subscription", "usage_event",
-              "customer_interaction", "trouble_ticket", "service_lifecycle_event", "invoice", "invoice_charge")
+              "customer_interaction", "trouble_ticket", "service_lifecycle_event", "invoice", "invoice_charge",
+              "individual", "device", "sim_card", "app_event", "payment", "agreement", "service_order")
 
     def table(self, name: str) -> DataFrame:
         if name not in self.TABLES:
@@ -220,7 +272,3 @@ class StarSource:
             self._tables = LazyTables(self.TABLES, self.table)
         return self._tables
 
-
-def star_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
-    """All derivable landing tables, each derived on first access."""
-    return StarSource(spark, sf_dir).tables()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from telvault.schemas import SCHEMAS
-from telvault.sources.files import DATE_FORMAT, NULL_TOKEN, TIMESTAMP_FORMAT
+from telvault.sources.files import CSV_READ_OPTIONS
 
 
 def land_stream(spark: SparkSession, source_dir: str, table: str, sink_dir: str, checkpoint: str,
@@ -17,11 +17,10 @@ def land_stream(spark: SparkSession, source_dir: str, table: str, sink_dir: str,
     Each run processes the files not yet seen (tracked in ``checkpoint``,
     which must be on shared storage) and stops; rerunning after a failure
     resumes without duplicating output (the parquet file sink commits
-    through its own log). Rows carry the landing time as ``_landed_at``.
+    through its own log). The options are those of the batch reader: a file
+    whose header is not the declared one stops the stream. Rows carry the landing time as ``_landed_at``.
     """
-    reader = (spark.readStream.schema(SCHEMAS[table]).option("header", True)
-              .option("nullValue", NULL_TOKEN).option("mode", "FAILFAST")
-              .option("timestampNTZFormat", TIMESTAMP_FORMAT).option("dateFormat", DATE_FORMAT))
+    reader = spark.readStream.schema(SCHEMAS[table]).options(**CSV_READ_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(source_dir).withColumn("_landed_at", F.localtimestamp())

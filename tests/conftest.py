@@ -13,10 +13,9 @@ def spark(tmp_path_factory):
     from telvault.session import get_spark
     s = get_spark("local[4]", app_name="telvault-tests", shuffle_partitions=8, extra={
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.driver.extraJavaOptions": f"-Dderby.system.home={tmp_path_factory.mktemp('derby')}",
     })
     s.sparkContext.setLogLevel("ERROR")
-    # checkpoints go where spark.checkpoint.dir points; telvault.session makes a
-    # scratch folder only if it is unset (local mode)
     yield s
     s.stop()

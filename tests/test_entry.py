@@ -28,13 +28,12 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.LLM_QUERIES)))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     srows = [tuple(norm(x) for x in r) for r in sdf.collect()]
     sql = E.oracle_sql().get(name)
-    if sql is None:
-        return
+    assert sql is not None, "every query of the library has SQL to be held against"
     rel = duck.sql(sql)
     assert type_mismatches(sdf.schema, rel.columns, rel.types) == []
     cur = duck.execute(sql)

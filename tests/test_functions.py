@@ -53,4 +53,4 @@ def test_window_edge_included_and_no_upper_bound(spark):
 def test_checkpoint_dir_is_stable(spark):
     from telvault.session import checkpoint_dir
     a = checkpoint_dir(spark)
-    assert checkpoint_dir(spark) == a == spark.sparkContext.getCheckpointDir()
+    assert checkpoint_dir(spark) == a == spark.conf.get("spark.checkpoint.dir")

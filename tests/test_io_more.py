@@ -43,9 +43,9 @@ def test_star_views_conform_to_landing_schemas(spark):
     star = StarSource(spark, SF)
     for t in star.TABLES:
         assert star.table(t).schema.simpleString() == SCHEMAS[t].simpleString(), t
-    assert "service" in star.tables() and "device" not in star.tables()
+    assert "service" in star.tables() and "party_role" not in star.tables()
     with pytest.raises(KeyError):
-        star.table("device")
+        star.table("party_role")
 
 
 def test_stream_lands_only_new_files(spark, tmp_path):

@@ -39,7 +39,9 @@ def test_posture_product_replaces(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS bronze_t")
     tables = StarSource(spark, SF).tables()
     n_first = product.run_posture_product(tables, EVENT_AS_OF, "bronze_t")["table"].count()
-    b = product.run_posture_product(tables, EVENT_AS_OF, "bronze_t")   # replace: same rows, not doubled
+    with pytest.raises(DataLossError):   # replacing needs consent
+        product.run_posture_product(tables, EVENT_AS_OF, "bronze_t")
+    b = product.run_posture_product(tables, EVENT_AS_OF, "bronze_t", allow_data_loss=True)   # same rows, not doubled
     assert b["table"].count() == n_first > 0
 
 
