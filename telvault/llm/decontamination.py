@@ -89,11 +89,16 @@ def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
         more = terms.where(ranks).select("phrase", "off", "term")
         return found.join(more, "phrase").select("phrase", "len", *DOC, "start", (F.col("start") + F.col("off")).alias("pos"), "term")
 
+    def postings(rank: int) -> DataFrame:
+        """Postings of the terms that have ``rank`` in some phrase: no longer lists than the vocabulary's rarer ones.
+        The terms are written, so that Spark knows how few they are before it plans to move the index."""
+        names = shared_table(terms.where(F.col("rank") == rank).select("term").distinct(), "ranked_terms")
+        return index.join(names, "term", "left_semi")
+
     first = terms.where("rank = 1").select("phrase", "len", "off", "term")
-    found = index.join(first, "term").select("phrase", "len", *DOC, (F.col("pos") - F.col("off")).alias("start")).where("start >= 0").distinct()
+    found = postings(1).join(first, "term").select("phrase", "len", *DOC, (F.col("pos") - F.col("off")).alias("start")).where("start >= 0").distinct()
     found = shared_table(found, "rarest")
-    # the second list: only postings of terms that are second rarest somewhere
-    second = index.join(terms.where("rank = 2").select("term").distinct(), "term", "left_semi")
+    second = postings(2)
     both = adjusted(found, "rank = 2").join(second, place, "left_semi").select("phrase", "len", *DOC, "start")
     both = shared_table(both.unionAll(found.where("len = 1")), "intersected")
     # the other lists, which hold the frequent terms: one shuffle of the postings by place
