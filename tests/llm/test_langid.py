@@ -50,8 +50,8 @@ def test_words_of_code_switched_text(spark):
     de, es = (docs.where(f"lang = '{x}' and n_chars between 1500 and 4000").orderBy("doc_id").first()["text"] for x in ("de", "es"))
     said, chances = model.word_chances([" ".join(de.split()[:25] + es.split()[:25] + de.split()[25:50])])
     best = [model.languages[k] for k in chances.argmax(axis=1)]
-    n = len(langid.WORDS.findall(" ".join(de.split()[:25])))
-    assert best[:n].count("de") > 0.9 * n and best[n + 2:n + 22].count("es") >= 18 and best[-18:].count("de") >= 16
+    n, m = (len(langid.WORDS.findall(" ".join(t.split()[:25]).lower())) for t in (de, es))
+    assert best[:n].count("de") >= 0.9 * n and best[n:n + m].count("es") >= 0.9 * m and best[n + m:].count("de") >= 0.9 * len(best[n + m:])
 
 
 def test_messy_rows(spark, messy, empty):
