@@ -26,8 +26,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table.
+def quoted(name: str) -> Column:
+    """The column of that very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def shared_table(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` to the shared folder, in a folder for each value of ``partition_by``, and return the written table.
 
     It cuts the lineage (a lost executor re-reads files instead of replaying
     the plan), lets several consumers read one result, and gives Catalyst the
@@ -35,7 +40,7 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

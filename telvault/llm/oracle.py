@@ -101,4 +101,60 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
-SQL = {"op1_warc": OP1, "op6_quality_rules": OP6, "op8_chat": OP8, "op9_decontamination": OP9}
+# CRC-32 from its polynomial: a table of the 256 bytes' remainders, then a byte at a time
+OP11 = r"""
+WITH steps AS (SELECT list_transform(range(0, 256), lambda b: list_reduce(range(0, 8),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, b::BIGINT)) AS rest),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+w AS (SELECT r, unnest(words) AS word FROM d),
+codes AS (SELECT word, hex(word) AS h FROM (SELECT DISTINCT word FROM w UNION SELECT DISTINCT word FROM b)),
+bucketed AS (SELECT word, xor(list_reduce(list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)),
+    lambda c, x: xor(c >> 8, rest[CAST((xor(c, x) & 255) + 1 AS BIGINT)]), 4294967295::BIGINT), 4294967295::BIGINT) % 10000 AS bucket FROM codes, steps),
+s AS (SELECT bucket, count(*) AS n FROM w JOIN bucketed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM b JOIN bucketed USING (word) GROUP BY bucket),
+g AS (SELECT k.bucket, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+    / (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM (SELECT unnest(range(0, 10000)) AS bucket) k LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+totals AS (SELECT r, sum(gain) AS total FROM w JOIN bucketed USING (word) JOIN g USING (bucket) GROUP BY r),
+scored AS (SELECT d.r, doc_id, CAST(len(words) AS BIGINT) AS n_features,
+  CASE WHEN len(words) = 0 THEN 0 ELSE CAST((total - ((total % len(words)) + len(words)) % len(words)) // len(words) AS BIGINT) END AS weight,
+  CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN totals USING (r)),
+final AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored),
+drawn AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id, n_features) AS rank FROM final WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN rank <= (SELECT count(*) FROM drawn) * 10 // 100 THEN rank END AS rank
+FROM final LEFT JOIN drawn USING (r)
+"""
+
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, i, lines[i] AS line, translate(trim(lines[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT r, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+common AS (SELECT key, max(doc_id) AS top FROM l WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT r, l.doc_id, i, line, top IS NOT NULL AND l.doc_id <> top AS dropped FROM l LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id
+"""
+
+OP13 = r"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+SQL = {"op1_warc": OP1, "op6_quality_rules": OP6, "op8_chat": OP8, "op9_decontamination": OP9, "op11_resampling": OP11,
+       "op12_line_dedup": OP12, "op13_hard_negatives": OP13}
