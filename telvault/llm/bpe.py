@@ -4,11 +4,12 @@ The BPE encoding of a byte string is unique, and so is the last token of each of
 its prefixes. ``last[i]`` holds that token for the first ``i`` bytes: among the
 tokens that end at ``i`` it is the one that may follow ``last[i - length]``,
 that is, whose pair would stay unmerged. Walking back from the end gives the
-whole encoding. Appending bytes only adds entries; an edit re-does the entries
-after it, and a document's other pattern matches are kept.
+whole encoding. Appending bytes only adds entries, so sorted strings are encoded
+together, each from the prefix it shares with the one before; an edit re-does the
+entries after it, and a document's other pattern matches are kept (``Encoded``).
 
 ``encode``, ``decode`` and ``digests`` map Arrow batches in Python workers. Each
-worker keeps the vocabulary and bounded caches of matches and prefixes; a text
+worker keeps the vocabulary and bounded caches of matches and token pairs; a text
 is one cell and is held whole, nothing else grows with the input.
 
 Defined results: null or empty text gives no ids and decodes to an empty string;
@@ -19,9 +20,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 from itertools import accumulate, chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +44,7 @@ RECENT = (
     r"\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4"
     r"\U0001e6fe-\U0001e6ff\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479"
     r"\U0003d000-\U0003fc3f")
-SHORT = 40  # bytes: longer matches share no prefix entries
+SHORT = 40  # matches of over twice as many characters are not kept
 
 
 def load_ranks(path: str) -> bytes:
@@ -55,11 +58,17 @@ class PrefixBpe:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
-        self.longest: dict[bytes, int] = {}  # longest token by its last two bytes
+        self.sizes = {i: len(t) for t, i in ranks.items()}
+        ends: dict[bytes, set[int]] = {}  # sizes of the tokens that end with these two or three bytes
         for t in ranks:
-            self.longest[t[-2:]] = max(self.longest.get(t[-2:], 1), len(t))
+            for n in (2, 3):
+                if len(t) >= n:
+                    ends.setdefault(t[-n:], {1}).add(len(t))
+        for k, sizes in ends.items():
+            if len(k) == 3 and k[1:] in ranks:
+                sizes.add(2)
+        self.ends = {k: tuple(sorted(sizes, reverse=True)) for k, sizes in ends.items()}
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.prefixes: dict[bytes, int] = {}
         self.seams: dict[tuple[int, int], bool] = {}
 
     def split(self, token: int) -> tuple[int, int] | None:
@@ -78,8 +87,13 @@ class PrefixBpe:
         return got
 
     def may_follow(self, a: int, b: int) -> bool:
-        """Whether BPE leaves ``a`` and ``b`` side by side: undoing merges from the newest on, no pair that
-        meets at the seam would have been merged before the merges already undone."""
+        """Whether BPE leaves ``a`` and ``b`` side by side.
+
+        It does if it would not have merged across the seam at any time while it made the two. Merges are undone from
+        the newest on (a merge's time is the rank of what it makes; of equal ranks the left one is the older): at each
+        step the pair that meets at the seam may have no merge older than what was undone last, for BPE takes the
+        oldest merge first. With only bytes left on one side nothing is to be undone.
+        """
         tokens, ranks = self.tokens, self.ranks
         limit = len(tokens) + 256 + max(a, b)
         while True:
@@ -99,45 +113,40 @@ class PrefixBpe:
                     if a == limit:
                         return True
 
+    def fits(self, seam: tuple[int, int]) -> bool:
+        if len(self.seams) >= CACHED:
+            self.seams.clear()
+        got = self.seams[seam] = self.split(seam[1]) is not None and self.may_follow(*seam)
+        return got
+
     def extend(self, data: bytes, last: list[int]) -> None:
         """Add the entries of ``last`` (entry 0 is unused) that ``data`` has beyond it."""
-        ranks, share = self.ranks, self.prefixes
+        get, ends, seams = self.ranks.get, self.ends.get, self.seams.get
         for i in range(len(last), len(data) + 1):
-            prefix = data[:i] if i <= SHORT else None
-            token = share.get(prefix) if prefix is not None else None
-            if token is None:
-                token = self.last_token(data, i, last)
-                if prefix is not None:
-                    if len(share) >= CACHED:
-                        share.clear()
-                    share[prefix] = token
-            last.append(token)
-
-    def last_token(self, data: bytes, i: int, last: list[int]) -> int:
-        ranks = self.ranks
-        for n in range(min(i, self.longest.get(data[max(0, i - 2):i], 1)), 0, -1):
-            token = ranks.get(data[i - n:i])
-            if token is None:
-                continue
-            if n == i:
-                if self.split(token) is not None:
-                    return token
-                continue
-            seam = (last[i - n], token)
-            fits = self.seams.get(seam)
-            if fits is None:
-                if len(self.seams) >= CACHED:
-                    self.seams.clear()
-                fits = self.seams[seam] = self.split(token) is not None and self.may_follow(*seam)
-            if fits:
-                return token
-        raise ValueError(f"the vocabulary has no token for byte {data[i - 1]:#x}")
+            for n in (i > 2 and ends(data[i - 3:i])) or (i > 1 and ends(data[i - 2:i])) or (1,):
+                if n > i:
+                    continue
+                token = get(data[i - n:i])
+                if token is None:
+                    continue
+                if n == i:
+                    good = self.split(token) is not None
+                else:
+                    seam = (last[i - n], token)
+                    good = seams(seam)
+                    if good is None:
+                        good = self.fits(seam)
+                if good:
+                    last.append(token)
+                    break
+            else:
+                raise ValueError(f"the vocabulary has no token for byte {data[i - 1]:#x}")
 
     def walk(self, last: list[int]) -> list[int]:
-        out, i = [], len(last) - 1
+        out, i, sizes = [], len(last) - 1, self.sizes
         while i:
             out.append(last[i])
-            i -= len(self.tokens[last[i]])
+            i -= sizes[last[i]]
         return out[::-1]
 
     def encode(self, data: bytes) -> list[int]:
@@ -148,20 +157,69 @@ class PrefixBpe:
         self.extend(data, last)
         return self.walk(last)
 
+    def encode_all(self, strings: list[bytes]) -> Iterator[list[int]]:
+        """Ids of each of the sorted ``strings``: the entries of a prefix that two neighbours share are kept."""
+        before, last = b"", [-1]
+        for data in strings:
+            token = self.ranks.get(data)
+            if token is not None:
+                yield [token]
+                continue
+            del last[shared(before, data) + 1:]
+            self.extend(data, last)
+            before = data
+            yield self.walk(last)
+
+
+def shared(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    if len(a) + len(b) < 200:
+        n = 0
+        for x, y in zip(a, b):
+            if x != y:
+                break
+            n += 1
+        return n
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
+    return low
+
 
 class Known(dict):
-    """What ``make`` gives for short strings; forgets all when full."""
+    """What is known of matches: (ids, their decimal text, the bytes that they decode to). When full, what has not been
+    met since the last time it was full is forgotten. Matches over ``2 * SHORT`` characters are not kept."""
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, bpe: PrefixBpe):
+        self.bpe, self.old = bpe, {}
 
-    def __missing__(self, text: str) -> tuple[int, ...] | None:
-        ids = self.make(text)
+    def entry(self, ids: list[int]) -> tuple[tuple[int, ...], bytes, bytes]:
+        return tuple(ids), b",".join([b"%d" % i for i in ids]), b"".join(map(self.bpe.tokens.__getitem__, ids))
+
+    def make_room(self) -> None:
         if len(self) >= CACHED:
+            self.old = dict(self)
             self.clear()
-        if len(text) <= 2 * SHORT:
-            self[text] = ids
-        return ids
+
+    def __missing__(self, match: str) -> tuple[tuple[int, ...], bytes, bytes]:
+        got = self.old.get(match)
+        if got is None:
+            got = self.entry(self.bpe.encode(match.encode()))
+        if len(match) <= 2 * SHORT:
+            self.make_room()
+            self[match] = got
+        return got
+
+    def learn(self, matches: set[str]) -> None:
+        """Take up many matches at a time, sorted, so that they share prefixes."""
+        self.make_room()
+        new = matches.difference(self)
+        for m in new.intersection(self.old):
+            self[m] = self.old[m]
+        new = sorted(m.encode() for m in new.difference(self.old) if len(m) <= 2 * SHORT)
+        for data, ids in zip(new, self.bpe.encode_all(new)):
+            self[data.decode()] = self.entry(ids)
 
 
 class Codec:
@@ -170,56 +228,104 @@ class Codec:
     def __init__(self, content: bytes, pattern: str = public_tokenizers.PATTERN):
         self.bpe = PrefixBpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a})
         self.matches = regex.compile(pattern)
-        self.single = pattern == public_tokenizers.PATTERN  # what is said of spaces in encode() holds for it
-        self.recent = regex.compile(f"[{RECENT}]")
+        self.recent = re.compile(f"[{RECENT}]")
         self.strict = None if pattern != public_tokenizers.PATTERN else regex.compile(
             pattern.replace(r"\p{L}", rf"[\p{{L}}--[{RECENT}]]").replace(r"\p{N}", rf"[\p{{N}}--[{RECENT}]]"), regex.V1)
-        self.pieces = Known(lambda piece: tuple(self.bpe.encode(piece.encode())))
-        self.names = {i: str(i) for i in self.bpe.tokens}
+        self.known = Known(self.bpe)
+
+    def is_recent(self, text: str) -> bool:
+        """Whether a character of ``RECENT`` occurs."""
+        try:
+            text.encode("latin-1")  # many times as fast as a search; RECENT begins beyond
+            return False
+        except UnicodeEncodeError:
+            return self.recent.search(text) is not None
 
     def pattern_for(self, text: str):
         """The pattern; where a text has a character of ``RECENT``, the same with those not letters or numbers."""
-        return self.strict if self.strict and not text.isascii() and self.recent.search(text) else self.matches
+        return self.strict if self.strict and self.is_recent(text) else self.matches
+
+    def entries(self, text: str) -> list[tuple[tuple[int, ...], bytes, bytes]]:
+        """What is known of each match."""
+        return list(map(self.known.__getitem__, self.pattern_for(text).findall(text)))
+
+    def entries_of(self, texts: list[str | None]) -> Iterator[list[tuple[tuple[int, ...], bytes, bytes]]]:
+        """``entries`` of each text; matches not yet known are encoded together."""
+        found = [self.pattern_for(t).findall(t) if t else [] for t in texts]
+        self.known.learn(set(chain.from_iterable(found)))
+        for matches in found:
+            yield list(map(self.known.__getitem__, matches))
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.pieces.__getitem__, self.pattern_for(text).findall(text))))
+        return list(chain.from_iterable(e[0] for e in self.entries(text)))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bpe.tokens.__getitem__, ids))
 
     def edit(self, text: str, ids: list[int], start: int, end: int, new: str) -> tuple[str, list[int]]:
-        """``text`` with [start, end) replaced by ``new``, and its ids, from the ids of ``text``.
-
-        Matches are found from left to right and look one character ahead at most, so those that end before
-        the character in front of the edit stay; after the edit, the first boundary that both texts share
-        ends the work.
-        """
-        changed = text[:start] + new + text[end:]
-        matches = self.pattern_for(text)
-        if matches is not self.pattern_for(changed):
-            return changed, self.encode(changed)
-        shift = len(changed) - len(text)
-        spans, at = [], 0
-        for m in matches.finditer(text):
-            spans.append((m.start(), at))
-            at += len(self.pieces[m.group()])
-            if m.start() > end + 1:
-                break
-        keep = next((k for k in range(len(spans) - 1, -1, -1) if spans[k][0] < start - 1), 0)
-        begin, ids_begin = spans[keep] if spans else (0, 0)
-        old = {}
-        tail = matches.finditer(text, begin)
-        at = ids_begin
-        for m in tail:
-            if m.start() >= end:
-                old[m.start() + shift] = at
-            at += len(self.pieces[m.group()])
-        out = ids[:ids_begin]
-        for m in matches.finditer(changed, begin):
-            if m.start() >= start + len(new) and m.start() in old:
-                return changed, out + ids[old[m.start()]:]
-            out += self.pieces[m.group()]
-        return changed, out
+        """``text`` with [start, end) replaced by ``new``, and its ids. For several edits of a text keep its ``Encoded``."""
+        held = Encoded(self, text)
+        held.edit(start, end, new)
+        return held.text, held.ids
+
+
+class Encoded:
+    """A text with its ids, kept right through edits.
+
+    Held are where matches begin, where their ids begin, and the prefix entries of the long match encoded last. An edit
+    finds its match by bisection. Matches are found from left to right and look one character ahead at most, so those
+    that end before the character in front of the edit stay; the first boundary behind the edit that was one before
+    ends the work. Of a long match only the entries from the edit's byte on are made anew.
+    """
+
+    def __init__(self, codec: Codec, text: str):
+        self.codec = codec
+        self.take(text)
+
+    def take(self, text: str) -> None:
+        self.text, self.pattern = text, self.codec.pattern_for(text)
+        self.table: tuple[bytes, list[int]] = b"", [-1]
+        found = [(m.start(), self.ids_of(m.group())) for m in self.pattern.finditer(text)]
+        self.starts = np.array([at for at, _ in found], np.int64)
+        self.offsets = np.concatenate([[0], np.cumsum([len(x) for _, x in found], dtype=np.int64)])
+        self.ids = [i for _, x in found for i in x]
+
+    def ids_of(self, match: str) -> Iterable[int]:
+        if len(match) <= 2 * SHORT:
+            return self.codec.known[match][0]
+        data, bpe = match.encode(), self.codec.bpe
+        before, last = self.table
+        del last[shared(before, data) + 1:]
+        bpe.extend(data, last)
+        self.table = data, last
+        return [bpe.ranks[data]] if data in bpe.ranks else bpe.walk(last)
+
+    def edit(self, start: int, end: int, new: str) -> None:
+        """Replace [start, end) by ``new``."""
+        codec, old, recent = self.codec, self.text, self.pattern is self.codec.strict
+        changed = old[:start] + new + old[end:]
+        if codec.strict and (codec.is_recent(old[start:end]) if recent else codec.is_recent(new)) and codec.pattern_for(changed) is not self.pattern:
+            self.take(changed)
+            return
+        shift, behind = len(changed) - len(old), start + len(new)
+        first = max(0, int(np.searchsorted(self.starts, start - 1)) - 1)
+        found, rest = [], len(self.starts)
+        for m in self.pattern.finditer(changed, int(self.starts[first]) if rest else 0):
+            at = m.start()
+            if at >= behind:
+                k = int(np.searchsorted(self.starts, at - shift))
+                if k < len(self.starts) and self.starts[k] == at - shift:
+                    rest = k
+                    break
+            found.append((at, self.ids_of(m.group())))
+        cut = int(self.offsets[first]), int(self.offsets[rest])
+        sizes = np.cumsum([len(x) for _, x in found], dtype=np.int64)
+        more = cut[0] + (int(sizes[-1]) if found else 0) - cut[1]
+        self.ids[slice(*cut)] = [i for _, x in found for i in x]
+        self.offsets = np.concatenate([self.offsets[:first + 1], cut[0] + sizes[:-1], self.offsets[rest:] + more] if found
+                                      else [self.offsets[:first], self.offsets[rest:] + more])
+        self.starts = np.concatenate([self.starts[:first], np.array([at for at, _ in found], np.int64), self.starts[rest:] + shift])
+        self.text = changed
 
 
 _CODECS: dict[str, Codec] = {}
@@ -245,7 +351,7 @@ class Stages:
         c = codec(self.content.value, self.pattern)
         for b in batches:
             for part in pieces_of(b):
-                ids = [c.encode(t) if t else [] for t in part.column(1).to_pylist()]
+                ids = [list(chain.from_iterable(e[0] for e in found)) for found in c.entries_of(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[part.schema.names[0], "ids"])
 
     def decode(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,19 +362,19 @@ class Stages:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, pa.binary())], names=[b.schema.names[0], "data"])
 
     def digests(self, batches: Iterator[pa.RecordBatch], with_ids: bool = False) -> Iterator[pa.RecordBatch]:
-        """(id, text) to (id, n_tokens, ids_sha256, decoded_sha256): encoded, then decoded from the ids, a text at a time."""
+        """(id, text) to (id, n_tokens, ids_sha256, decoded_sha256): encoded, then decoded from the ids, each match's once while known."""
         c = codec(self.content.value, self.pattern)
-        names, hexdigest = c.names.__getitem__, lambda data: hashlib.sha256(data).hexdigest()
+        hexdigest = lambda data: hashlib.sha256(data).hexdigest()
         for batch in batches:
-            for b in pieces_of(batch):
+            for b in pieces_of(batch, 8 << 20):
                 n, a, d, kept = [], [], [], []
-                for text in b.column(1):
-                    ids = c.encode(text.as_py() or "")
-                    n.append(len(ids))
-                    a.append(hexdigest(",".join(map(names, ids)).encode()))
-                    d.append(hexdigest(c.decode(ids)))
+                for found in c.entries_of(b.column(1).to_pylist()):
+                    ids = [e[0] for e in found]
+                    n.append(sum(map(len, ids)))
+                    a.append(hexdigest(b",".join([e[1] for e in found])))
+                    d.append(hexdigest(b"".join([e[2] for e in found])))
                     if with_ids:
-                        kept += ids
+                        kept.extend(chain.from_iterable(ids))
                 columns = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())]
                 if with_ids:
                     columns.append(pa.ListArray.from_arrays(pa.array([0, *accumulate(n)], pa.int32()), pa.array(kept, pa.int32())))

@@ -62,6 +62,49 @@ def test_edits(codec, theirs):
         assert ids == theirs.encode_ordinary(changed)
 
 
+def test_a_text_through_many_edits(codec, theirs):
+    rng = random.Random(6)
+    held = bpe.Encoded(codec, "")
+    for k in range(2500):
+        n = len(held.text)
+        a = rng.choice([n, 0, rng.randint(0, n)])
+        b = min(n, a + rng.choice([0, 0, 1, 3, n // 2 if k % 50 == 0 else 0]))
+        new = "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 6))) + rng.choice(["", "", "x" * 100, "\u088f", " \n "])
+        text = held.text[:a] + new + held.text[b:]
+        held.edit(a, b, new)
+        assert held.text == text and held.ids == theirs.encode_ordinary(text)
+        assert held.offsets[-1] == len(held.ids) and len(held.offsets) == len(held.starts) + 1
+
+
+def test_an_edit_does_not_encode_what_is_before_or_after(codec, theirs, monkeypatch):
+    rng = random.Random(9)
+    text = " ".join("".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 9))) for _ in range(20_000))
+    held, asked = bpe.Encoded(codec, text), []
+    real = held.ids_of
+    monkeypatch.setattr(held, "ids_of", lambda match: asked.append(match) or real(match))
+    for at in (0, len(text) // 2, len(text)):
+        asked.clear()
+        held.edit(at, at, "new word")
+        assert held.ids == theirs.encode_ordinary(held.text) and len(asked) <= 5
+    one = bpe.Encoded(codec, "z" + "".join(rng.choice("abcdefg") for _ in range(20_000)))
+    entries = []
+    extend = codec.bpe.extend
+    monkeypatch.setattr(codec.bpe, "extend", lambda data, last: entries.append(len(data) + 1 - len(last)) or extend(data, last))
+    for at in (20_001, 20_002, 19_990):
+        one.edit(at, at, "h")
+        assert one.ids == theirs.encode_ordinary(one.text)
+    assert entries == [1, 1, 14]
+
+
+def test_caches_that_overflow(theirs, codec, monkeypatch, texts):
+    monkeypatch.setattr(bpe, "CACHED", 50)
+    small = bpe.Codec(bpe.load_ranks(public_tokenizers.path(bpe.RANKS)))
+    for _ in range(2):
+        for k in range(0, len(texts), 9):
+            found = small.entries_of(texts[k:k + 9])
+            assert [[i for e in x for i in e[0]] for x in found] == [theirs.encode_ordinary(t or "") for t in texts[k:k + 9]]
+
+
 def want(theirs, text):
     ids = theirs.encode_ordinary(text or "")
     return len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
