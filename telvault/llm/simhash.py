@@ -1,18 +1,21 @@
 """SimHash near-duplicates, linked by vantage-point trees over Hamming distance.
 
 Fingerprints come from the 3-word shingles of whole texts. Equal fingerprints
-are one class, so copies cost nothing further. A vantage-point tree, built from
-a bounded sample of classes, deals the classes into shards: at each node those
-within ``radius`` of the vantage point go inside, the others outside. A class is
-a member of one shard, and visits every other shard that its ball of ``bits``
-differing bits may reach (triangle inequality). In its shard, a second tree over
-the members prunes the same way, and what is left is compared. So every pair of
-classes within ``bits`` is met exactly where the larger one is a member; a shard
-gives a spanning forest of its links, and ``common.components`` joins the forests.
-
-The tree prunes less the closer distances lie together. For unrelated texts a
-fingerprint's bits are near to coin tosses, so the work grows faster than the
-number of classes (see README for figures).
+are one class, so copies cost nothing further. Two fingerprints that differ in at
+most ``bits`` bits agree in one of ``bits + 1`` blocks of theirs, where their
+distance is 0. So the classes are dealt by one vantage-point tree for each block:
+a node's inside holds those whose block lies within the radius of the vantage
+block, and a ball of radius 0 reaches one side only. Each class thus goes to one
+shard of each tree, whatever the number of classes. Where one block value alone
+outgrows a shard, its classes are split further by whole fingerprints: a class is
+then a member of one shard, and visits every other that its ball of ``bits``
+reaches (triangle inequality). The trees are built from a bounded sample of
+classes; all classes are dealt.
+
+Inside a shard a tree of the same two kinds goes on, and what is left is compared.
+So every pair within ``bits`` is met where the larger one is a member of a shard;
+a shard gives a spanning forest of its links, and ``common.components`` joins the
+forests.
 
 Defined results: null text, empty text and text without words get fingerprint
 zero and are linked like any other; a null id takes part in its component but
@@ -31,12 +34,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telvault.llm.bpe import pieces_of
-from telvault.llm.common import components, fresh, shared_table
+from telvault.llm.common import components, fresh, quoted, shared_table
 
 SHINGLE, SEED, BITS = 3, 42, 3
 SHARD_CLASSES = 20_000  # members that a shard is planned to have
@@ -60,8 +63,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(df: DataFrame, keep: list[str], text_col: str, name: str = "fp", shingle: int = SHINGLE) -> DataFrame:
     """``keep`` and ``name``, the fingerprint as a signed bigint."""
-    rows = df.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(keep)], F.col(text_col).alias("text"))
-    kinds = "".join(f"c{k} {df.schema[c].dataType.simpleString()}, " for k, c in enumerate(keep))
+    rows = df.select(*[quoted(c).alias(f"c{k}") for k, c in enumerate(keep)], quoted(text_col).alias("text"))
+    schema = T.StructType([T.StructField(f"c{k}", df.schema[c].dataType) for k, c in enumerate(keep)] + [T.StructField("fp", T.LongType())])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,7 +72,7 @@ def fingerprints(df: DataFrame, keep: list[str], text_col: str, name: str = "fp"
                 fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(b.num_columns - 1)], np.uint64)
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fp.view(np.int64))], names=[*b.schema.names[:-1], "fp"])
 
-    return rows.mapInArrow(mapped, f"{kinds}fp bigint").toDF(*keep, name)
+    return rows.mapInArrow(mapped, schema).toDF(*keep, name)
 
 
 def distances(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
@@ -96,13 +99,28 @@ def best_split(members: np.ndarray, visitors: np.ndarray, bits: int, rng: np.ran
     return best
 
 
+def block_of(points: np.ndarray, block: tuple[int, int]) -> np.ndarray:
+    """Bits [low, high) of each point."""
+    low, high = block
+    return (points >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1)
+
+
+def blocks(bits: int) -> list[tuple[int, int]]:
+    """``bits`` + 1 runs of bits that cover a fingerprint."""
+    cuts = [64 * k // (bits + 1) for k in range(bits + 2)]
+    return list(zip(cuts, cuts[1:]))
+
+
+WHOLE = (0, 64)
+
+
 @dataclass
 class Dealer:
-    """The tree that deals classes into shards: per node vantage point, radius, and the two children
-    (a negative child is the shard -1 - child)."""
+    """A tree that deals classes into shards: per node vantage point, radius, the two children (a negative child is the
+    shard -1 - child), the bits compared and how far a class's ball reaches there."""
 
-    nodes: list[tuple[int, int, int, int]]
-    bits: int
+    nodes: list[tuple[int, int, int, int, tuple[int, int], int]]
+    n_shards: int
 
     def shards(self, points: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(shard, rows that reach it, whether at home)."""
@@ -117,31 +135,38 @@ class Dealer:
             if node < 0:
                 yield -1 - node, rows, home
                 continue
-            vantage, radius, inner, outer = self.nodes[node]
-            d = distances(points[rows], np.uint64(vantage))
-            for child, reach, own in ((inner, d <= radius + self.bits, d <= radius), (outer, d > radius - self.bits, d > radius)):
+            vantage, radius, inner, outer, block, ball = self.nodes[node]
+            d = distances(block_of(points[rows], block), np.uint64(vantage))
+            for child, reach, own in ((inner, d <= radius + ball, d <= radius), (outer, d > radius - ball, d > radius)):
                 stack.append((child, rows[reach], (home & own)[reach]))
 
 
-def build_dealer(sample: np.ndarray, n_shards: int, bits: int) -> Dealer:
+def build_dealer(sample: np.ndarray, n_shards: int, bits: int, block: tuple[int, int] = WHOLE) -> Dealer:
+    """A tree of about ``n_shards`` shards, over ``block`` as far as that tells classes apart, then over all bits."""
     rng, nodes, shards = np.random.default_rng(7), [], 0
 
     def grow(points: np.ndarray, share: float) -> int:
         nonlocal shards
-        split = best_split(points, points, bits, rng) if share > 1 and len(points) > 1 else None
+        split = None
+        if share > 1 and len(points) > 1:
+            for within, ball in ((block, bits if block == WHOLE else 0), (WHOLE, bits)):
+                seen = block_of(points, within)
+                split = best_split(seen, seen, ball, rng)
+                if split is not None:
+                    break
         if split is None:
             shards += 1
             return -shards
         at = len(nodes)
         nodes.append(None)
-        inside = distances(points, split[0]) <= split[1]
+        inside = distances(seen, split[0]) <= split[1]
         inner = grow(points[inside], share * inside.mean())
         outer = grow(points[~inside], share * (~inside).mean())
-        nodes[at] = (int(split[0]), split[1], inner, outer)
+        nodes[at] = (int(split[0]), split[1], inner, outer, within, ball)
         return at
 
     grow(sample, n_shards)
-    return Dealer(nodes, bits)
+    return Dealer(nodes, shards)
 
 
 class Forest:
@@ -166,17 +191,23 @@ class Forest:
             np.minimum.at(self.up, np.maximum(ra, rb), np.minimum(ra, rb))
 
 
-def link_shard(points: np.ndarray, home: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links of members (``home``) with smaller points among all."""
+def link_shard(points: np.ndarray, home: np.ndarray, bits: int, block: tuple[int, int] = WHOLE) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of the links of members (``home``) with smaller points among all that agree with them
+    in ``block`` (in all points, for the whole)."""
     order = np.argsort(points)
     points, home = points[order], home[order]
+    parts = block_of(points, block)
     forest, rng = Forest(len(points)), np.random.default_rng(11)
-    stack = [(np.flatnonzero(home), np.arange(len(points)))]
+    stack = [(np.flatnonzero(home), np.arange(len(points)), block != WHOLE)]
     while stack:
-        members, visitors = stack.pop()
+        members, visitors, apart = stack.pop()
         if not len(members) or not len(visitors):
             continue
-        split = best_split(points[members], points[visitors], bits, rng, 6) if len(members) > LEAF else None
+        seen, ball = (parts, 0) if apart else (points, bits)
+        split = best_split(seen[members], seen[visitors], ball, rng, 6) if len(members) > LEAF else None
+        if split is None and apart and len(members) > LEAF:  # one block value
+            stack.append((members, visitors, False))
+            continue
         if split is None:
             step = max(1, BLOCK // len(members))
             for k in range(0, len(visitors), step):
@@ -187,9 +218,9 @@ def link_shard(points: np.ndarray, home: np.ndarray, bits: int) -> tuple[np.ndar
                 smaller = a < b
                 forest.join(a[smaller], b[smaller])
             continue
-        d, e = distances(points[members], split[0]), distances(points[visitors], split[0])
-        stack.append((members[d <= split[1]], visitors[e <= split[1] + bits]))
-        stack.append((members[d > split[1]], visitors[e > split[1] - bits]))
+        d, e = distances(seen[members], split[0]), distances(seen[visitors], split[0])
+        stack.append((members[d <= split[1]], visitors[e <= split[1] + ball], apart))
+        stack.append((members[d > split[1]], visitors[e > split[1] - ball], apart))
     root = forest.roots(np.arange(len(points)))
     linked = np.flatnonzero(root != np.arange(len(points)))
     return points[linked].view(np.int64), points[root[linked]].view(np.int64)
@@ -203,20 +234,25 @@ def links(classes: DataFrame, bits: int = BITS, shard_classes: int = SHARD_CLASS
     most = min(SAMPLE_CLASSES, 64 * n_shards)
     # at most SAMPLE_CLASSES fingerprints, by the order of a hash
     sample = classes.orderBy(F.xxhash64("fp"), "fp").limit(most).toPandas()["fp"].to_numpy(np.int64).view(np.uint64) if n_shards > 1 else np.zeros(0, np.uint64)
-    dealer = build_dealer(sample, n_shards, bits)
+    # with one shard nothing is to be dealt, and one tree does
+    cuts = blocks(bits) if n_shards > 1 else [WHOLE]
+    trees = [build_dealer(sample, n_shards, bits, block) for block in cuts]
+    first = np.cumsum([0, *(t.n_shards for t in trees)])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             points = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for shard, rows, home in dealer.shards(points):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), shard, np.int32)), pa.array(points[rows].view(np.int64)),
-                                                  pa.array(home)], names=["shard", "fp", "home"])
+            for k, tree in enumerate(trees):
+                for shard, rows, home in tree.shards(points):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), first[k] + shard, np.int32)), pa.array(points[rows].view(np.int64)),
+                                                      pa.array(home)], names=["shard", "fp", "home"])
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = link_shard(pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["home"].to_numpy(bool), bits)
+        block = cuts[int(np.searchsorted(first, pdf["shard"].iloc[0], side="right")) - 1]
+        a, b = link_shard(pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["home"].to_numpy(bool), bits, block)
         return pd.DataFrame({"a": a, "b": b})
 
-    width = max(n_shards, spark.sparkContext.defaultParallelism)
+    width = max(int(first[-1]), spark.sparkContext.defaultParallelism)
     dealt = classes.select("fp").repartition(width, "fp").mapInArrow(deal, "shard int, fp bigint, home boolean")
     # a stated width: shards are heavy to work on and light in bytes, by which they would be put together
     return dealt.repartition(2 * width, "shard").groupBy("shard").applyInPandas(link, "a bigint, b bigint")
@@ -224,7 +260,7 @@ def links(classes: DataFrame, bits: int = BITS, shard_classes: int = SHARD_CLASS
 
 def _resolve(df: DataFrame, id_col: str, text_col: str, shingle: int, bits: int) -> tuple[DataFrame, DataFrame]:
     """Written tables (id, h, fp) per row, h being the text's hash, and (fp, label) per class."""
-    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    rows = df.select(quoted(id_col).alias("id"), F.xxhash64(quoted(text_col)).alias("h"), quoted(text_col).alias("text"))
     rows = shared_table(fingerprints(rows, ["id", "h"], "text", shingle=shingle), "fingerprints")
     classes = shared_table(rows.select("fp").distinct(), "classes")
     nodes = components(shared_table(links(classes, bits), "links"))
@@ -252,17 +288,21 @@ def one_of_each(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGL
     keep = shared_table(k.join(t, F.col("k.id").eqNullSafe(F.col("t.id")) & (F.col("k.h") == F.col("t.h")), "left")
                         .select("k.id", "k.h", F.coalesce("t.again", F.lit(False)).alias("again")), "keep")
 
+    own_id, own_h = fresh("_id", df), fresh("_h", df)
+    rows = df.select("*", quoted(id_col).alias(own_id), F.xxhash64(quoted(text_col)).alias(own_h))
+
     def among(which: DataFrame) -> DataFrame:
-        d, w = df.alias("d"), which.alias("w")
-        return d.join(w, F.col(f"d.{id_col}").eqNullSafe(F.col("w.id")) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("w.h")), "left_semi")
+        w = which.select(F.col("id").alias("_w1"), F.col("h").alias("_w2")).alias("w")
+        return rows.alias("d").join(w, F.col(f"d.{own_id}").eqNullSafe(F.col("w._w1")) & (F.col(f"d.{own_h}") == F.col("w._w2")), "left_semi")
 
-    once = among(keep.where("not again"))
+    mine = [quoted(c) for c in df.columns]
+    once = among(keep.where("not again")).select(*mine)
     if keep.where("again").isEmpty():
         return once
-    rank = fresh("_rank", df)
-    order = [F.col(c.name) for c in df.schema if not isinstance(c.dataType, (T.MapType, T.VariantType))]
-    window = Window.partitionBy(F.col(id_col), F.xxhash64(F.col(text_col))).orderBy(*order)
-    return once.unionAll(among(keep.where("again")).withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank))
+    # aggregated, so that rows that repeat by the million are never together
+    order = [quoted(c.name) for c in df.schema if not isinstance(c.dataType, (T.MapType, T.VariantType))]
+    first = among(keep.where("again")).groupBy(own_id, own_h).agg(F.min_by(F.struct(*mine), F.struct(*order)).alias("row"))
+    return once.unionAll(first.select("row.*"))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,6 +93,64 @@ def test_dealing_covers_every_ball():
     assert len(near) and all(homes[b] in reach[a] and homes[a] in reach[b] for a, b in near.tolist())
 
 
+def test_each_tree_deals_a_class_once():
+    """Random classes: a shard in each tree, at any number of shards; a pair within 3 bits meets in one of the trees."""
+    rng = np.random.default_rng(4)
+    fps = rng.integers(0, 1 << 64, 20_000, dtype=np.uint64)
+    near = fps.copy()
+    for _ in range(3):
+        near ^= np.uint64(1) << rng.integers(0, 64, len(fps)).astype(np.uint64)
+    for n_shards in (8, 100):
+        met = np.zeros(len(fps), bool)
+        for block in simhash.blocks(3):
+            tree = simhash.build_dealer(fps[:6400], n_shards, 3, block)
+            at = []
+            for points in (fps, near):
+                homes = np.full(len(points), -1)
+                for shard, rows, home in tree.shards(points):
+                    assert home.all() and (homes[rows] == -1).all()
+                    homes[rows] = shard
+                assert (homes >= 0).all()
+                at.append(homes)
+            assert n_shards <= tree.n_shards <= 4 * n_shards and np.bincount(at[0]).max() < 5 * len(fps) / n_shards
+            met |= at[0] == at[1]
+        assert met.all()
+
+
+def hot_block(n, seed):
+    """Half the classes share their lowest 16 bits."""
+    rng = np.random.default_rng(seed)
+    points = np.array(clustered(n, seed), np.uint64)
+    points[rng.random(len(points)) < 0.5] &= np.uint64(~0xFFFF & (1 << 64) - 1)
+    return sorted(set(points.tolist()))
+
+
+@pytest.mark.parametrize("bits", [0, 3, 5])
+def test_a_hot_block_value_loses_no_link(spark, bits, monkeypatch):
+    monkeypatch.setattr(simhash, "LEAF", 20)
+    fps = hot_block(1500, 8)
+    df = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp bigint")
+    edges = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in simhash.links(df, bits, shard_classes=100).collect()]
+    nodes = {r["node"]: r["label"] for r in simhash.components(
+        spark.createDataFrame([(int(np.uint64(a).view(np.int64)), int(np.uint64(b).view(np.int64))) for a, b in edges], "a bigint, b bigint")).collect()} if edges else {}
+    label = components(fps, bits)
+    groups, found = {}, {}
+    for k, f in enumerate(fps):
+        signed = int(np.uint64(f).view(np.int64))
+        groups.setdefault(label[k], set()).add(signed)
+        found.setdefault(nodes.get(signed, signed), set()).add(signed)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, found.values()))
+
+
+def test_one_of_rows_that_repeat(spark):
+    """Equal id and text: the smallest by all columns that have an order, whatever else the rows hold."""
+    df = spark.createDataFrame([(1, "a b c d", 5, {"x": 1}), (1, "a b c d", 3, {"x": 2}), (2, "a b c d", 1, {}), (None, "zz", 4, {}), (None, "zz", 2, {})],
+                               "doc_id int, text string, `meta.x` int, m map<string,int>")
+    got = simhash.one_of_each(df, "doc_id", "text")
+    assert got.columns == df.columns
+    assert sorted(tuple(r)[:3] for r in got.collect() if r[0] is not None) == [(1, "a b c d", 3)] and got.count() == 2
+
+
 def test_query_against_all_pairs(spark):
     docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     fps = [simhash.fingerprint(t) for _, t in docs]
