@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from telvault.llm.common import fresh, shared_table
+from telvault.llm.common import fresh, quoted, shared_table
 
 # words: runs of anything but ASCII characters that are neither letters nor digits
 WORD = r"[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
@@ -44,8 +44,8 @@ def words_of(text: str) -> Column:
 
 def doc_keys(id_col: str, text_col: str) -> list[Column]:
     """Never null, and equal for rows of equal id and text."""
-    return [F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("k1"),
-            F.xxhash64(F.col(id_col).isNull(), F.col(text_col)).alias("k2")]
+    return [F.coalesce(quoted(id_col).cast("bigint"), F.lit(NO_ID)).alias("k1"),
+            F.xxhash64(quoted(id_col).isNull(), quoted(text_col)).alias("k2")]
 
 
 def build_index(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame | None = None) -> DataFrame:
@@ -153,7 +153,7 @@ def clean_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     keys = [c.alias(n) for c, n in zip(doc_keys(id_col, text_col), (a, b))]
     rows = docs.select("*", *keys)
     bad = bad.toDF("_bad1", "_bad2")
-    return rows.join(bad, (rows[a] == bad["_bad1"]) & (rows[b] == bad["_bad2"]), "left_anti").select(*docs.columns)
+    return rows.join(bad, (rows[a] == bad["_bad1"]) & (rows[b] == bad["_bad2"]), "left_anti").select(*[quoted(c) for c in docs.columns])
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,9 @@
 The learner sees examples one at a time. Each coordinate has a rate of its own
 that falls with its gradients, and L1 holds coordinates with little evidence at
 exactly zero, so a fitted model is a short list of weights. Fitting runs in one
-task over a sample whose bound is a parameter; scoring maps Arrow batches.
+task over a sample whose bounds, in rows and in bytes of text, are parameters; the
+texts are split into features where they lie, and only these go to that task, as
+flat arrays. Scoring maps Arrow batches.
 """
 
 from __future__ import annotations
@@ -16,14 +18,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from telvault.llm.bpe import pieces_of
-from telvault.llm.common import shared_table
+from telvault.llm.common import quoted, shared_table
 
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
-CACHED = 400_000  # words of a worker's cache
+CACHED = 200_000  # words of a worker's cache
+SLICE = 1 << 20  # bytes of text that a worker splits at a time
+MOST_BYTES = 64 << 20  # of text that a model is fitted on
 
 
 class WordTable(dict):
@@ -109,37 +114,51 @@ class Rates:
     l1: float = 1.0
     l2: float = 1.0
     epochs: int = 3  # at least
-    steps: int = 25_000  # at least, within 12 epochs
+    steps: int = 25_000  # at least, as far as ``most_epochs`` allow
     least_texts: int = 5  # a feature that fewer examples have is not learned
+    most_epochs: int = 12  # over a small sample
 
 
 def fit(examples: list[tuple[np.ndarray, np.ndarray, float]], size: int, rates: Rates) -> tuple[np.ndarray, np.ndarray, float]:
-    """(coordinates, weights, bias); the bias is a coordinate without L1. Examples weigh so that both labels count
-    alike, a rare one ten times at most."""
-    seen = np.zeros(size + 1, np.int64)
-    for at, *_ in examples:
-        seen[at] += 1
+    """``fit_flat`` of (coordinates, values, label) tuples."""
+    flat = lambda k, kind: np.concatenate([e[k] for e in examples]).astype(kind) if examples else np.zeros(0, kind)
+    ends = np.cumsum([len(e[0]) for e in examples], dtype=np.int64)
+    return fit_flat(flat(0, np.int32), flat(1, np.float32), ends, np.array([e[2] for e in examples], np.float32), size, rates)
+
+
+def fit_flat(at: np.ndarray, x: np.ndarray | None, ends: np.ndarray, labels: np.ndarray, size: int, rates: Rates) -> tuple[np.ndarray, np.ndarray, float]:
+    """(coordinates, weights, bias) from the examples' coordinates and values (None: all 1), one after the other, and where
+    each example ends. The bias is coordinate ``size``, without L1. Examples weigh so that both labels count alike, a
+    rare one ten times at most. Passes: ``epochs``, or as many as ``steps`` examples take, within ``most_epochs``."""
+    seen = np.bincount(at, minlength=size + 1)
     seen[size] = rates.least_texts
-    examples = [(at[keep], x[keep], y) for at, x, y in examples for keep in [seen[at] >= rates.least_texts]]
-    ones = sum(y for *_, y in examples)
-    weight = [min(10.0, len(examples) / (2 * max(1, c))) if examples else 1.0 for c in (len(examples) - ones, ones)]
-    epochs = max(rates.epochs, min(12, -(-rates.steps // max(1, len(examples)))))
+    kept = seen[at] >= rates.least_texts
+    ends = np.concatenate([[0], np.cumsum(kept)])[ends] if len(ends) else ends
+    at, x = at[kept], None if x is None else x[kept]
+    del kept, seen
+    ones = float(labels.sum())
+    weight = [min(10.0, len(labels) / (2 * max(1, c))) if len(labels) else 1.0 for c in (len(labels) - ones, ones)]
+    epochs = max(rates.epochs, min(rates.most_epochs, -(-rates.steps // max(1, len(labels)))))
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     l1 = np.full(size + 1, rates.l1)
     l1[size] = 0.0
 
-    def weights(at):
-        return np.where(np.abs(z[at]) <= l1[at], 0.0, (np.sign(z[at]) * l1[at] - z[at]) / ((rates.beta + np.sqrt(n[at])) / rates.alpha + rates.l2))
+    def weights(z, n, l1):
+        return np.where(np.abs(z) <= l1, 0.0, (np.sign(z) * l1 - z) / ((rates.beta + np.sqrt(n)) / rates.alpha + rates.l2))
 
+    spans = [slice(a, b) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
     for _ in range(epochs):
-        for at, x, y in examples:
-            w = weights(at)
-            g = weight[int(y)] * (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - y) * x
-            z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / rates.alpha * w
-            n[at] += g * g
-    w = weights(slice(None))
-    at = np.flatnonzero(w[:size])
-    return at, w[at], float(w[size])
+        for span, y in zip(spans, labels.tolist()):
+            c = at[span]
+            zc, nc = z[c], n[c]
+            w = weights(zc, nc, l1[c])
+            v = 1.0 if x is None else x[span]
+            g = weight[int(y)] * (1 / (1 + np.exp(-np.clip((w * v).sum(), -30, 30))) - y) * v
+            z[c] = zc + g - (np.sqrt(nc + g * g) - np.sqrt(nc)) / rates.alpha * w
+            n[c] = nc + g * g
+    w = weights(z, n, l1)
+    found = np.flatnonzero(w[:size])
+    return found, w[found], float(w[size])
 
 
 _LOADED: dict[str, tuple[WordTable, np.ndarray]] = {}
@@ -156,7 +175,7 @@ class Model:
         at, w, bias = self.weights.value
         if self.name not in _LOADED:
             _LOADED.clear()
-            dense = np.zeros(1 << self.features.bits)
+            dense = np.zeros(1 << self.features.bits, np.float32)
             dense[at] = w
             _LOADED[self.name] = WordTable(self.features.forms), dense
         table, dense = _LOADED[self.name]
@@ -167,51 +186,82 @@ class Model:
         total = bias + np.bincount(doc, dense[feature] * x, minlength=len(texts))
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
-    def map(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Batches whose last column is the text: it gives way to the score."""
-        for batch in batches:
-            for b in pieces_of(batch, 2 << 20):
-                score = pa.array(self.scores(b.column(b.num_columns - 1).to_pylist()), pa.float64())
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], score], names=[*b.schema.names[:-1], "score"])
-
     def score(self, df: DataFrame, keep: list[str], text_col: str, name: str = "score") -> DataFrame:
-        """The columns ``keep`` and the score (0 to 1), called ``name``, per row."""
-        rows = df.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(keep)], F.col(text_col).alias("text"))
-        kinds = ", ".join(f"c{k} {df.schema[c].dataType.simpleString()}" for k, c in enumerate(keep))
-        return rows.mapInArrow(self.map, f"{kinds}, score double").toDF(*keep, name)
+        """The columns ``keep`` and the score (0 to 1), called ``name``, per row. A text that is kept is sent once."""
+        sent = [*keep, *([] if text_col in keep else [text_col])]
+        where, kept = sent.index(text_col), len(keep)
+        names = [*(f"c{k}" for k in range(kept)), "score"]
 
+        def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for b in pieces_of(batch, SLICE):
+                    score = pa.array(self.scores(b.column(where).to_pylist()), pa.float64())
+                    yield pa.RecordBatch.from_arrays([*b.columns[:kept], score], names=names)
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, features: Features, rates: Rates, most: int) -> Model:
-    """Fit on ``labels`` (id, label 0 or 1) joined with ``docs``.
+        schema = T.StructType([T.StructField(f"c{k}", df.schema[c].dataType) for k, c in enumerate(keep)] + [T.StructField("score", T.DoubleType())])
+        rows = df.select(*[quoted(c).alias(f"c{k}") for k, c in enumerate(sent)])
+        return rows.mapInArrow(mapped, schema).toDF(*keep, name)
 
-    ``most`` bounds the sample: of each label the ``most / 2`` rows with the smallest hash of the id, one text each,
-    whole. Rows with a null id or label are not learned from; with no rows all scores are 0.5.
-    """
-    spark = docs.sparkSession
+
+def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int, most_bytes: int) -> DataFrame:
+    """Written (id, label, text): of each label (0, 1) the ``most / 2`` rows with the smallest hash of the id, of these, in
+    that order, as many whole texts as ``most_bytes / 2`` bytes hold. Of rows that repeat an id the greatest text counts."""
     known = labels.toDF("id", "label").where("id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
     chosen = [known.where(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(most // 2) for y in (0, 1)]
     # at most ``most`` pairs of an id and a label
     chosen = F.broadcast(shared_table(chosen[0].unionAll(chosen[1]), "sample"))
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
-            .groupBy("id", "label").agg(F.max("text").alias("text"))
-            .select("label", "text", F.xxhash64(F.lit("order"), "id").alias("at")).repartition(1).sortWithinPartitions("at", "text"))
+    rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).join(chosen, "id")
+    rows = shared_table(rows.groupBy("id", "label").agg(F.max("text").alias("text")), "sampled")
+    # the window is over ``most`` pairs of an id and a size at most
+    so_far = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
+    sizes = rows.select("id", "label", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
+    within = sizes.withColumn("size", F.sum("size").over(so_far)).where(F.col("size") <= most_bytes // 2)
+    return rows.join(F.broadcast(within.select("id")), "id", "left_semi")
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, examples, size = WordTable(features.forms), [], 1 << features.bits
+
+def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, features: Features, rates: Rates, most: int,
+          most_bytes: int = MOST_BYTES) -> Model:
+    """Fit on ``labels`` (id, label 0 or 1) joined with ``docs``, on the bounded ``sample`` of them.
+
+    Rows with a null id or label are not learned from; with no rows all scores are 0.5.
+    """
+    spark, size = docs.sparkSession, 1 << features.bits
+    rows = sample(docs, labels, id_col, text_col, most, most_bytes).select("label", F.xxhash64(F.lit("order"), "id").alias("at"), "text")
+    packed_names = ["at", "label", "features", "shares"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row's distinct features and, if they are not all 1, their values, as bytes."""
+        table = WordTable(features.forms)
         for batch in batches:
-            for b in pieces_of(batch, 2 << 20):
-                texts, y = b.column(1).to_pylist(), b.column(0).to_pylist()
+            for b in pieces_of(batch, SLICE):
+                texts = b.column(2).to_pylist()
                 feature, doc = features.split(texts, table)
                 doc, feature, x = features.values(feature, doc, np.bincount(doc, minlength=len(texts)))
                 cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
-                for k in range(len(texts)):
-                    part = slice(cuts[k], cuts[k + 1])
-                    # the bias is the coordinate after the last
-                    examples.append((np.append(feature[part], size).astype(np.int32), np.append(x[part], 1.0).astype(np.float32), float(y[k])))
-        at, w, bias = fit(examples, size, rates)
+                own = [slice(cuts[k], cuts[k + 1]) for k in range(len(texts))]
+                # the bias is the coordinate after the last
+                at = [np.append(feature[o], size).astype(np.int32).tobytes() for o in own]
+                values = [np.append(x[o], 1.0).astype(np.float32).tobytes() if features.share else None for o in own]
+                yield pa.RecordBatch.from_arrays([b.column(1), b.column(0).cast(pa.int32()), pa.array(at, pa.binary()), pa.array(values, pa.binary())], names=packed_names)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, x, sizes, labels = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)], [], []
+        for b in batches:
+            for f, v in zip(b.column(2), b.column(3)):
+                at.append(np.frombuffer(f.as_py(), np.int32))
+                sizes.append(len(at[-1]))
+                if features.share:
+                    x.append(np.frombuffer(v.as_py(), np.float32))
+            labels += b.column(1).to_pylist()
+        values = np.concatenate(x) if features.share else None
+        del x
+        at = np.concatenate(at)
+        at, w, bias = fit_flat(at, values, np.cumsum(sizes, dtype=np.int64), np.array(labels, np.float32), size, rates)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(w, bias), pa.float64())], names=["at", "weight"])
 
-    fitted = rows.mapInArrow(task, "at long, weight double").toPandas()  # at most 2**bits weights
+    packed = shared_table(rows.mapInArrow(pack, "at long, label int, features binary, shares binary"), "features")
+    packed = packed.repartition(1).sortWithinPartitions("at", "features")
+    fitted = packed.mapInArrow(task, "at long, weight double").toPandas()  # at most 2**bits weights
     own = fitted["at"] >= 0
     at, w = fitted["at"][own].to_numpy(), fitted["weight"][own].to_numpy()
     bias = float(fitted["weight"][~own].sum())

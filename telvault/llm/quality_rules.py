@@ -17,7 +17,7 @@ Per-text measures are computed inside the row, so no word is shuffled: repeated
 windows are found by sorting (hash, position) packed in one long.
 
 Defined results: null and empty texts have no words, fail the base rule and are
-not kept; a null language is a stratum of its own; repeated rows repeat; without
+not kept; a null language and an empty one are one stratum; repeated rows repeat; without
 labels only the base rule rejects; further columns are dropped (``measures``) or
 kept (``kept_rows``).
 """
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from telvault.llm.common import fresh, shared_table
+from telvault.llm.common import fresh, quoted, shared_table
 
 LIMIT = 0.02  # of the good documents of a stratum, over all rules
 CONFIDENCE = 0.95
@@ -61,7 +61,7 @@ def measures(df: DataFrame, keep: list[str], text_col: str) -> DataFrame:
     A window's hash keeps the bits that its position leaves free (over 40 for a million words). Positions whose
     hash occurs again are tested once more by the free bits of another hash.
     """
-    rows = df.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(keep)], F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    rows = df.select(*[quoted(c).alias(f"c{k}") for k, c in enumerate(keep)], F.coalesce(quoted(text_col), F.lit("")).alias("t"))
     ids = [f"c{k}" for k in range(len(keep))]
     rows = rows.select(*ids, "t", F.expr(f"regexp_extract_all(t, '{WORD}', 0)").alias("words"),
                        F.expr(r"filter(split(t, '\n'), l -> l rlike '[^\\x20\\x09-\\x0D]')").alias("lines"))
@@ -146,7 +146,7 @@ def kept_rows(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     """The rows of ``df`` that pass, with their own columns. Rows are written once with their measures, so that no
     text is shuffled or measured twice."""
     row = fresh("_row", df)
-    whole = df.select(F.struct(*df.columns).alias(row), F.col(id_col).alias("_id"), F.col(stratum).alias("_stratum0"), F.col(text_col).alias("_text"))
+    whole = df.select(F.struct(*[quoted(c) for c in df.columns]).alias(row), quoted(id_col).alias("_id"), quoted(stratum).alias("_stratum0"), quoted(text_col).alias("_text"))
     table = shared_table(measures(whole, [row, "_id", "_stratum0"], "_text"), "measured")
     narrow = table.select("_id", "_stratum0", *COUNTS, "base_failed")
     cuts = cutoffs(narrow, labels.withColumnRenamed(id_col, "_id"), "_id", "_stratum0")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telvault.llm.common import crc32_text, fresh
+from telvault.llm.common import crc32_text, fresh, quoted
 from telvault.llm.ftrl import WORD, Features, Model, Rates, learn
 
 TRAIN_ROWS = 12_000  # bound of the labelled rows that are learned from
@@ -42,7 +42,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 def clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with their own columns."""
     score = fresh("_score", docs)
-    return model.score(docs, docs.columns, text_col, score).where(F.col(score) < threshold).drop(score)
+    return model.score(docs, docs.columns, text_col, score).where(quoted(score) < threshold).drop(score)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ def texts(words):
 @pytest.fixture(scope="session")
 def messy(spark, texts):
     """Documents with null and repeated ids, whole rows that repeat, and columns whose names the operators use themselves."""
-    extra = "fp bigint, k1 string, pos int, score double, label int, id string, shard int, lines string, _row int, t string, c0 string, h int, `Text ` string"
+    extra = "fp bigint, k1 string, pos int, score double, label int, id string, shard int, lines string, _row int, t string, c0 string, h int, `Text ` string, `meta.x` string, `back``tick` string, line string, rank int, _w1 int"
     n = len(extra.split(","))
     rows = [(k, t, None if k % 5 == 0 else "en" if k % 2 else "fr", "src0", len(t or "")) for k, t in enumerate(texts)]
     rows += [(None, None, None, None, None), (None, texts[9], "en", None, 1), (None, "a text without an id", "en", None, 1),
