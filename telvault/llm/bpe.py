@@ -22,6 +22,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from itertools import accumulate, chain
 
 import numpy as np
@@ -30,9 +31,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
+from telvault.llm.common import give_back, hold
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-CACHED = 400_000  # entries of each cache of a worker
+CACHED = 200_000  # matches that a worker keeps, and as many that it kept before
+SEAMS = 500_000  # token pairs that a worker keeps
 # fixed values: letters and numbers of later Unicode versions than tiktoken's, which it treats as unassigned
 RECENT = (
     r"\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c-\uab6d"
@@ -114,7 +117,7 @@ class PrefixBpe:
                         return True
 
     def fits(self, seam: tuple[int, int]) -> bool:
-        if len(self.seams) >= CACHED:
+        if len(self.seams) >= SEAMS:
             self.seams.clear()
         got = self.seams[seam] = self.split(seam[1]) is not None and self.may_follow(*seam)
         return got
@@ -251,8 +254,12 @@ class Codec:
 
     def entries_of(self, texts: list[str | None]) -> Iterator[list[tuple[tuple[int, ...], bytes, bytes]]]:
         """``entries`` of each text; matches not yet known are encoded together."""
-        found = [self.pattern_for(t).findall(t) if t else [] for t in texts]
-        self.known.learn(set(chain.from_iterable(found)))
+        same: dict[str, str] = {}  # equal matches are one object, or the matches would take many times the texts' memory
+        found = []
+        for t in texts:
+            matches = self.pattern_for(t).findall(t) if t else []
+            found.append(list(map(same.setdefault, matches, matches)))
+        self.known.learn(set(same))
         for matches in found:
             yield list(map(self.known.__getitem__, matches))
 
@@ -346,13 +353,22 @@ class Stages:
         self.content = spark.sparkContext.broadcast(load_ranks(path or public_tokenizers.path(RANKS)))
         self.pattern = pattern
 
+    @contextmanager
+    def codec(self) -> Iterator[Codec]:
+        """The worker's codec."""
+        hold("bpe", _CODECS.clear)
+        try:
+            yield codec(self.content.value, self.pattern)
+        finally:
+            give_back()
+
     def encode(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(id, text) to (id, ids)."""
-        c = codec(self.content.value, self.pattern)
-        for b in batches:
-            for part in pieces_of(b):
-                ids = [list(chain.from_iterable(e[0] for e in found)) for found in c.entries_of(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[part.schema.names[0], "ids"])
+        with self.codec() as c:
+            for b in batches:
+                for part in pieces_of(b):
+                    ids = [list(chain.from_iterable(e[0] for e in found)) for found in c.entries_of(part.column(1).to_pylist())]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[part.schema.names[0], "ids"])
 
     def decode(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(id, ids) to (id, bytes)."""
@@ -363,22 +379,22 @@ class Stages:
 
     def digests(self, batches: Iterator[pa.RecordBatch], with_ids: bool = False) -> Iterator[pa.RecordBatch]:
         """(id, text) to (id, n_tokens, ids_sha256, decoded_sha256): encoded, then decoded from the ids, each match's once while known."""
-        c = codec(self.content.value, self.pattern)
         hexdigest = lambda data: hashlib.sha256(data).hexdigest()
-        for batch in batches:
-            for b in pieces_of(batch, 8 << 20):
-                n, a, d, kept = [], [], [], []
-                for found in c.entries_of(b.column(1).to_pylist()):
-                    ids = [e[0] for e in found]
-                    n.append(sum(map(len, ids)))
-                    a.append(hexdigest(b",".join([e[1] for e in found])))
-                    d.append(hexdigest(b"".join([e[2] for e in found])))
+        with self.codec() as c:
+            for batch in batches:
+                for b in pieces_of(batch, 8 << 20):
+                    n, a, d, kept = [], [], [], []
+                    for found in c.entries_of(b.column(1).to_pylist()):
+                        ids = [e[0] for e in found]
+                        n.append(sum(map(len, ids)))
+                        a.append(hexdigest(b",".join([e[1] for e in found])))
+                        d.append(hexdigest(b"".join([e[2] for e in found])))
+                        if with_ids:
+                            kept.extend(chain.from_iterable(ids))
+                    columns = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())]
                     if with_ids:
-                        kept.extend(chain.from_iterable(ids))
-                columns = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())]
-                if with_ids:
-                    columns.append(pa.ListArray.from_arrays(pa.array([0, *accumulate(n)], pa.int32()), pa.array(kept, pa.int32())))
-                yield pa.RecordBatch.from_arrays(columns, names=[b.schema.names[0], "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)])
+                        columns.append(pa.ListArray.from_arrays(pa.array([0, *accumulate(n)], pa.int32()), pa.array(kept, pa.int32())))
+                    yield pa.RecordBatch.from_arrays(columns, names=[b.schema.names[0], "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)])
 
     def tokens(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The same with the ids behind."""

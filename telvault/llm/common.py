@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +31,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def give_back() -> None:
+    """Return a worker's free memory to the machine: workers live on between tasks, beside the JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, forget: Callable[[], None] = lambda: None) -> None:
+    """Said by a task's function as it begins: this worker keeps caches of ``owner`` only, which ``forget`` empties. Those
+    that another operator left are emptied now."""
+    for other in [o for o in _HELD if o != owner]:
+        _HELD.pop(other)()
+    if owner not in _HELD:
+        give_back()
+    _HELD[owner] = forget
+
+
 def quoted(name: str) -> Column:
     """The column of that very name, whatever characters it has."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telvault.llm.bpe import pieces_of
-from telvault.llm.common import quoted, shared_table
+from telvault.llm.common import give_back, hold, quoted, shared_table
 
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 CACHED = 200_000  # words of a worker's cache
@@ -193,10 +193,12 @@ class Model:
         names = [*(f"c{k}" for k in range(kept)), "score"]
 
         def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hold("ftrl", _LOADED.clear)
             for batch in batches:
                 for b in pieces_of(batch, SLICE):
                     score = pa.array(self.scores(b.column(where).to_pylist()), pa.float64())
                     yield pa.RecordBatch.from_arrays([*b.columns[:kept], score], names=names)
+            give_back()
 
         schema = T.StructType([T.StructField(f"c{k}", df.schema[c].dataType) for k, c in enumerate(keep)] + [T.StructField("score", T.DoubleType())])
         rows = df.select(*[quoted(c).alias(f"c{k}") for k, c in enumerate(sent)])
@@ -231,6 +233,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, featur
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row's distinct features and, if they are not all 1, their values, as bytes."""
+        hold("ftrl", _LOADED.clear)
         table = WordTable(features.forms)
         for batch in batches:
             for b in pieces_of(batch, SLICE):
@@ -243,8 +246,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, featur
                 at = [np.append(feature[o], size).astype(np.int32).tobytes() for o in own]
                 values = [np.append(x[o], 1.0).astype(np.float32).tobytes() if features.share else None for o in own]
                 yield pa.RecordBatch.from_arrays([b.column(1), b.column(0).cast(pa.int32()), pa.array(at, pa.binary()), pa.array(values, pa.binary())], names=packed_names)
+        del table
+        give_back()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("fit")  # not what scoring left
         at, x, sizes, labels = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)], [], []
         for b in batches:
             for f, v in zip(b.column(2), b.column(3)):
@@ -258,6 +264,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, featur
         at = np.concatenate(at)
         at, w, bias = fit_flat(at, values, np.cumsum(sizes, dtype=np.int64), np.array(labels, np.float32), size, rates)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(w, bias), pa.float64())], names=["at", "weight"])
+        del values
+        give_back()
 
     packed = shared_table(rows.mapInArrow(pack, "at long, label int, features binary, shares binary"), "features")
     packed = packed.repartition(1).sortWithinPartitions("at", "features")

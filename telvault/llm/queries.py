@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
+from telvault.llm import pipeline
 from telvault.llm.bpe import op2_bpe
 from telvault.llm.chat import op8_chat
 from telvault.llm.decontamination import op9_decontamination
@@ -19,4 +19,4 @@ from telvault.llm.warc import op1_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_bpe, op3_sharding, op4_toxicity, op5_langid, op6_quality_rules, op7_simhash, op8_chat,
-    op9_decontamination, op10_quality_classifier, op11_resampling, op12_line_dedup, op13_hard_negatives)} | {"pipeline": corpus_pipeline.run}
+    op9_decontamination, op10_quality_classifier, op11_resampling, op12_line_dedup, op13_hard_negatives)} | {"pipeline": pipeline.run}

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telvault.llm.bpe import pieces_of
-from telvault.llm.common import gapless_position, quoted, shared_table
+from telvault.llm.common import gapless_position, hold, quoted, shared_table
 
 MOST_WORDS, BUCKETS, LEAST_WORDS, PERCENT, SEED = 1, 10_000, 20, 10, 2024
 HALVINGS = 3  # of the search interval that one counting job decides
@@ -65,6 +65,7 @@ def features(text: bytes, most: int, bucket: Bucket) -> tuple[int, np.ndarray]:
 
 def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of batches, and the UTF-8 bytes of their last column (null: empty)."""
+    hold("resampling")
     for batch in batches:
         for b in pieces_of(batch):
             yield b, [t or b"" for t in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()]

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telvault.llm.bpe import pieces_of
-from telvault.llm.common import components, fresh, quoted, shared_table
+from telvault.llm.common import components, fresh, hold, quoted, shared_table
 
 SHINGLE, SEED, BITS = 3, 42, 3
 SHARD_CLASSES = 20_000  # members that a shard is planned to have
@@ -67,6 +67,7 @@ def fingerprints(df: DataFrame, keep: list[str], text_col: str, name: str = "fp"
     schema = T.StructType([T.StructField(f"c{k}", df.schema[c].dataType) for k, c in enumerate(keep)] + [T.StructField("fp", T.LongType())])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("simhash")
         for batch in batches:
             for b in pieces_of(batch, 2 << 20):
                 fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(b.num_columns - 1)], np.uint64)

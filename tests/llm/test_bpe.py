@@ -98,6 +98,7 @@ def test_an_edit_does_not_encode_what_is_before_or_after(codec, theirs, monkeypa
 
 def test_caches_that_overflow(theirs, codec, monkeypatch, texts):
     monkeypatch.setattr(bpe, "CACHED", 50)
+    monkeypatch.setattr(bpe, "SEAMS", 50)
     small = bpe.Codec(bpe.load_ranks(public_tokenizers.path(bpe.RANKS)))
     for _ in range(2):
         for k in range(0, len(texts), 9):
