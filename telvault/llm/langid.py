@@ -13,8 +13,8 @@ A batch of texts is one long chain with a fresh start at each text. It is cut in
 blocks whose transfer matrices are taken together, so the recurrences run over
 whole arrays and a very long text costs no more per word than a short one.
 
-Defined results: null texts and texts without a letter are ``und`` with score 0,
-as is all if there is nothing to learn from; repeated rows repeat; null languages
+Defined results: of languages with equal sums the first by name is said; null
+texts and texts without a letter are ``und`` with score 0, as is all if there is nothing to learn from; repeated rows repeat; null languages
 are not learned from; further columns are dropped.
 """
 
@@ -30,14 +30,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telvault.llm.bpe import pieces_of
-from telvault.llm.common import crc32_text, shared_table
+from telvault.llm.common import crc32_text, quoted, shared_table
 
 TRAIN_ROWS = 600  # bound of the texts that are learned from, for each language
-LANGUAGES = 500  # bound of the languages: those with the most texts
+LANGUAGES = 500  # more are refused: the model holds weights for each
 BITS = 18
 BLOCK = 48  # words of a block of the chain
 STEP = 20_000  # words of a training step
@@ -298,21 +298,23 @@ class LanguageModel:
 
 
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = TRAIN_ROWS) -> LanguageModel:
-    """Learn from at most ``most`` texts of each language, those with the smallest hash of the id, whole; of the
-    languages, at most ``LANGUAGES``."""
+    """Learn from at most ``most`` texts of each language, those with the smallest hash of the id, whole. More than
+    ``LANGUAGES`` languages are an error."""
     spark = docs.sparkSession
-    ids = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("at"))
+    ids = docs.where(quoted(lang_col).isNotNull() & quoted(text_col).isNotNull()).select(
+        quoted(lang_col).alias("lang"), quoted(id_col).alias("id"), F.xxhash64(quoted(id_col)).alias("at"))
     ids = shared_table(ids, "ids")
-    sizes = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in sizes)
+    sizes = shared_table(ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    languages = sorted(r["lang"] for r in sizes.select("lang").limit(LANGUAGES + 1).collect())
+    if len(languages) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages: map rare ones to null or to a common name first")
     if not languages:
         return LanguageModel([], spark.sparkContext.broadcast(None))
-    # each language's smallest hashes, one bounded top-k per language: a window would hold a whole language
-    chosen = None
-    for lang in languages:
-        top = ids.where(F.col("lang") == lang).orderBy("at", "id").limit(most)
-        chosen = top if chosen is None else chosen.unionAll(top)
+    # a hash is even over its range, so four times as many rows as wanted lie below a known bound; the window then
+    # holds no language whole
+    below = (F.col("at") / F.lit(2.0 ** 64) + 0.5) * F.col("n") <= F.lit(4.0 * most + 100)
+    first = Window.partitionBy("lang").orderBy("at", "id")
+    chosen = ids.join(F.broadcast(sizes), "lang").where(below).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= most)
     chosen = F.broadcast(shared_table(chosen.select("lang", F.col("id").alias("chosen_id")).distinct(), "chosen"))
     rows = docs.join(chosen, (docs[lang_col] == chosen["lang"]) & docs[id_col].eqNullSafe(chosen["chosen_id"])).select(
         chosen["lang"].alias("lang"), F.col(text_col).alias("text"))

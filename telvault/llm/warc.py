@@ -11,9 +11,15 @@ the WARC standard's gzip members (else by Content-Length, or by inflating
 without keeping).
 
 ``df.write.format("warc").mode("append").save(folder)`` writes one gzip member
-per record. Executors write straight to the folder under names of their own;
-the commit writes a manifest of the files of successful tasks, so what a lost
-executor left behind is never read.
+per record. Executors write straight to the folder under names that begin with
+``_``; the commit writes a manifest of the files of successful tasks. A folder is
+read as the files of its manifests and all archives (``.warc``, ``.warc.gz``) whose
+names do not begin with ``_`` or ``.``, so what a lost executor or a failed job left
+behind is never read, and archives of others are, beside written ones or alone.
+
+A path without a scheme is a local one for the source, which sees no Hadoop
+configuration; ``qualified`` gives the URI that Spark's default file system makes
+of it.
 
 Defined results: null payload is written as empty; null record_type as
 ``response``; null dates as the epoch; other null headers are left out and read
@@ -141,7 +147,7 @@ class WarcWriter(DataSourceArrowWriter):
                         if out is not None:
                             out.close()
                             files[-1][1] = at
-                        name, at = f"part-{uuid.uuid4().hex}.warc.gz", 0
+                        name, at = f"_part-{uuid.uuid4().hex}.warc.gz", 0
                         out = fs.open_output_stream(f"{root}/{name}", compression=None)
                         files.append([name, 0, [0]])
                     if at - files[-1][2][-1] >= self.split_bytes:
@@ -298,14 +304,18 @@ class WarcReader(DataSourceReader):
             return [WarcSplit(self.path, 0, None)]
         there = sorted((i for i in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))), key=lambda i: i.base_name)
         base = self.path.rstrip("/")
+        out, written = [], set()
         manifests = [i for i in there if i.base_name.startswith(MANIFEST)]
-        if not manifests:
-            return [WarcSplit(f"{base}/{i.base_name}", 0, None) for i in there if i.base_name.endswith((".warc", ".warc.gz"))] or [WarcSplit("", 0, 0)]
-        out = []
         for m in manifests:
             with fs.open_input_stream(m.path) as f:
                 for name, size, begins in json.loads(f.read()):
+                    written.add(name)
                     out += [WarcSplit(f"{base}/{name}", a, b) for a, b in zip(begins, [*begins[1:], size])]
+        for i in there:
+            # beside a manifest, part- is what this writer named its files before
+            own = i.base_name.startswith(("_", ".")) or manifests and i.base_name.startswith("part-")
+            if i.base_name.endswith((".warc", ".warc.gz")) and not own and i.base_name not in written:
+                out.append(WarcSplit(f"{base}/{i.base_name}", 0, None))
         return out or [WarcSplit("", 0, 0)]
 
     def read(self, split: WarcSplit):
@@ -376,6 +386,13 @@ class WarcDataSource(DataSource):
         return WarcWriter(dict(self.options), overwrite)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as Spark itself resolves it: with the scheme and host of the default file system where it names none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return p.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+
+
 def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
@@ -423,7 +440,7 @@ def base32(hex_digest):
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark)
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    path = shared_path(spark, "archive")
+    path = qualified(spark, shared_path(spark, "archive"))
     with_revisits(pages, "page_id", "html", "url").write.format("warc").mode("append").save(path)
     page = lambda c: F.expr(f"try_cast(substring({c}, 9) as bigint)")  # noqa: E731  after urn:key:
     return (spark.read.format("warc").load(path)

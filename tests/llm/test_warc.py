@@ -84,6 +84,46 @@ def test_files_of_a_lost_task_are_not_read(spark, pages):
     assert spark.read.format("warc").load(path).count() == pages.count()
 
 
+def test_files_of_a_failed_job_are_not_read(spark, tmp_path):
+    """Without any commit: what the job wrote is there, and the folder is empty to the reader."""
+    path = str(tmp_path / "failed")
+    writer = warc.WarcWriter({"path": path}, False)
+    import pyarrow as pa
+    written = writer.write(iter([pa.RecordBatch.from_pylist([{"record_id": f"r{k}", "payload": b"x"} for k in range(20)])]))
+    assert len(written.files) == 1 and (tmp_path / "failed" / written.files[0][0]).exists()
+    warc.register(spark)
+    assert spark.read.format("warc").load(path).count() == 0
+    writer.commit([written])
+    assert spark.read.format("warc").load(path).count() == 20
+
+
+def test_archives_of_others_stay_when_rows_are_appended(spark, pages, tmp_path):
+    folder = tmp_path / "both"
+    folder.mkdir()
+    (folder / "part-00001.warc").write_bytes(b"".join(warc.record_bytes({"record_id": f"o{k}", "payload": b"y"}) for k in range(5)))
+    (folder / "other.warc.gz").write_bytes(b"".join(warc.gzip_member(warc.record_bytes({"record_id": f"f{k}", "payload": b"y"})) for k in range(20)))
+    warc.register(spark)
+    read = lambda: sorted(r[0] for r in spark.read.format("warc").load(str(folder)).select("record_id").collect())
+    assert len(read()) == 25
+    (folder / "part-00001.warc").rename(folder / "own.warc")
+    more = spark.createDataFrame([(f"n{k}", b"z") for k in range(3)], "record_id string, payload binary")
+    more.write.format("warc").mode("append").save(str(folder))
+    assert read() == sorted([f"o{k}" for k in range(5)] + [f"f{k}" for k in range(20)] + [f"n{k}" for k in range(3)])
+
+
+def test_paths_follow_the_default_file_system(spark, tmp_path):
+    assert warc.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://cluster/")
+    conf.set("fs.viewfs.mounttable.cluster.link./shared", f"file://{tmp_path}")
+    try:
+        assert warc.qualified(spark, "/shared/x") == "viewfs://cluster/shared/x"
+        assert warc.qualified(spark, f"file://{tmp_path}") == f"file:{tmp_path}" or warc.qualified(spark, f"file://{tmp_path}") == f"file://{tmp_path}"
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
 def test_a_wrong_digest_and_foreign_columns_are_refused(spark, tmp_path):
     warc.register(spark)
     data = warc.record_bytes({"record_id": "a", "payload": b"right"}).replace(b"right", b"wrong")
