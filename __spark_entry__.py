@@ -25,15 +25,18 @@ from telvault.operators import catalog, features, metrics, quality, semantic
 from telvault.operators.staging import STAGING_COLUMNS, stage
 from telvault.plans import contracts
 from telvault.plans.silver import Windows, build_silver, customer_360, support_posture
-from telvault.schemas import COLUMN_TESTS, RELATIONSHIPS, RISK_BANDS
-from telvault.session import apply_runtime_conf, checkpoint_dir
-from telvault.sources import files
+from telvault.schemas import COLUMN_TESTS, RELATIONSHIPS, RISK_BANDS, SCHEMAS
+from telvault.session import apply_runtime_conf, checkpoint_dir, materialize
+from telvault.sinks import publish
+from telvault.sources import files, fingerprints, footers, generations
 from telvault.sources.star import BILLING_AS_OF, EVENT_AS_OF, StarSource
 
 try:  # the training-data operators are an optional subpackage
     from telvault.llm.oracle import SQL as LLM_SQL
     from telvault.llm.queries import QUERIES as LLM_QUERIES
-except ImportError:
+except ModuleNotFoundError as e:
+    if e.name != "telvault.llm":  # what it needs is missing, not the subpackage
+        raise
     LLM_QUERIES, LLM_SQL = {}, {}
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -255,12 +258,55 @@ def q_party_uuid(spark, sf_dir):
 
 
 def q_table_fingerprints_portable(spark, sf_dir):
-    """Order-free content fingerprint (rows, bit_xor of md5 row hashes) per landing table."""
+    """Content fingerprint (rows, sums of both halves of the rows' md5) per landing table."""
     star = _star(spark, sf_dir)
-    return quality.union_all([files.fingerprint(df, portable=True).select(F.lit(t).alias("table_name"), "rows", "fingerprint")
+    return quality.union_all([fingerprints.fingerprint(df, portable=True).select(F.lit(t).alias("table_name"), "rows", "fingerprint")
                               for t, df in star.tables().items()])
 
 
+def q_bronze_statistics(spark, sf_dir):
+    """Rows, NULLs, minima and maxima of every column of the written bronze tables, from their footers."""
+    tables, bronze = _star(spark, sf_dir).tables(), _bronze_dir(spark)
+    files.ingest(tables, bronze)
+    paths = generations.current(spark, bronze)
+    return quality.union_all([footers.column_statistics(spark, paths[t], SCHEMAS[t], t) for t in tables])
+
+
+def q_bronze_reload(spark, sf_dir):
+    """The charges after a second load that fails at its third table, and one that replaces the invoices alone."""
+    star, bronze = _star(spark, sf_dir), _bronze_dir(spark)
+    files.ingest({t: star.table(t) for t in ("invoice", "invoice_charge", "account")}, bronze)
+    drifted = star.table("account").withColumn("more", F.lit(1))
+    try:
+        files.ingest({"invoice": star.table("invoice").limit(0), "invoice_charge": star.table("invoice_charge").limit(0), "account": drifted}, bronze)
+    except files.SchemaDriftError:
+        pass
+    files.ingest({"invoice": star.table("invoice").withColumn("status", F.lit("reloaded"))}, bronze)
+    now = files.read_bronze(spark, bronze, ("invoice", "invoice_charge"))
+    return _portable(now["invoice_charge"].groupBy("invoice_id").agg(F.count(F.lit(1)).alias("charges"), F.sum("amount_chf").alias("amount_chf"))
+                     .join(now["invoice"].select("invoice_id", "status"), "invoice_id", "right"))
+
+
+def q_published_accounts(spark, sf_dir):
+    """Accounts published, amended by a column, rebuilt and then replaced by another schema; read back from the catalogue."""
+    name = f"accounts_{uuid.uuid4().hex}"
+    account = _star(spark, sf_dir).table("account")
+    publish.publish(account, name, "amend-and-build")
+    publish.publish(account.withColumn("tier", F.upper("account_type")), name, "amend-and-build")
+    publish.publish(spark.table(name).withColumn("status", F.concat("status", F.lit("!"))), name, "amend-and-build")
+    publish.publish(spark.table(name).select("account_id", "tier", "status"), name, "replace-and-build", allow_data_loss=True)
+    return spark.table(name)
+
+
+def q_invoice_differences(spark, sf_dir):
+    """Invoices against a written copy with rows lost, changed and doubled: where the two differ."""
+    invoice = _star(spark, sf_dir).table("invoice")
+    ends = lambda x: F.col("invoice_id").endswith(x)
+    copy = invoice.where(~ends("77")).withColumn("status", F.when(ends("33"), "changed").otherwise(F.col("status")))
+    copy = materialize(copy.unionAll(copy.where(ends("55"))))
+    return fingerprints.differences(invoice, copy, ["invoice_id"])
+
+
 def q_pii_masked_core(spark, sf_dir):
     s = _silver(spark, sf_dir)
     upstream = catalog.tag_columns(s.sat_account_profile, {"account_number": "pii"})
@@ -330,6 +376,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_bounds": q_dq_bounds, "schema_drift": q_schema_drift,
         "landing_csv": q_landing_csv, "bronze_load_report": q_bronze_load_report,
         "table_fingerprints_portable": q_table_fingerprints_portable,
+        "bronze_statistics": q_bronze_statistics, "bronze_reload": q_bronze_reload,
+        "published_accounts": q_published_accounts, "invoice_differences": q_invoice_differences,
     })
     out.update(POSTURE_PARTS)
     out.update(LLM_QUERIES)

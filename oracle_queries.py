@@ -731,10 +731,47 @@ subscription_id, product_offering_name, service_status, billing_status, {_dbl('m
 {_dbl('data_mb_30d')}, interaction_count_30d, open_ticket_count_30d, {_dbl('support_health_score')},
 support_risk_band, last_interaction_at, snapshot_at FROM core""", sat_health(), core())
 
+KINDS = {"string": "s", "bigint": "i", "timestamp_ntz": "t", "date": "a", "boolean": "b"}
+
+
+def _framed(t: str) -> str:
+    """Text of a row: kind, length and value of each field, n for NULL."""
+    parts = []
+    for f in SCHEMAS[t].fields:
+        text, kind = f"cast({f.name} AS varchar)", KINDS.get(f.dataType.simpleString(), "d")
+        parts.append(f"coalesce('{kind}' || length({text}) || ':' || {text} || ';', 'n;')")
+    return " || ".join(parts)
+
+
+def _half(t: str, at: int) -> str:
+    return f"cast(coalesce(sum(('0x' || substr(md5({_framed(t)}), {at}, 16))::UBIGINT::HUGEINT), 0) AS varchar)"
+
+
 FINGERPRINTS_PORTABLE = q("\nUNION ALL\n".join(
-    f"SELECT {_lit(t)} AS table_name, count(*) AS rows, "
-    f"bit_xor(('0x' || substr({h(*SCHEMAS[t].fieldNames())}, 1, 15))::BIGINT) AS fingerprint FROM {t}"
-    for t in STAR))
+    f"SELECT {_lit(t)} AS table_name, count(*) AS rows, {_half(t, 1)} || '-' || {_half(t, 17)} AS fingerprint FROM {t}" for t in STAR))
+
+
+def _statistics(t: str) -> list[str]:
+    out = []
+    for f in SCHEMAS[t].fields:
+        ordered = f.dataType.simpleString() in ("bigint", "int", "date", "boolean")
+        low, high = (f"cast({x}({f.name}) AS varchar)" if ordered else "cast(NULL AS varchar)" for x in ("min", "max"))
+        out.append(f"SELECT {_lit(t)} AS table_name, {_lit(f.name)} AS column_name, count(*) AS rows, count(*) - count({f.name}) AS null_count, "
+                   f"{low} AS min_value, {high} AS max_value FROM {t}")
+    return out
+
+
+BRONZE_STATISTICS = q("\nUNION ALL\n".join(x for t in STAR for x in _statistics(t)))
+BRONZE_RELOAD = q("""SELECT v.invoice_id, n AS charges, cast(total AS double) AS amount_chf, 'reloaded' AS status FROM invoice v
+LEFT JOIN (SELECT invoice_id, count(*) AS n, sum(amount_chf) AS total FROM invoice_charge GROUP BY 1) c ON v.invoice_id = c.invoice_id""")
+PUBLISHED_ACCOUNTS = q("SELECT account_id, upper(account_type) AS tier, status || '!' AS status FROM account")
+INVOICE_DIFFERENCES = q(f"""SELECT max(invoice_id) AS invoice_id, row_md5, cast(count_if(side = 's') AS bigint) AS source_rows, cast(count_if(side = 't') AS bigint) AS target_rows FROM (
+  SELECT 's' AS side, invoice_id, md5({_framed("invoice")}) AS row_md5 FROM invoice UNION ALL
+  SELECT 't', invoice_id, md5({_framed("invoice")}) FROM (
+    SELECT invoice_id, account_id, invoice_number, invoice_date, due_date, total_amount_chf,
+      CASE WHEN invoice_id LIKE '%33' THEN 'changed' ELSE status END AS status, created_at
+    FROM invoice, (VALUES (1), (2)) twice(i) WHERE invoice_id NOT LIKE '%77' AND (i = 1 OR invoice_id LIKE '%55')) copy) x
+GROUP BY row_md5 HAVING count_if(side = 's') <> count_if(side = 't')""")
 
 DRIFTED = [("PAYMENT_ID", "STRING", True, "string", "0", "ok"), ("INVOICE_ID", "STRING", False, "bigint", "NULL", "retyped"),
            ("AMOUNT_CHF", "NUMBER", False, "decimal(10,2)", "NULL", "ok"), ("CURRENCY", "STRING", False, None, "NULL", "removed"),
@@ -768,7 +805,8 @@ def oracle_sql_extra() -> dict[str, str]:
         "metric_active_recurring_revenue": METRIC_ARR, "metric_support_health_by_band": METRIC_BAND,
         "customer_360": CUSTOMER_360, "pii_masked_core": PII_MASKED_CORE,
         "metric_customer_360": METRIC_C360, "party_uuid": PARTY_UUID, "customer_360_rules": C360_RULES,
-        "table_fingerprints_portable": FINGERPRINTS_PORTABLE, "dq_bounds": UPPER_RULES, "schema_drift": SCHEMA_DRIFT,
+        "bronze_statistics": BRONZE_STATISTICS, "bronze_reload": BRONZE_RELOAD, "published_accounts": PUBLISHED_ACCOUNTS,
+        "invoice_differences": INVOICE_DIFFERENCES, "table_fingerprints_portable": FINGERPRINTS_PORTABLE, "dq_bounds": UPPER_RULES, "schema_drift": SCHEMA_DRIFT,
         "landing_csv": LANDING_CSV, "bronze_load_report": LOAD_REPORT,
     }
     out.update(POSTURE_PARTS_SQL)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telvault.schemas import SCHEMAS
+from telvault.sources import footers
 
 
 def target_name(model: str, default_schema: str, custom_schema: str | None = None,
@@ -39,10 +42,58 @@ def _writer(df: DataFrame, fmt: str, partition_by=None, bucket_by: tuple[int, st
     return w
 
 
+class PublishError(RuntimeError):
+    pass
+
+
+def _layout(spark: SparkSession, name: str) -> dict[str, str]:
+    """Format, buckets and partition columns of a catalogue table, as its description says."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    out = {k: rows.get(k, "") for k in ("Provider", "Num Buckets", "Bucket Columns", "Sort Columns")}
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    return out | {"partitions": ",".join(parts)}
+
+
+def staged_replace(df: DataFrame, name: str, fmt: str = "parquet", partition_by=None,
+                   bucket_by: tuple[int, str] | None = None) -> None:
+    """Replace the table ``name`` (or create it) by ``df``: written beside, checked, then switched.
+
+    The new version is a table of its own until it is complete and holds as many rows as were written; a
+    failure up to then leaves the old rows as they are, and removes the attempt from the catalogue. The switch is
+    one catalogue change, of the location, if schema and layout stay; else the old table gives its name to the
+    complete new one. ``df`` may read ``name`` itself.
+    """
+    spark = df.sparkSession
+    schema, _, table = name.rpartition(".")
+    version = f"{name}__v{uuid.uuid4().hex[:12]}"
+    base = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri.rstrip("/")
+    path = f"{base}/{table}__versions/{version.rpartition('__')[2]}"
+    seen = Observation(f"publish_{uuid.uuid4().hex}")
+    try:
+        _writer(df.observe(seen, F.count(F.lit(1)).alias("rows")), fmt, partition_by, bucket_by).option("path", path).saveAsTable(version)
+        found = footers.row_count(spark, path, spark.table(version).schema) if fmt == "parquet" else spark.table(version).count()
+        if found != seen.get["rows"]:
+            raise PublishError(f"{name}: {seen.get['rows']} rows were written and {found} are there")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {version} RENAME TO {name}")
+        return
+    described = lambda t: [(f.name, f.dataType, f.metadata.get("comment")) for f in spark.table(t).schema]
+    if described(name) == described(version) and (layout := _layout(spark, name)) == _layout(spark, version) and not layout["partitions"]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.sql(f"REFRESH TABLE {name}")
+        spark.sql(f"DROP TABLE {version}")  # of the entry: its files are at the location that ``name`` has now
+    else:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {version} RENAME TO {name}")
+
+
 def full_refresh(df: DataFrame, name: str, fmt: str = "parquet", partition_by=None,
                  bucket_by: tuple[int, str] | None = None) -> None:
-    """Truncate-and-load: replace the table's content (and schema) with ``df``."""
-    _writer(df, fmt, partition_by, bucket_by).mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    """Replace the table's content (and schema) with ``df``; until that is complete the old rows are read."""
+    staged_replace(df, name, fmt, partition_by, bucket_by)
 
 
 def create_or_replace_as_select(df: DataFrame, name: str, fmt: str = "parquet", partition_by=None,
@@ -98,8 +149,9 @@ def publish(df: DataFrame, name: str, mode: str = "amend-and-build", allow_data_
       * ``replace``: drop and recreate empty; destructive, so an existing
         table needs ``allow_data_loss=True``.
     ``*-and-build`` modes then (re)build the rows: ``amend-and-build``
-    overwrites the rows of the amended table; ``replace-and-build``
-    overwrites table and schema with ``df``.
+    replaces the rows of the amended table; ``replace-and-build``
+    replaces table and schema with ``df``. Rows are replaced by a staged
+    write and a switch (``staged_replace``), so a failed job loses none.
     Returns the schema diff against the table as it was.
     """
     if mode not in PUBLISH_MODES:
@@ -114,8 +166,7 @@ def publish(df: DataFrame, name: str, mode: str = "amend-and-build", allow_data_
         if exists and not allow_data_loss:
             raise DataLossError(f"{name}: replace is destructive; pass allow_data_loss=True")
         src = df if mode == "replace-and-build" else df.limit(0)
-        _writer(src, fmt, partition_by, bucket_by).mode("overwrite").option("overwriteSchema", "true") \
-            .saveAsTable(name)
+        staged_replace(src, name, fmt, partition_by, bucket_by)
         return diff
     if not exists:
         _writer(df.limit(0), fmt, partition_by, bucket_by).saveAsTable(name)
@@ -130,7 +181,13 @@ def publish(df: DataFrame, name: str, mode: str = "amend-and-build", allow_data_
     if mode == "amend-and-build":
         target_cols = spark.table(name).columns
         lower = {c.lower(): c for c in df.columns}
-        df.select(*[F.col(lower[c.lower()]) for c in target_cols]).write.insertInto(name, overwrite=True)
+        rows = df.select(*[F.col(lower[c.lower()]).alias(c) for c in target_cols])
+        had = _layout(spark, name)
+        buckets = (int(had["Num Buckets"]), had["Bucket Columns"].strip("[]`")) if had["Num Buckets"] else None
+        if buckets and "`" in buckets[1]:  # several columns: the rows are inserted into the table as it is laid out
+            rows.write.insertInto(name, overwrite=True)
+        else:
+            staged_replace(rows, name, had["Provider"] or fmt, had["partitions"].split(",") if had["partitions"] else None, buckets)
     return diff
 
 

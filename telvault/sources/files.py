@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telvault.schemas import SCHEMAS
+from telvault.sources import generations
 
 # --- fixed values: landing file format -----------------------------------------
 NULL_TOKEN = "\\N"
@@ -77,30 +79,37 @@ def landing_drift(df: DataFrame, table: str) -> list[tuple[str, str]]:
 
 
 def ingest(streams: dict[str, DataFrame | Callable[[], DataFrame]], sink_dir: str,
-           strict: bool = True) -> DataFrame:
-    """Land source streams in bronze as a full refresh (``mode: full_refresh``).
+           strict: bool = True, load_id: str | None = None) -> DataFrame:
+    """Land source streams in bronze as one generation (``mode: full_refresh``).
 
     Per stream: strict schema check (added / removed / retyped columns stop
-    the load before anything is written), then an overwrite of the stream's
-    folder, so a retried run (at-least-once delivery) leaves the same data.
+    the load), then a write into the load's own folder. When all streams are
+    there, one commit makes them the current generation; until then, and after
+    a failure, readers see the generation before (``generations``). A retried
+    run (at-least-once delivery) under the same ``load_id`` writes the same
+    folders anew, or nothing if it was committed.
     Returns the load report: (table_name, rows, path), counted on write by
     an observation, not by a second scan.
     """
     from pyspark.sql import Observation
 
-    reports = []
-    for name, src in streams.items():
-        df = src() if callable(src) else src
-        problems = landing_drift(df, name)
-        if problems and strict:
-            raise SchemaDriftError(f"{name}: " + ", ".join(f"{c}:{k}" for c, k in problems))
-        obs = Observation(f"load_{name}")
-        path = os.path.join(sink_dir, name)
-        df.select(*SCHEMAS[name].fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows")) \
-            .write.mode("overwrite").parquet(path)
-        reports.append((name, int(obs.get["rows"]), path))
     spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(reports, "table_name string, rows bigint, path string")
+    load_id = load_id or uuid.uuid4().hex
+    rows = generations.committed(spark, sink_dir, load_id)
+    folder = generations.load_dir(sink_dir, load_id)
+    if rows is None:
+        rows = {}
+        for name, src in streams.items():
+            df = src() if callable(src) else src
+            problems = landing_drift(df, name)
+            if problems and strict:
+                raise SchemaDriftError(f"{name}: " + ", ".join(f"{c}:{k}" for c, k in problems))
+            obs = Observation(f"load_{name}")
+            df.select(*SCHEMAS[name].fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows")) \
+                .write.mode("overwrite").parquet(f"{folder}/{name}")
+            rows[name] = int(obs.get["rows"])
+        generations.commit(spark, sink_dir, load_id, rows)
+    return spark.createDataFrame([(t, n, f"{folder}/{t}") for t, n in rows.items()], "table_name string, rows bigint, path string")
 
 
 def file_manifest(spark: SparkSession, root: str, tables: list[str], fmt: str = "csv") -> DataFrame:
@@ -108,8 +117,8 @@ def file_manifest(spark: SparkSession, root: str, tables: list[str], fmt: str =
 
     Hash over file bytes (``binaryFile``), one row per file; row counts come
     from one typed scan per table using ``input_file_name``. Suited to
-    landing-sized files; for very large tables prefer an order-free content
-    fingerprint (``bit_xor(xxhash64(*))``) over the parsed rows.
+    landing-sized files; for very large tables prefer the content fingerprint
+    of ``sources.fingerprints`` over the parsed rows.
     """
     frames = []
     for t in tables:
@@ -132,23 +141,6 @@ def file_manifest(spark: SparkSession, root: str, tables: list[str], fmt: str =
     return out
 
 
-def fingerprint(df: DataFrame, portable: bool = False) -> DataFrame:
-    """Order-free content fingerprint of a frame: (rows, bit_xor of row hashes).
-
-    Fast form: Spark's ``xxhash64`` of the row. Portable form: the first 60
-    bits of the md5 of the row's hash text (the ``dv_hash`` text, NULL as
-    ''), which any engine with md5 can recompute -- e.g. to verify a copy
-    of a table held elsewhere. XOR makes both independent of row order and
-    partitioning, and the aggregate is partial per partition.
-    """
-    if portable:
-        from telvault.functions.hashing import dv_hash
-        row = F.conv(F.substring(dv_hash(*df.columns), 1, 15), 16, 10).cast("bigint")
-    else:
-        row = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(row).alias("fingerprint"))
-
-
 # --- fixed values: streams of the three source-aligned acquisitions ------------
 ACQUISITIONS: dict[str, tuple[str, ...]] = {
     "billing": ("invoice", "invoice_charge"),
@@ -158,17 +150,22 @@ ACQUISITIONS: dict[str, tuple[str, ...]] = {
 
 
 def acquire(product: str, read_stream: Callable[[str], DataFrame], bronze_dir: str,
-            strict: bool = True) -> DataFrame:
+            strict: bool = True, load_id: str | None = None) -> DataFrame:
     """Full-refresh acquisition of one source-aligned product into bronze.
 
     ``read_stream(name)`` returns the source stream as a DataFrame (for
     example ``lambda t: read_jdbc(spark, url, t, ...)``, a landing-CSV
     reader, or the star adapter's ``table``). Each stream passes the strict
-    schema gate and overwrites its bronze folder; returns the load report.
+    schema gate; all of them become current by one commit. Returns the load
+    report.
     """
-    return ingest({name: (lambda n=name: read_stream(n)) for name in ACQUISITIONS[product]}, bronze_dir, strict)
+    return ingest({name: (lambda n=name: read_stream(n)) for name in ACQUISITIONS[product]}, bronze_dir, strict, load_id)
 
 
 def read_bronze(spark: SparkSession, bronze_dir: str, tables) -> dict[str, DataFrame]:
-    """Bronze tables with their declared schemas (no inference)."""
-    return {t: spark.read.schema(SCHEMAS[t]).parquet(os.path.join(bronze_dir, t)) for t in tables}
+    """Current generation of bronze tables, with their declared schemas (no inference)."""
+    paths = generations.current(spark, bronze_dir)
+    missing = [t for t in tables if t not in paths]
+    if missing:
+        raise FileNotFoundError(f"no committed load of {bronze_dir} holds {', '.join(missing)}")
+    return {t: spark.read.schema(SCHEMAS[t]).parquet(paths[t]) for t in tables}
