@@ -25,10 +25,10 @@ from telvault.operators import catalog, features, metrics, quality, semantic
 from telvault.operators.staging import STAGING_COLUMNS, stage
 from telvault.plans import contracts
 from telvault.plans.silver import Windows, build_silver, customer_360, support_posture
-from telvault.schemas import COLUMN_TESTS, RELATIONSHIPS, RISK_BANDS, SCHEMAS
+from telvault.schemas import COLUMN_TESTS, RELATIONSHIPS, RISK_BANDS, SCHEMAS, SOURCE_TESTS
 from telvault.session import apply_runtime_conf, checkpoint_dir, materialize
 from telvault.sinks import publish
-from telvault.sources import files, fingerprints, footers, generations
+from telvault.sources import days, files, fingerprints, footers, generations
 from telvault.sources.star import BILLING_AS_OF, EVENT_AS_OF, StarSource
 
 try:  # the training-data operators are an optional subpackage
@@ -92,6 +92,28 @@ def q_test_unique(spark, sf_dir):
     return quality.run_column_tests(_star(spark, sf_dir).tables(), COLUMN_TESTS, kinds=("unique",))
 
 
+def q_test_sources(spark, sf_dir):
+    """The tests of the landing tables themselves."""
+    return quality.run_column_tests(_star(spark, sf_dir).tables(), SOURCE_TESTS)
+
+
+def q_usage_5d(spark, sf_dir):
+    """Usage of the last five days from events laid out by day: folders before the window are not read."""
+    path = f"{_bronze_dir(spark)}/usage_by_day"
+    days.write_by_day(_star(spark, sf_dir).table("usage_event"), path, "event_timestamp")
+    events = days.read_by_day(spark, path, SCHEMAS["usage_event"])
+    return _portable(features.usage_30d(events, EVENT_AS_OF, days=5))
+
+
+def q_metrics_across_models(spark, sf_dir):
+    """Core and scorecard metrics by billing status, which only the core has."""
+    m = _marts(spark, sf_dir)
+    bound = {"core": (semantic.CORE_MODEL, m["mart_subscriber360_core"]), "scorecard": (semantic.SCORECARD_MODEL, m["mart_subscriber_health_scorecard"])}
+    return _portable(semantic.metric_query_across(
+        bound, ["active_recurring_revenue", "open_ticket_pressure", "average_support_health"], ["BILLING_STATUS"],
+        via={"BILLING_STATUS": "ACCOUNT_ID"}, round_digits=2))
+
+
 def q_test_not_null(spark, sf_dir):
     return quality.run_column_tests(_star(spark, sf_dir).tables(), COLUMN_TESTS, kinds=("not_null",))
 
@@ -377,6 +399,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "landing_csv": q_landing_csv, "bronze_load_report": q_bronze_load_report,
         "table_fingerprints_portable": q_table_fingerprints_portable,
         "bronze_statistics": q_bronze_statistics, "bronze_reload": q_bronze_reload,
+        "test_sources": q_test_sources, "usage_5d": q_usage_5d, "metrics_across_models": q_metrics_across_models,
         "published_accounts": q_published_accounts, "invoice_differences": q_invoice_differences,
     })
     out.update(POSTURE_PARTS)

@@ -440,6 +440,22 @@ def _not_null(t, c):
 
 TEST_UNIQUE = q("\nUNION ALL\n".join(_unique(t, c) for t, c, k in COLUMN_TESTS if t in STAR and "unique" in k))
 TEST_NOT_NULL = q("\nUNION ALL\n".join(_not_null(t, c) for t, c, k in COLUMN_TESTS if t in STAR and "not_null" in k))
+# what the landing tables themselves are tested for
+SOURCE_UNIQUE = """party.party_id individual.individual_id individual.email account.account_id account.account_number
+product_offering.product_offering_id service.service_id subscription.subscription_id device.device_id device.imei sim_card.sim_id
+sim_card.msisdn sim_card.iccid usage_event.usage_id app_event.app_event_id invoice.invoice_id invoice.invoice_number payment.payment_id
+agreement.agreement_id service_order.order_id""".split()
+SOURCE_NOT_NULL = """party.party_id party.party_type individual.individual_id individual.party_id account.account_id account.party_id
+account.account_number product_offering.product_offering_id product_offering.name product_offering.price_chf service.service_id
+service.account_id subscription.subscription_id subscription.service_id subscription.product_offering_id subscription.start_date
+device.device_id device.account_id sim_card.sim_id sim_card.account_id usage_event.usage_id usage_event.account_id
+usage_event.service_id usage_event.usage_type usage_event.quantity usage_event.event_timestamp app_event.app_event_id
+app_event.account_id app_event.event_type app_event.event_timestamp invoice.invoice_id invoice.account_id invoice.invoice_number
+invoice.invoice_date invoice.due_date invoice.total_amount_chf payment.payment_id payment.invoice_id payment.amount_chf
+payment.payment_date agreement.agreement_id agreement.account_id service_order.order_id service_order.account_id""".split()
+TEST_SOURCES = q("\nUNION ALL\n".join([_unique(*x.split(".")) for x in SOURCE_UNIQUE] + [_not_null(*x.split(".")) for x in SOURCE_NOT_NULL]))
+USAGE_5D = q(f"""SELECT service_id, account_id, n AS usage_events_30d, {_dbl('megabytes', 'data_mb_30d')}, {_dbl('minutes', 'voice_min_30d')},
+{NOW} AS snapshot_at FROM signals WHERE kind = 'use'""", features(usage_days=5))
 TEST_RELATIONSHIPS = q("\nUNION ALL\n".join(
     _test(ch, cc, "relationships", f"SELECT count(*) AS n FROM {ch} c LEFT JOIN (SELECT DISTINCT {pc} AS k FROM {p} "
                                    f"WHERE {pc} IS NOT NULL) p ON c.{cc} = p.k WHERE c.{cc} IS NOT NULL AND p.k IS NULL")
@@ -615,6 +631,15 @@ SELECT support_risk_band,
        cast(sum(interaction_count_30d) AS bigint) AS interaction_count_30d
 FROM sat_health GROUP BY 1""", sat_health())
 
+METRICS_ACROSS = q("""
+SELECT coalesce(l.billing_status, r.billing_status) AS billing_status, active_recurring_revenue, open_ticket_pressure, average_support_health
+FROM (SELECT billing_status, cast(round(sum(monthly_recurring_charge) FILTER (service_status = 'active'), 2) AS double) AS active_recurring_revenue
+      FROM core GROUP BY 1) l
+FULL JOIN (SELECT account.status AS billing_status, cast(sum(open_ticket_count_30d) AS bigint) AS open_ticket_pressure,
+             cast(round(cast(avg(support_health_score) AS decimal(38,10)), 2) AS double) AS average_support_health
+           FROM sat_health LEFT JOIN account USING (account_id) GROUP BY 1) r ON l.billing_status IS NOT DISTINCT FROM r.billing_status""",
+    sat_health(), core())
+
 _TIE = ("support_health_score ASC NULLS LAST, open_ticket_count_30d DESC NULLS LAST, "
         "interaction_count_30d DESC NULLS LAST, data_mb_30d DESC NULLS LAST, last_interaction_at DESC NULLS LAST")
 C360_BODY = f"""
@@ -754,6 +779,7 @@ def oracle_sql_extra() -> dict[str, str]:
         "metric_active_recurring_revenue": METRIC_ARR, "metric_support_health_by_band": METRIC_BAND,
         "customer_360": CUSTOMER_360, "pii_masked_core": PII_MASKED_CORE,
         "metric_customer_360": METRIC_C360, "party_uuid": PARTY_UUID, "customer_360_rules": C360_RULES,
+        "test_sources": TEST_SOURCES, "usage_5d": USAGE_5D, "metrics_across_models": METRICS_ACROSS,
         "bronze_statistics": BRONZE_STATISTICS, "bronze_reload": BRONZE_RELOAD, "published_accounts": PUBLISHED_ACCOUNTS,
         "invoice_differences": INVOICE_DIFFERENCES, "table_fingerprints_portable": FINGERPRINTS_PORTABLE, "dq_bounds": UPPER_RULES, "schema_drift": SCHEMA_DRIFT,
         "landing_csv": LANDING_CSV, "bronze_load_report": LOAD_REPORT,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,3 +37,15 @@ def trailing_date_window(d, as_of, days: int = 30) -> Column:
     """``d >= date(as_of) - days`` on a date column."""
     c = F.col(d) if isinstance(d, str) else d
     return c >= F.date_sub(as_date(as_of), days)
+
+
+DAY = "event_day"  # partition column of events laid out by day
+
+
+def trailing_rows(df: DataFrame, ts: str, as_of, days: int = 30) -> DataFrame:
+    """The rows of ``df`` in the trailing window. Where the frame is laid out by day, the window is said of the day as
+    well: folders before it are never listed or read."""
+    rows = df.filter(trailing_window(ts, as_of, days))
+    if DAY in df.columns:
+        rows = rows.filter(F.col(DAY) >= F.to_date(as_timestamp(as_of) - F.make_dt_interval(F.lit(days))))
+    return rows

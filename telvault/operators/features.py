@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telvault.functions.scoring import severity_weight
-from telvault.functions.windows import as_timestamp, trailing_date_window, trailing_window
+from telvault.functions.windows import as_timestamp, trailing_date_window, trailing_rows
 
 
 def usage_30d(usage_event: DataFrame, as_of, days: int = 30, by_account: bool = True) -> DataFrame:
@@ -28,7 +28,7 @@ def usage_30d(usage_event: DataFrame, as_of, days: int = 30, by_account: bool =
     if by_account:
         aggs.append(F.round(F.sum(F.when(F.col("usage_type") == "voice_min", q).otherwise(F.lit(0))), 2)
                     .alias("voice_min_30d"))
-    out = (usage_event.filter(trailing_window("event_timestamp", as_of, days))
+    out = (trailing_rows(usage_event, "event_timestamp", as_of, days)
            .groupBy(*keys).agg(*aggs))
     if by_account:
         out = out.withColumn("snapshot_at", as_timestamp(as_of))
@@ -39,7 +39,7 @@ def interactions_30d(customer_interaction: DataFrame, as_of, days: int = 30, by_
     """Interactions per (account, service) -- NULL service is its own group -- or per account."""
     keys = ["account_id", "service_id"] if by_service else ["account_id"]
     last = "last_interaction_at" if by_service else "latest_interaction_at"
-    out = (customer_interaction.filter(trailing_window("interaction_timestamp", as_of, days))
+    out = (trailing_rows(customer_interaction, "interaction_timestamp", as_of, days)
            .groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("interaction_count_30d"),
                 F.max("interaction_timestamp").alias(last)))
@@ -55,7 +55,7 @@ def ticket_status_30d(trouble_ticket: DataFrame, as_of, days: int = 30) -> DataF
     counted); ticket_severity_index = avg severity weight, kept as an exact
     decimal(18,6) so its hash text is engine independent.
     """
-    return (trouble_ticket.filter(trailing_window("opened_at", as_of, days))
+    return (trailing_rows(trouble_ticket, "opened_at", as_of, days)
             .groupBy("account_id", "service_id")
             .agg(F.count_if(F.col("status") != "resolved").alias("open_ticket_count_30d"),
                  F.avg(severity_weight("severity")).cast("decimal(18,6)").alias("ticket_severity_index"))
@@ -68,7 +68,7 @@ def ticket_parts_30d(trouble_ticket: DataFrame, as_of, days: int = 30) -> DataFr
     Used when groups must be merged later (NULL-service group into the
     service's own group): averages are re-formed from the summed parts.
     """
-    return (trouble_ticket.filter(trailing_window("opened_at", as_of, days))
+    return (trailing_rows(trouble_ticket, "opened_at", as_of, days)
             .groupBy("account_id", "service_id")
             .agg(F.count_if(F.col("status") != "resolved").alias("open_ticket_count_30d"),
                  F.sum(severity_weight("severity")).cast("bigint").alias("severity_weight_sum"),

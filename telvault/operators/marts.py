@@ -129,14 +129,24 @@ def customer_360(cores: list[DataFrame], scorecards: list[DataFrame]) -> DataFra
     """
     core = compose_products(cores, ["account_id", "service_id", "subscription_id"], _core_tiebreak())
     core = core.withColumn("snapshot_month", F.date_trunc("month", "snapshot_at").cast("timestamp_ntz"))
-    agg = (core.groupBy("account_id", "account_number", "snapshot_month")
-           .agg(F.count_distinct("subscription_id").alias("subscription_count"),
-                F.count_distinct(F.when(F.col("service_status") == "active", F.col("service_id")))
-                .alias("active_service_count"),
-                exact_avg("support_health_score", 2).cast("decimal(18,2)").alias("avg_health_score"),
-                F.bool_or(F.col("support_risk_band").isin("high", "critical")).alias("high_risk_flag"),
-                F.max("last_interaction_at").alias("last_interaction_at"),
-                F.max("snapshot_at").alias("snapshot_at")))
+    keys = ["account_id", "account_number", "snapshot_month"]
+    score = F.col("support_health_score")
+    # one row per subscription first, then the account: two keyed partial aggregates, and no row is multiplied as it
+    # would be by two distinct counts in one aggregate
+    held = core.groupBy(*keys, "subscription_id").agg(
+        F.sum(score.cast("decimal(38,10)")).alias("__sum"), F.count(score).alias("__n"),
+        F.bool_or(F.col("support_risk_band").isin("high", "critical")).alias("risk"),
+        F.max("last_interaction_at").alias("last"), F.max("snapshot_at").alias("at"))
+    agg = held.groupBy(*keys).agg(
+        F.count("subscription_id").alias("subscription_count"),
+        F.round(F.try_divide(F.sum("__sum").cast("decimal(38,10)"), F.sum("__n")), 2).cast("decimal(18,2)").alias("avg_health_score"),
+        F.bool_or("risk").alias("high_risk_flag"), F.max("last").alias("last_interaction_at"), F.max("at").alias("snapshot_at"))
+    active = (core.where("service_status = 'active'").groupBy(*keys, "service_id").agg(F.lit(1).alias("__one"))
+              .groupBy(*keys).agg(F.count("service_id").alias("active_service_count")))
+    same = [F.col(f"g.{k}").eqNullSafe(F.col(f"a.{k}")) for k in keys]
+    agg = agg.alias("g").join(active.alias("a"), same, "left").select(
+        *[f"g.{k}" for k in keys], "subscription_count", F.coalesce("active_service_count", F.lit(0)).cast("bigint").alias("active_service_count"),
+        "avg_health_score", "high_risk_flag", "g.last_interaction_at", "g.snapshot_at")
     sc = compose_products(scorecards, ["account_id", "service_id"], _scorecard_tiebreak())
     rev = (sc.withColumn("snapshot_month", F.date_trunc("month", "snapshot_at").cast("timestamp_ntz"))
            .groupBy(F.col("account_id").alias("__r_aid"), F.col("snapshot_month").alias("__r_m"))

@@ -33,15 +33,37 @@ def default_metrics(table: str, pk: str) -> list[MetricSpec]:
 def _measure(m: MetricSpec):
     if m.name == "ROW_COUNT":
         return F.count(F.lit(1))
-    c = F.col(m.argument)
     if m.name == "NULL_COUNT":
-        return F.count_if(c.isNull())
-    if m.name == "DUPLICATE_COUNT":
-        # non-NULL rows beyond the first occurrence of each value
-        return F.count(c) - F.count_distinct(c)
+        return F.count_if(F.col(m.argument).isNull())
     raise ValueError(f"unknown metric {m.name}")
 
 
+def _keyed_measure(m: MetricSpec):
+    """The same from rows (__k, __n): a value of the key and how often it occurs."""
+    n, null = F.col("__n"), F.col("__k").isNull()
+    if m.name == "ROW_COUNT":
+        return F.sum(n)
+    if m.name == "NULL_COUNT":
+        return F.sum(F.when(null, n))
+    # non-NULL rows beyond the first occurrence of each value
+    return F.sum(F.when(~null, n - 1))
+
+
+def _measured(df: DataFrame, specs: list[MetricSpec]) -> list[tuple[DataFrame, list[int]]]:
+    """One-row frames of the metrics ``__m<number>``, and which they hold. A column whose duplicates are counted is
+    grouped alone, once, and gives the counts of rows and of its NULLs too: in one aggregate with other counters, a
+    distinct count would carry every counter through its shuffle."""
+    out, left = [], list(range(len(specs)))
+    for key in dict.fromkeys(s.argument for s in specs if s.name == "DUPLICATE_COUNT"):
+        mine = [i for i in left if specs[i].argument == key or specs[i].name == "ROW_COUNT"]
+        grouped = df.groupBy(F.col(key).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+        out.append((grouped.agg(*[F.coalesce(_keyed_measure(specs[i]), F.lit(0)).cast("bigint").alias(f"__m{i}") for i in mine]), mine))
+        left = [i for i in left if i not in mine]
+    if left:
+        out.append((df.agg(*[_measure(specs[i]).cast("bigint").alias(f"__m{i}") for i in left]), left))
+    return out
+
+
 def data_metrics(tables: dict[str, DataFrame], config: dict[str, list[MetricSpec]] | None = None) -> DataFrame:
     """(table_name, metric, argument, value, expectation, expression, passed).
 
@@ -51,12 +73,11 @@ def data_metrics(tables: dict[str, DataFrame], config: dict[str, list[MetricSpec
     frames = []
     for t, df in tables.items():
         specs = config.get(t) or default_metrics(t, primary_key(t, df.columns))
-        m = df.agg(*[_measure(s).cast("bigint").alias(f"__m{i}") for i, s in enumerate(specs)])
-        rows = m.select(F.inline(F.array(*[
-            F.struct(F.lit(s.name).alias("metric"), F.lit(s.argument).cast("string").alias("argument"),
-                     F.col(f"__m{i}").alias("value"), F.lit(s.expectation).alias("expectation"),
-                     F.lit(s.expression).alias("expression"), F.lit(i).alias("__i"))
-            for i, s in enumerate(specs)])))
+        rows = reduce(lambda a, b: a.unionByName(b), [m.select(F.inline(F.array(*[
+            F.struct(F.lit(specs[i].name).alias("metric"), F.lit(specs[i].argument).cast("string").alias("argument"),
+                     F.col(f"__m{i}").alias("value"), F.lit(specs[i].expectation).alias("expectation"),
+                     F.lit(specs[i].expression).alias("expression"), F.lit(i).alias("__i"))
+            for i in held]))) for m, held in _measured(df, specs)])
         # every expectation is an expression over VALUE; pick the row's own
         passed = F.lit(False)
         for i, s in enumerate(specs):

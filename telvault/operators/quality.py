@@ -2,12 +2,13 @@
 
 Every check yields report rows rather than raising, so a run can publish
 its own verdict. Checks over one table are fused into one aggregate pass
-where the semantics allow (all NULL counts of a table in one ``agg``; a
-column's unique and not_null tests share one ``groupBy``).
+where the semantics allow (all NULL counts of a table in one ``agg``; all
+unique tests of a table in one scan, with its not_null tests).
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -16,7 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telvault.functions.windows import as_timestamp
+from telvault.session import materialize
 
+TABLES_AT_ONCE = 4  # tables whose jobs run side by side
 TEST_REPORT_SCHEMA = "target string, column_name string, test string, failures bigint, passed boolean"
 
 
@@ -48,30 +51,54 @@ def _test_struct(target: str, column: str, test: str, failures):
 
 
 # ---- dbt-style column tests ---------------------------------------------------
+def repeated_values(df: DataFrame, columns: list[str], not_null: list[str] = (), hash_bits: int = 64) -> dict[str, tuple[int, int]]:
+    """{column: (values that occur more than once, NULL rows)} of ``columns``, and the NULL rows of ``not_null``, in one scan.
+
+    The scan counts pairs of a column number and the hash of its value, combined in each input partition; no
+    column gets a shuffle of its own, and the counters of one do not travel with the keys of another. Only hashes
+    met several times are written. Where there are any, a second scan counts the values behind these hashes
+    exactly, so a collision is told from a repetition. One row a column comes to the driver.
+    """
+    names = [*columns, *[c for c in not_null if c not in columns]]
+    hashes = [F.when(F.col(c).isNotNull(), F.shiftright(F.xxhash64(F.col(c)), 64 - hash_bits) if k < len(columns) else F.lit(0))
+              for k, c in enumerate(names)]
+    cells = df.select(F.posexplode(F.array(*[h.cast("bigint") for h in hashes])).alias("k", "h"))
+    cells = cells.where((F.col("k") < len(columns)) | F.col("h").isNull())  # of the others only NULLs are counted
+    met = cells.groupBy("k", "h").agg(F.count(F.lit(1)).alias("n"))
+    several = (F.col("n") > 1) & F.col("h").isNotNull()
+    first = {r["k"]: r for r in met.groupBy("k").agg(F.sum(F.when(F.col("h").isNull(), F.col("n"))).alias("nulls"),
+                                                     F.count_if(several).alias("several")).collect()}
+    repeated: dict[int, int] = {}
+    if any(r["several"] for r in first.values()):
+        # of the columns concerned: the hashes, written, so that Spark knows how few they are, and the values behind them
+        some = sorted(k for k, r in first.items() if r["several"])
+        hits = materialize(met.where(several & F.col("k").isin(some)).select("k", "h"))
+        pairs = F.array(*[F.struct(F.lit(k).alias("k"), hashes[k].cast("bigint").alias("h"), F.col(names[k]).cast("string").alias("v")) for k in some])
+        cells = df.select(F.inline(pairs)).join(hits, ["k", "h"], "left_semi")
+        exact = cells.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        repeated = {r["k"]: r["n"] for r in exact.collect()}
+    return {c: (repeated.get(k, 0), (first[k]["nulls"] or 0) if k in first else 0) for k, c in enumerate(names)}
+
+
+def column_test_rows(df: DataFrame, target: str, tests: list[tuple[str, tuple[str, ...]]]) -> list[tuple]:
+    """Report rows of the tests of one table that has unique tests, from the scan of ``repeated_values``."""
+    found = repeated_values(df, [c for c, t in tests if "unique" in t], [c for c, t in tests if "not_null" in t])
+    rows = [(target, c, k, found[c][k == "not_null"]) for c, t in tests for k in ("unique", "not_null") if k in t]
+    return [(*r, r[-1] == 0) for r in rows]
+
+
 def column_tests(df: DataFrame, target: str, tests: list[tuple[str, tuple[str, ...]]]) -> DataFrame:
     """unique / not_null tests of one table.
 
     * ``unique``: number of non-NULL values that occur more than once.
     * ``not_null``: number of NULL rows.
-    A column with a unique test is grouped once; its NULL group gives the
-    not_null count too. The remaining not_null columns share one ``agg``.
+    With a unique test all columns share the scan of ``repeated_values``; else one ``agg`` counts the NULLs.
     """
-    frames = []
-    plain_nn = [c for c, t in tests if "not_null" in t and "unique" not in t]
-    for col, t in tests:
-        if "unique" not in t:
-            continue
-        g = df.groupBy(F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-        stats = g.agg(F.count_if(F.col("__v").isNotNull() & (F.col("__n") > 1)).alias("dup"),
-                      F.coalesce(F.sum(F.when(F.col("__v").isNull(), F.col("__n"))), F.lit(0)).alias("nul"))
-        structs = [_test_struct(target, col, "unique", F.col("dup"))]
-        if "not_null" in t:
-            structs.append(_test_struct(target, col, "not_null", F.col("nul")))
-        frames.append(_rows(stats, structs))
-    if plain_nn:
-        nn = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in plain_nn])
-        frames.append(_rows(nn, [_test_struct(target, c, "not_null", F.col(c)) for c in plain_nn]))
-    return union_all(frames)
+    if any("unique" in t for _, t in tests):
+        return df.sparkSession.createDataFrame(column_test_rows(df, target, tests), TEST_REPORT_SCHEMA).coalesce(1)
+    nulls = [c for c, _ in tests]
+    nn = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in nulls])
+    return _rows(nn, [_test_struct(target, c, "not_null", F.col(c)) for c in nulls])
 
 
 def test_unique(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
@@ -114,7 +141,13 @@ def run_column_tests(tables: dict[str, DataFrame], tests, kinds=("unique", "not_
         if ks:
             by_table.setdefault(t, []).append((c, ks))
     require(tables, by_table)
-    return union_all([column_tests(tables[t], t, cols) for t, cols in by_table.items()])
+    keyed = {t: cols for t, cols in by_table.items() if any("unique" in k for _, k in cols)}
+    frames = [column_tests(tables[t], t, cols) for t, cols in by_table.items() if t not in keyed]
+    if keyed:
+        with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:  # each table is a job of its own
+            rows = [r for found in pool.map(lambda t: column_test_rows(tables[t], t, keyed[t]), keyed) for r in found]
+        frames.append(next(iter(tables.values())).sparkSession.createDataFrame(rows, TEST_REPORT_SCHEMA).coalesce(1))
+    return union_all(frames)
 
 
 def run_relationship_tests(tables: dict[str, DataFrame], relationships) -> DataFrame:

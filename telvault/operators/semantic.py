@@ -127,6 +127,84 @@ def metric_query(model: SemanticModel, df: DataFrame, metrics: list[str], group_
     return df.groupBy(*keys).agg(*[metric_column(model, defined[m], round_digits) for m in metrics])
 
 
+class AmbiguousPathError(ValueError):
+    pass
+
+
+def _paths(models: dict[str, SemanticModel], start: str, wanted: str) -> list[list[tuple[str, str]]]:
+    """Shortest ways from ``start`` to a model that has ``wanted``: steps (entity, model). A step goes over an entity that
+    both have and that is primary or unique in the model it leads to, so it finds one row there."""
+    level, seen = [(start, [])], {start}
+    while level:
+        found = [path for at, path in level if models[at].groupable(wanted) and path]
+        if found:
+            return found
+        further = []
+        for at, path in level:
+            for name, model in models.items():
+                if name not in seen:
+                    own = {e.name for e in models[at].entities}
+                    further += [(name, [*path, (e.name, name)]) for e in model.entities if e.name in own and e.type in ("primary", "unique")]
+        seen |= {name for name, _ in further}
+        level = further
+    return []
+
+
+def metric_query_across(bound: dict[str, tuple[SemanticModel, DataFrame]], metrics: list[str], group_by: list[str],
+                        via: dict[str, str] | None = None, round_digits: int | None = None) -> DataFrame:
+    """Metrics of several models by common dimensions or entities.
+
+    ``bound`` names the models and their frames; a metric is ``name`` or ``model.name``. Each model's metrics are
+    aggregated to ``group_by`` before anything is joined, so rows of one model cannot multiply the sums of another. A
+    dimension that a model lacks is looked up over shared entities (``_paths``); the looked-up side is brought to one row per
+    entity first (of several values the least counts), so the lookup cannot multiply rows either. Several shortest paths
+    are an error, unless ``via`` names the entity to go over for the dimension.
+    """
+    models = {name: model for name, (model, _) in bound.items()}
+    chosen: dict[str, list[str]] = {}
+    for m in metrics:
+        owner, _, metric = m.rpartition(".")
+        owners = [owner] if owner else [n for n, model in models.items() if metric in model.all_metrics()]
+        if len(owners) != 1 or owners[0] not in models:
+            raise KeyError(f"{m}: a metric of {len(owners)} of the models" if not owner else f"{owner}: no such model")
+        chosen.setdefault(owners[0], []).append(metric)
+    out = None
+    for name, names in chosen.items():
+        model, df = bound[name]
+        defined = model.all_metrics()
+        unknown = [x for x in names if x not in defined]
+        if unknown:
+            raise KeyError(f"{model.name}: unknown metrics {unknown}")
+        keys = []
+        for k, g in enumerate(group_by):
+            if model.groupable(g):
+                keys.append(F.col(g).alias(g.lower()))
+                continue
+            paths = _paths(models, name, g)
+            if via and g in via:
+                paths = [p for p in paths if p[0][0] == via[g]]
+            if len(paths) != 1:
+                raise AmbiguousPathError(f"{name}: {len(paths)} paths to {g}: " + "; ".join(" > ".join(f"{e} of {n}" for e, n in p) for p in paths))
+            # from the far end back: one row per entity with the value that is looked up
+            far, value = None, g
+            for entity, at in reversed(paths[0]):
+                frame = bound[at][1] if far is None else bound[at][1].join(far, F.col(value_key).eqNullSafe(F.col("__key")), "left").drop("__key")
+                value_key, one = entity, F.min(F.col(g if far is None else "__value")).alias("__value")
+                far = frame.where(F.col(entity).isNotNull()).groupBy(F.col(entity).alias("__key")).agg(one)
+            df = df.join(far.withColumnRenamed("__key", f"__key{k}").withColumnRenamed("__value", f"__value{k}"),
+                         F.col(value_key) == F.col(f"__key{k}"), "left").drop(f"__key{k}")
+            keys.append(F.col(f"__value{k}").alias(g.lower()))
+        part = df.groupBy(*keys).agg(*[metric_column(model, defined[x], round_digits) for x in names])
+        if out is None:
+            out = part
+        else:
+            same = [F.col(f"l.{g.lower()}").eqNullSafe(F.col(f"r.{g.lower()}")) for g in group_by]
+            both = out.alias("l").join(part.alias("r"), same, "full")
+            out = both.select(*[F.coalesce(F.col(f"l.{g.lower()}"), F.col(f"r.{g.lower()}")).alias(g.lower()) for g in group_by],
+                              *[f"l.{c}" for c in out.columns if c not in {g.lower() for g in group_by}], *[f"r.{x}" for x in names])
+    return out
+
+
 # --- fixed values: semantic models of the silver and gold products -------------
 CORE_MODEL = SemanticModel(
     "subscriber360_core_semantic_model",

@@ -119,6 +119,58 @@ COLUMN_TESTS: list[tuple[str, str, tuple[str, ...]]] = [
     ("service_order", "account_id", ("not_null",)),
 ]
 
+# --- fixed values: tests of the landing tables themselves (table, column, tests)
+SOURCE_TESTS: list[tuple[str, str, tuple[str, ...]]] = [
+    ("party", "party_id", ("unique", "not_null")),
+    ("party", "party_type", ("not_null",)),
+    ("individual", "individual_id", ("unique", "not_null")),
+    ("individual", "party_id", ("not_null",)),
+    ("individual", "email", ("unique",)),
+    ("account", "account_id", ("unique", "not_null")),
+    ("account", "party_id", ("not_null",)),
+    ("account", "account_number", ("unique", "not_null")),
+    ("product_offering", "product_offering_id", ("unique", "not_null")),
+    ("product_offering", "name", ("not_null",)),
+    ("product_offering", "price_chf", ("not_null",)),
+    ("service", "service_id", ("unique", "not_null")),
+    ("service", "account_id", ("not_null",)),
+    ("subscription", "subscription_id", ("unique", "not_null")),
+    ("subscription", "service_id", ("not_null",)),
+    ("subscription", "product_offering_id", ("not_null",)),
+    ("subscription", "start_date", ("not_null",)),
+    ("device", "device_id", ("unique", "not_null")),
+    ("device", "account_id", ("not_null",)),
+    ("device", "imei", ("unique",)),
+    ("sim_card", "sim_id", ("unique", "not_null")),
+    ("sim_card", "account_id", ("not_null",)),
+    ("sim_card", "msisdn", ("unique",)),
+    ("sim_card", "iccid", ("unique",)),
+    ("usage_event", "usage_id", ("unique", "not_null")),
+    ("usage_event", "account_id", ("not_null",)),
+    ("usage_event", "service_id", ("not_null",)),
+    ("usage_event", "usage_type", ("not_null",)),
+    ("usage_event", "quantity", ("not_null",)),
+    ("usage_event", "event_timestamp", ("not_null",)),
+    ("app_event", "app_event_id", ("unique", "not_null")),
+    ("app_event", "account_id", ("not_null",)),
+    ("app_event", "event_type", ("not_null",)),
+    ("app_event", "event_timestamp", ("not_null",)),
+    ("invoice", "invoice_id", ("unique", "not_null")),
+    ("invoice", "account_id", ("not_null",)),
+    ("invoice", "invoice_number", ("unique", "not_null")),
+    ("invoice", "invoice_date", ("not_null",)),
+    ("invoice", "due_date", ("not_null",)),
+    ("invoice", "total_amount_chf", ("not_null",)),
+    ("payment", "payment_id", ("unique", "not_null")),
+    ("payment", "invoice_id", ("not_null",)),
+    ("payment", "amount_chf", ("not_null",)),
+    ("payment", "payment_date", ("not_null",)),
+    ("agreement", "agreement_id", ("unique", "not_null")),
+    ("agreement", "account_id", ("not_null",)),
+    ("service_order", "order_id", ("unique", "not_null")),
+    ("service_order", "account_id", ("not_null",)),
+]
+
 # --- fixed values: accepted values of the support risk band ---------------
 RISK_BANDS: tuple[str, ...] = ("healthy", "watch", "high", "critical")
 
