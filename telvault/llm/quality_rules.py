@@ -31,7 +31,7 @@ from telvault.llm.common import fresh, quoted, shared_table
 
 LIMIT = 0.02  # of the good documents of a stratum, over all rules
 CONFIDENCE = 0.95
-WORD = r"[^\\x20\\x09-\\x0D]+"
+BLANK = r"[\\x20\\x09-\\x0D]+"  # between words
 WINDOW = 3
 # rule: measure, and cutoffs from the loosest to the strictest
 RULES: dict[str, tuple[str, tuple[float, ...]]] = {
@@ -63,7 +63,7 @@ def measures(df: DataFrame, keep: list[str], text_col: str) -> DataFrame:
     """
     rows = df.select(*[quoted(c).alias(f"c{k}") for k, c in enumerate(keep)], F.coalesce(quoted(text_col), F.lit("")).alias("t"))
     ids = [f"c{k}" for k in range(len(keep))]
-    rows = rows.select(*ids, "t", F.expr(f"regexp_extract_all(t, '{WORD}', 0)").alias("words"),
+    rows = rows.select(*ids, "t", F.expr(f"filter(split(t, '{BLANK}'), w -> w <> '')").alias("words"),
                        F.expr(r"filter(split(t, '\n'), l -> l rlike '[^\\x20\\x09-\\x0D]')").alias("lines"))
     counts = {
         "n_words": "size(words)", "word_chars": "char_length(array_join(words, ''))", "n_symbols": r"regexp_count(t, '[#*$%&|<>]')",

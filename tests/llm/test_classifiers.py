@@ -1,3 +1,7 @@
+import math
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -56,6 +60,59 @@ def test_updates_follow_the_definition():
     assert bias == 0 and at.tolist() == [0] and weights.tolist() == pytest.approx([w])
 
 
+def naive_score(model, text):
+    """Features by plain loops over Python integers, the dot product over a dict."""
+    f, whole = model.features, 1 << 64
+    mix = [int(m) for m in ftrl.MIX]
+    at, w, total = model.weights.value
+    weights = dict(zip(at.tolist(), np.float32(w).tolist()))
+
+    def place(x):
+        return ((x ^ x >> 29) * mix[3] % whole) >> (64 - f.bits)
+
+    words = f.words(text) if text else []
+    forms = [[zlib.crc32(f"{k}{x}".encode()) for k, x in enumerate(f.forms(word))] for word in words]
+    found = [place(x * mix[0] % whole) for word in forms for x in word]
+    first = [word[0] for word in forms]
+    for k, gap in enumerate(f.gaps):
+        for i in range(len(first) - gap[-1]):
+            x = (first[i] * mix[1] + k + 1) % whole
+            for g in gap:
+                x = ((x ^ x >> 31) * mix[2] + first[i + g]) % whole
+            found.append(place(x))
+            if gap == (1,) and first[i] == first[i + 1]:
+                found.append(place(mix[2]))
+    for feature, n in Counter(found).items():
+        total += weights.get(feature, 0.0) * ((n / len(found)) ** 0.5 if f.share else 1.0)
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
+
+
+@pytest.mark.parametrize("module, query, fit, remainder", [(toxicity, toxicity.op4_toxicity, toxicity.fit_toxicity, (3, 1)),
+                                                           (quality_classifier, quality_classifier.op10_quality_classifier, quality_classifier.fit_quality, (4, 2))])
+def test_whole_query_against_plain_loops(spark, module, query, fit, remainder):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    held = lambda i: zlib.crc32(str(i).encode()) % remainder[0] == remainder[1]
+    seen = [r["doc_id"] for r in labels.select("doc_id").collect() if not held(r["doc_id"])]
+    model = fit(docs, labels.where(labels.doc_id.isin(seen)))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = query(spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = naive_score(model, texts[r["doc_id"]])
+        assert r["score"] == pytest.approx(want, abs=1e-5) and r["held_out"] == held(r["doc_id"]) and r["predicted"] == int(r["score"] >= 0.7)
+
+
+def test_sample_is_bounded_in_rows_and_bytes(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "repeat('word ', 20 + cast(id % 7 as int)) as text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as label")
+    rows = ftrl.sample(docs, labels, "doc_id", "text", 100, 1 << 20).collect()
+    assert len(rows) == 100 and sum(r["label"] for r in rows) == 50
+    few = ftrl.sample(docs, labels, "doc_id", "text", 100, 4000).collect()
+    sizes = [sum(len(r["text"]) for r in few if r["label"] == y) for y in (0, 1)]
+    assert all(1500 < s <= 2000 for s in sizes) and {r["id"] for r in few} <= {r["id"] for r in rows}
+
+
 def test_features_stay_within_their_text():
     table = ftrl.WordTable(toxicity.forms)
     alone, _ = toxicity.FEATURES.split(["a b c"], table)

@@ -73,3 +73,8 @@ def test_kept_rows(spark, messy, empty):
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
         (r["doc_id"], r["text"]) for r in messy.collect() if not brute(r["text"])[-1])
     assert q.kept_rows(empty, labels).count() == 0 and q.kept_rows(messy, labels.where("false")).count() == kept.count()
+
+
+def test_query_has_no_python_in_its_plan(spark):
+    plan = q.op6_quality_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "ExistingRDD"))

@@ -6,6 +6,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -28,7 +29,7 @@ def duck():
 
 def test_all_are_registered():
     names = E.queries()
-    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)) and "pipeline" in names
+    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)) and "pipeline" in names
     assert set(SQL) <= set(QUERIES) and corpus_pipeline.ORACLE_SQL is None
 
 
@@ -77,3 +78,19 @@ def test_stages_take_messy_and_empty_documents(spark, messy, empty):
         assert stage(spark, messy, SF).columns == messy.columns, name
         assert stage(spark, empty, SF).count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, empty, SF).count() == 0
+
+
+def test_pipeline_runs_over_messy_documents(spark, messy, tmp_path):
+    import hashlib
+    kept = messy.where("doc_id is not null").dropDuplicates(["doc_id"]).withColumn("text", F.concat_ws("\n", "text", F.lit(PLAIN), F.col("doc_id")))
+    both = messy.unionByName(kept)
+    both.write.parquet(str(tmp_path / "documents.parquet"))
+    for t in ("labels", "benchmark"):
+        os.symlink(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    digests = {(r["doc_id"], hashlib.sha256((r["text"] or "").encode()).hexdigest()) for r in both.collect()}
+    assert got and all((r["doc_id"], r["decoded_sha256"]) in digests and len(r["ids"]) == r["n_tokens"] for r in got)
+
+
+# more words than the least, none of them repeated
+PLAIN = " ".join(f"{a}{b}" for a in ("ber", "lam", "tor", "vin", "sel", "quo", "dra", "fen") for b in ("ist", "um", "ale", "ora", "ende", "ing", "eau"))
