@@ -27,7 +27,7 @@ from telvault.plans import contracts
 from telvault.plans.silver import Windows, build_silver, customer_360, support_posture
 from telvault.schemas import COLUMN_TESTS, RELATIONSHIPS, RISK_BANDS, SCHEMAS, SOURCE_TESTS
 from telvault.session import apply_runtime_conf, checkpoint_dir, materialize
-from telvault.sinks import publish
+from telvault.sinks import publish, readback
 from telvault.sources import days, files, fingerprints, footers, generations
 from telvault.sources.star import BILLING_AS_OF, EVENT_AS_OF, StarSource
 
@@ -320,6 +320,38 @@ def q_published_accounts(spark, sf_dir):
     return spark.table(name)
 
 
+ACCOUNT_COMMENTS = {"account_id": "Key of the account", "account_number": "Number on the bill", "status": "State of the account"}
+ACCOUNT_TAGS = {"account_number": "pii", "account_id": "internal"}
+
+
+def q_catalogue_drift(spark, sf_dir):
+    """Accounts published with comments, tags and a layout, drifted by hand and rebuilt: the catalogue against the contract."""
+    name = publish.target_name("account", "default", None, f"account_{uuid.uuid4().hex}")
+    account = _star(spark, sf_dir).table("account")
+    ported = publish.with_comments(catalog.tag_columns(account, ACCOUNT_TAGS), ACCOUNT_COMMENTS)
+    publish.publish(ported, name, "amend-and-build", partition_by="account_type")
+    publish.comment_table(spark, name, "Accounts of the customer's party")
+    contract = readback.TableContract(ported.schema, "Accounts of the customer's party", partitions=("account_type",))
+    readback.assert_as_declared(readback.catalogue_drift(spark, name, contract))
+    publish.comment_table(spark, name, columns={"status": "Changed by hand"})
+    publish.publish(account.withColumn("tier", F.upper("account_type")), name, "amend-and-build", partition_by="account_type")
+    return readback.catalogue_drift(spark, name, contract).join(readback.filled(spark.table(name)), "object", "left")
+
+
+def q_landing_manifest(spark, sf_dir):
+    """Invoices and charges landed as CSV: two manifests of their files, by plain digests and by ranges, each verified."""
+    star, root, tables = _star(spark, sf_dir), _bronze_dir(spark), ["invoice", "invoice_charge"]
+    for t in tables:
+        files.write_landing_csv(star.table(t), f"{root}/{t}")
+    checks = []
+    for chunk_bytes in (None, 1 << 20):
+        declared = materialize(files.file_manifest(spark, root, tables, chunk_bytes=chunk_bytes))
+        found = files.file_manifest(spark, root, tables, chunk_bytes=chunk_bytes, tasks=3)
+        checks.append(quality.verify_manifest(declared, found).select("*", F.lit("plain" if chunk_bytes is None else "ranges").alias("digests")))
+    return (quality.union_all(checks).groupBy("table_name", "digests")
+            .agg(F.sum("actual_rows").alias("rows"), F.bool_and("passed").alias("passed")))
+
+
 def q_invoice_differences(spark, sf_dir):
     """Invoices against a written copy with rows lost, changed and doubled: where the two differ."""
     invoice = _star(spark, sf_dir).table("invoice")
@@ -401,6 +433,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_statistics": q_bronze_statistics, "bronze_reload": q_bronze_reload,
         "test_sources": q_test_sources, "usage_5d": q_usage_5d, "metrics_across_models": q_metrics_across_models,
         "published_accounts": q_published_accounts, "invoice_differences": q_invoice_differences,
+        "catalogue_drift": q_catalogue_drift, "landing_manifest": q_landing_manifest,
     })
     out.update(POSTURE_PARTS)
     out.update(LLM_QUERIES)

@@ -747,6 +747,22 @@ INVOICE_DIFFERENCES = q(f"""SELECT max(invoice_id) AS invoice_id, row_md5, cast(
     FROM invoice, (VALUES (1), (2)) twice(i) WHERE invoice_id NOT LIKE '%77' AND (i = 1 OR invoice_id LIKE '%55')) copy) x
 GROUP BY row_md5 HAVING count_if(side = 's') <> count_if(side = 't')""")
 
+LANDING_MANIFEST = q("""SELECT t.*, digests, true AS passed FROM (SELECT 'invoice' AS table_name, cast(count(*) AS bigint) AS rows FROM invoice UNION ALL
+SELECT 'invoice_charge', count(*) FROM invoice_charge) t, (VALUES ('plain'), ('ranges')) d(digests)""")
+ACCOUNT_STATE = [  # object, property, declared, found, status
+    *[(c, "type", k, k, "ok") for c, k in (("account_id", "string"), ("party_id", "string"), ("account_number", "string"), ("account_type", "string"),
+                                           ("status", "string"), ("created_at", "timestamp_ntz"), ("closed_at", "timestamp_ntz"))],
+    ("account_id", "comment", "Key of the account", "Key of the account", "ok"), ("account_id", "sensitivity", "internal", "internal", "ok"),
+    ("account_number", "comment", "Number on the bill", "Number on the bill", "ok"), ("account_number", "sensitivity", "pii", "pii", "ok"),
+    ("status", "comment", "State of the account", "Changed by hand", "changed"), ("tier", "type", None, "string", "added"),
+    ("(table)", "comment", "Accounts of the customer's party", "Accounts of the customer's party", "ok"),
+    ("(table)", "provider", "parquet", "parquet", "ok"), ("(table)", "partitions", "account_type", "account_type", "ok")]
+_FILLED = " ".join(f"WHEN '{c}' THEN count({c})" for c in ("account_id", "party_id", "account_number", "account_type", "status", "created_at", "closed_at"))
+CATALOGUE_DRIFT = q(" UNION ALL ".join(
+    "SELECT " + ", ".join(f"{_lit(v) if v else 'cast(NULL AS varchar)'} AS {n}" for n, v in zip(("object", "property", "declared", "found", "status"), row))
+    + f", {str(row[4] == 'ok').lower()} AS passed, CASE '{row[0]}' {_FILLED} WHEN 'tier' THEN count(account_type) ELSE count(*) END AS filled FROM account"
+    for row in ACCOUNT_STATE))
+
 DRIFTED = [("PAYMENT_ID", "STRING", True, "string", "0", "ok"), ("INVOICE_ID", "STRING", False, "bigint", "NULL", "retyped"),
            ("AMOUNT_CHF", "NUMBER", False, "decimal(10,2)", "NULL", "ok"), ("CURRENCY", "STRING", False, None, "NULL", "removed"),
            ("payment_method", None, False, "string", "NULL", "added")]
@@ -782,6 +798,7 @@ def oracle_sql_extra() -> dict[str, str]:
         "test_sources": TEST_SOURCES, "usage_5d": USAGE_5D, "metrics_across_models": METRICS_ACROSS,
         "bronze_statistics": BRONZE_STATISTICS, "bronze_reload": BRONZE_RELOAD, "published_accounts": PUBLISHED_ACCOUNTS,
         "invoice_differences": INVOICE_DIFFERENCES, "table_fingerprints_portable": FINGERPRINTS_PORTABLE, "dq_bounds": UPPER_RULES, "schema_drift": SCHEMA_DRIFT,
+        "landing_manifest": LANDING_MANIFEST, "catalogue_drift": CATALOGUE_DRIFT,
         "landing_csv": LANDING_CSV, "bronze_load_report": LOAD_REPORT,
     }
     out.update(POSTURE_PARTS_SQL)

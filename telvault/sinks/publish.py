@@ -60,8 +60,8 @@ def staged_replace(df: DataFrame, name: str, fmt: str = "parquet", partition_by=
 
     The new version is a table of its own until it is complete and holds as many rows as were written; a
     failure up to then leaves the old rows as they are, and removes the attempt from the catalogue. The switch is
-    one catalogue change, of the location, if schema and layout stay; else the old table gives its name to the
-    complete new one. ``df`` may read ``name`` itself.
+    one catalogue change, of the location, if schema and layout stay; else the old table gives its name, and its
+    comment, to the complete new one. ``df`` may read ``name`` itself.
     """
     spark = df.sparkSession
     schema, _, table = name.rpartition(".")
@@ -86,6 +86,8 @@ def staged_replace(df: DataFrame, name: str, fmt: str = "parquet", partition_by=
         spark.sql(f"REFRESH TABLE {name}")
         spark.sql(f"DROP TABLE {version}")  # of the entry: its files are at the location that ``name`` has now
     else:
+        comment = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Comment'").select("data_type").collect()
+        comment_table(spark, version, comment[-1][0] if comment else None)
         spark.sql(f"DROP TABLE {name}")
         spark.sql(f"ALTER TABLE {version} RENAME TO {name}")
 
@@ -149,7 +151,8 @@ def publish(df: DataFrame, name: str, mode: str = "amend-and-build", allow_data_
       * ``replace``: drop and recreate empty; destructive, so an existing
         table needs ``allow_data_loss=True``.
     ``*-and-build`` modes then (re)build the rows: ``amend-and-build``
-    replaces the rows of the amended table; ``replace-and-build``
+    replaces the rows of the amended table, whose columns keep the comments
+    and tags that ``df`` does not set anew; ``replace-and-build``
     replaces table and schema with ``df``. Rows are replaced by a staged
     write and a switch (``staged_replace``), so a failed job loses none.
     Returns the schema diff against the table as it was.
@@ -181,7 +184,8 @@ def publish(df: DataFrame, name: str, mode: str = "amend-and-build", allow_data_
     if mode == "amend-and-build":
         target_cols = spark.table(name).columns
         lower = {c.lower(): c for c in df.columns}
-        rows = df.select(*[F.col(lower[c.lower()]).alias(c) for c in target_cols])
+        known = {f.name: f.metadata for f in spark.table(name).schema.fields}
+        rows = df.select(*[F.col(lower[c.lower()]).alias(c, metadata=known[c] | df.schema[lower[c.lower()]].metadata) for c in target_cols])
         had = _layout(spark, name)
         buckets = (int(had["Num Buckets"]), had["Bucket Columns"].strip("[]`")) if had["Num Buckets"] else None
         if buckets and "`" in buckets[1]:  # several columns: the rows are inserted into the table as it is laid out
@@ -200,7 +204,7 @@ def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
 def comment_table(spark: SparkSession, name: str, comment: str | None = None,
                   columns: dict[str, str] | None = None) -> None:
     """Persist table and column comments on a catalog table."""
-    esc = lambda s: s.replace("'", "\\'")
+    esc = lambda s: s.replace("\\", "\\\\").replace("'", "\\'")
     if comment is not None:
         spark.sql(f"COMMENT ON TABLE {name} IS '{esc(comment)}'")
     for c, text in (columns or {}).items():

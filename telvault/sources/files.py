@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telvault.schemas import SCHEMAS
-from telvault.sources import generations
+from telvault.sources import chunks, generations
 
 # --- fixed values: landing file format -----------------------------------------
 NULL_TOKEN = "\\N"
@@ -112,26 +112,23 @@ def ingest(streams: dict[str, DataFrame | Callable[[], DataFrame]], sink_dir: st
     return spark.createDataFrame([(t, n, f"{folder}/{t}") for t, n in rows.items()], "table_name string, rows bigint, path string")
 
 
-def file_manifest(spark: SparkSession, root: str, tables: list[str], fmt: str = "csv") -> DataFrame:
-    """Manifest of landed files: (table_name, file, bytes, sha256, rows, columns).
+def file_manifest(spark: SparkSession, root: str, tables: list[str], fmt: str = "csv", chunk_bytes: int | None = None,
+                  tasks: int | None = None) -> DataFrame:
+    """Manifest of landed files: (table_name, file, bytes, sha256, rows, columns), one row per file.
 
-    Hash over file bytes (``binaryFile``), one row per file; row counts come
-    from one typed scan per table using ``input_file_name``. Suited to
-    landing-sized files; for very large tables prefer the content fingerprint
-    of ``sources.fingerprints`` over the parsed rows.
+    ``sha256`` is the plain digest of a file's bytes, streamed by one task per file. For files of any
+    size give ``chunk_bytes``: it is then the root over the digests of ranges of that many bytes, which
+    are spread over all tasks (``chunks``); manifests compare if their range sizes are equal. Row counts
+    come from one typed scan per table, by the name of the file.
     """
     frames = []
     for t in tables:
         path = os.path.join(root, t)
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").load(path)
-                 .select(F.col("path").alias("file"), F.col("length").alias("bytes"),
-                         F.sha2(F.col("content"), 256).alias("sha256")))
+        digests = chunks.file_digests(chunks.list_files(spark, path, fmt), chunk_bytes, tasks)
         data = read_landing_csv(spark, path, t) if fmt == "csv" else spark.read.parquet(path)
-        # URIs differ in form between the two readers (file:/ vs file:///): key on the name
-        counts = (data.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("__name"))
-                  .groupBy("__name").agg(F.count(F.lit(1)).alias("rows")))
-        files = files.withColumn("__name", F.element_at(F.split("file", "/"), -1))
-        frames.append(files.join(counts, "__name", "left")
+        counts = data.groupBy(F.col("_metadata.file_name").alias("__name")).agg(F.count(F.lit(1)).alias("rows"))
+        digests = digests.withColumn("__name", F.element_at(F.split("file", "/"), -1))
+        frames.append(digests.join(counts, "__name", "left")
                       .select(F.lit(t).alias("table_name"), "file", "bytes", "sha256",
                               F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
                               F.lit(",".join(SCHEMAS[t].fieldNames())).alias("columns")))
