@@ -186,6 +186,16 @@ def q_landing_csv(spark, sf_dir):
     return _portable(files.read_landing_csv(spark, path, "invoice_charge"))
 
 
+def q_landing_csv_empty(spark, sf_dir):
+    """The interactions, landed with empty outcomes where no service is named, and read back with empty fields kept.
+    The landing format has whole seconds."""
+    path = f"{_bronze_dir(spark)}/customer_interaction"
+    rows = _star(spark, sf_dir).table("customer_interaction")
+    rows = rows.withColumn("outcome", F.when(F.col("service_id").isNull(), "").otherwise(F.col("outcome")))
+    files.write_landing_csv(rows, path, quote_empty=False)
+    return _portable(files.read_landing_csv(spark, path, "customer_interaction", keep_empty=True))
+
+
 def q_freshness(spark, sf_dir):
     return quality.freshness(_star(spark, sf_dir).tables(), contracts.LOADED_AT_FIELDS, EVENT_AS_OF,
                              contracts.SILVER_FRESHNESS_HOURS)
@@ -428,7 +438,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metric_customer_360": q_metric_customer_360, "party_uuid": q_party_uuid,
         "customer_360_rules": q_customer_360_rules,
         "dq_bounds": q_dq_bounds, "schema_drift": q_schema_drift,
-        "landing_csv": q_landing_csv, "bronze_load_report": q_bronze_load_report,
+        "landing_csv": q_landing_csv, "landing_csv_empty": q_landing_csv_empty, "bronze_load_report": q_bronze_load_report,
         "table_fingerprints_portable": q_table_fingerprints_portable,
         "bronze_statistics": q_bronze_statistics, "bronze_reload": q_bronze_reload,
         "test_sources": q_test_sources, "usage_5d": q_usage_5d, "metrics_across_models": q_metrics_across_models,

@@ -772,6 +772,9 @@ SCHEMA_DRIFT = " UNION ALL ".join(
     f"'{st}' AS status, {str(st == 'ok').lower()} AS passed" for n, t, r, a, k, st in DRIFTED)
 LANDING_CSV = q(f"SELECT charge_id, invoice_id, charge_type, charge_description, {_dbl('quantity')}, {_dbl('amount_chf')}, "
                 f"{_DATE('charge_date')} FROM invoice_charge")
+LANDING_CSV_EMPTY = q("SELECT interaction_id, account_id, service_id, channel, interaction_type, "
+                      "CASE WHEN service_id IS NULL THEN '' ELSE outcome END AS outcome, "
+                      "date_trunc('second', interaction_timestamp) AS interaction_timestamp FROM customer_interaction")
 LOAD_REPORT = q(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in (
     "invoice", "invoice_charge", "party", "account", "service", "subscription", "product_offering", "usage_event",
     "customer_interaction", "trouble_ticket")))
@@ -799,7 +802,7 @@ def oracle_sql_extra() -> dict[str, str]:
         "bronze_statistics": BRONZE_STATISTICS, "bronze_reload": BRONZE_RELOAD, "published_accounts": PUBLISHED_ACCOUNTS,
         "invoice_differences": INVOICE_DIFFERENCES, "table_fingerprints_portable": FINGERPRINTS_PORTABLE, "dq_bounds": UPPER_RULES, "schema_drift": SCHEMA_DRIFT,
         "landing_manifest": LANDING_MANIFEST, "catalogue_drift": CATALOGUE_DRIFT,
-        "landing_csv": LANDING_CSV, "bronze_load_report": LOAD_REPORT,
+        "landing_csv": LANDING_CSV, "landing_csv_empty": LANDING_CSV_EMPTY, "bronze_load_report": LOAD_REPORT,
     }
     out.update(POSTURE_PARTS_SQL)
     return out

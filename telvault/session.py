@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,10 +50,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``, for written intermediates.
 
     A cluster names a shared (distributed) folder there; it is only read. Where
-    it is unset (a local session), a folder inside the warehouse is used, which
-    is shared storage too; never a machine's temporary folder.
+    it is unset in a local session, a folder inside the warehouse is used; on a
+    cluster that is an error, for the warehouse may be each machine's own folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (d or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
 
 

@@ -6,8 +6,9 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from telvault.schemas import SCHEMAS
 from telvault.sources import chunks, generations
@@ -24,18 +25,39 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "nullValue": NULL_TO
 CSV_READ_OPTIONS = CSV_OPTIONS | {"mode": "FAILFAST", "enforceSchema": False}
 
 
-def read_landing_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Typed CSV scan of a landing file: header, '"'-quoted, ``\\N`` and empty -> NULL.
+def read_landing_csv(spark: SparkSession, path: str, table: str, keep_empty: bool = False) -> DataFrame:
+    """Typed CSV scan of a landing file: header, '"'-quoted, ``\\N`` and unquoted empty -> NULL.
 
     The declared schema is enforced against the header (``enforceSchema=False``
     checks names) and any malformed value aborts the read (``FAILFAST``).
-    """
-    return spark.read.schema(SCHEMAS[table]).options(**CSV_READ_OPTIONS).csv(path)
-
 
-def write_landing_csv(df: DataFrame, path: str) -> None:
-    """Write a frame in the landing file format (round trip of ``read_landing_csv``)."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    With ``keep_empty`` only ``\\N`` is NULL: an empty field, quoted or not, is
+    the empty text in a text column and malformed in any other. Spark reads
+    unquoted empty fields as NULL before it converts them, so the columns are
+    read as text, where NULL then says "empty", and converted afterwards.
+    """
+    schema = SCHEMAS[table]
+    if not keep_empty:
+        return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    rows = spark.read.schema(text).options(**CSV_READ_OPTIONS | {"nullValue": ""}).csv(path)
+    return rows.select(*[_kept(f) for f in schema])
+
+
+def _kept(f: T.StructField) -> Column:
+    """A declared column from its text, NULL where the field is empty."""
+    said = F.coalesce(F.col(f.name), F.lit(""))
+    value = said if isinstance(f.dataType, T.StringType) else said.try_cast(f.dataType)
+    wrong = F.concat(F.lit(f"malformed {f.dataType.simpleString()} in {f.name}: '"), said, F.lit("'"))
+    return (F.when(said == NULL_TOKEN, F.lit(None)).when(value.isNull(), F.raise_error(wrong).cast(f.dataType))
+            .otherwise(value).cast(f.dataType).alias(f.name))
+
+
+def write_landing_csv(df: DataFrame, path: str, quote_empty: bool = True) -> None:
+    """Write a frame in the landing file format (round trip of ``read_landing_csv``). Empty texts are written as
+    ``""``, or without ``quote_empty`` as nothing; either is read back with ``keep_empty``."""
+    empty = {} if quote_empty else {"emptyValue": ""}
+    df.write.mode("overwrite").options(**CSV_OPTIONS, **empty).csv(path)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,

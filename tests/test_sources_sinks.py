@@ -8,6 +8,7 @@ import pytest
 from telvault.sinks import publish as P
 from telvault.sources import files
 from telvault.schemas import SCHEMAS
+from telvault.session import checkpoint_dir
 
 
 def _party(spark):
@@ -34,6 +35,56 @@ def test_csv_failfast_on_bad_timestamp(spark, tmp_path):
         files.read_landing_csv(spark, str(p), "party").collect()
 
 
+def _care(folder, *lines):
+    folder.mkdir()
+    head = ",".join(SCHEMAS["customer_interaction"].names)
+    (folder / "x.csv").write_text("\n".join([head, *lines]) + "\n")
+    return str(folder)
+
+
+def test_csv_keeps_empty_fields(spark, tmp_path):
+    p = _care(tmp_path / "care", 'i1,a1,\\N,call,,"",2024-01-02 03:04:05', 'i2,a1,"s, 1","say ""hi""","two\tparts",ok,\\N', ",,,,,,\\N")
+    got = files.read_landing_csv(spark, p, "customer_interaction", keep_empty=True)
+    assert got.schema == SCHEMAS["customer_interaction"]
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("", "", "", "", "", "", None), ("i1", "a1", None, "call", "", "", dt.datetime(2024, 1, 2, 3, 4, 5)),
+        ("i2", "a1", "s, 1", 'say "hi"', "two\tparts", "ok", None)]
+    plain = files.read_landing_csv(spark, p, "customer_interaction")
+    assert plain.where("channel = 'call' and service_id is null and interaction_type is null and outcome = ''").count() == 1
+
+
+@pytest.mark.parametrize("line", ["i1,a1,s1,call,x,ok,", 'i1,a1,s1,call,x,ok,""', "i1,a1,s1,call,x,ok,noon"])
+def test_csv_with_empty_fields_kept_refuses_what_is_no_timestamp(spark, tmp_path, line):
+    p = _care(tmp_path / "care", line)
+    with pytest.raises(Exception, match="malformed timestamp_ntz in interaction_timestamp"):
+        files.read_landing_csv(spark, p, "customer_interaction", keep_empty=True).collect()
+
+
+@pytest.mark.parametrize("quote_empty", [True, False])
+def test_csv_round_trip_of_empty_texts(spark, tmp_path, quote_empty):
+    rows = [("c1", "", None, "", 1, 2, dt.date(2024, 1, 2)), ("c2", "i", "t", None, None, None, None), ("", "", "", "", None, None, None)]
+    df = spark.createDataFrame(rows, "charge_id string, invoice_id string, charge_type string, charge_description string, q int, a int, charge_date date")
+    df = df.selectExpr("charge_id", "invoice_id", "charge_type", "charge_description", "cast(q as decimal(12,4)) quantity",
+                       "cast(a as decimal(10,2)) amount_chf", "charge_date")
+    files.write_landing_csv(df, str(tmp_path / "c"), quote_empty=quote_empty)
+    back = files.read_landing_csv(spark, str(tmp_path / "c"), "invoice_charge", keep_empty=True)
+    assert back.schema == SCHEMAS["invoice_charge"] and back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    class Session:
+        def __init__(self, master, **conf):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = {"spark.sql.warehouse.dir": "/wh/"} | conf
+
+    shared = {"spark.checkpoint.dir": "hdfs://x/shared/"}
+    assert checkpoint_dir(Session("local[4]")) == checkpoint_dir(Session("local")) == "/wh/_shared"
+    assert checkpoint_dir(Session("yarn", **shared)) == "hdfs://x/shared"
+    for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1024]", "k8s://https://h"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(Session(master))
+
+
 def test_ingest_report_and_drift_gate(spark, tmp_path):
     rep = files.ingest({"party": _party(spark)}, str(tmp_path / "bronze")).collect()
     assert [(r.table_name, r.rows) for r in rep] == [("party", 2)]
