@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import uuid
 from collections.abc import Callable
 
@@ -16,12 +17,14 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a local session) a folder in the
-    warehouse is used, which is shared storage as well; never a machine's temp
-    folder. Each application has its own subfolder.
+    Only where that setting is absent in a local session (tests) a folder in the
+    warehouse is used; on a cluster that is an error, for the warehouse may be
+    each machine's own folder. Each application has its own subfolder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return f"{base.rstrip('/')}/llm/{spark.sparkContext.applicationId}"
 

@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -57,3 +58,16 @@ def test_crc32_is_that_of_the_decimal_text(spark):
 def test_shared_dir_reads_the_setting(spark):
     assert common.shared_dir(spark).endswith(spark.sparkContext.applicationId)
     assert Counter([common.fresh("a", spark.range(1).withColumnRenamed("id", "A"))]) == Counter(["a_"])
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    class Session:
+        def __init__(self, master, **conf):
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
+            self.conf = {"spark.sql.warehouse.dir": "/wh/"} | conf
+
+    assert common.shared_dir(Session("local[*]")) == common.shared_dir(Session("local")) == "/wh/_shared/llm/app"
+    assert common.shared_dir(Session("yarn", **{"spark.checkpoint.dir": "hdfs://x/shared/"})) == "hdfs://x/shared/llm/app"
+    for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1024]", "k8s://https://h"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            common.shared_dir(Session(master))

@@ -1,4 +1,6 @@
 import itertools
+import re
+import zlib
 
 import numpy as np
 
@@ -38,12 +40,46 @@ def test_long_chain_does_not_depend_on_blocks(monkeypatch):
 
 def test_held_out_documents(spark):
     rows = langid.op5_langid(spark, SF)
-    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang", "text")
     assert rows.count() == docs.count()
     held = rows.join(docs, "doc_id").where(r"held_out and lang is not null and (lang_pred <> 'und' or text rlike '\\p{L}')").toPandas()
     assert len(held) > 100 and (held["lang"] == held["lang_pred"]).mean() >= 0.97
 
 
+def naive_label(model, text):
+    """(language, score) by forward-backward over the words of one text, one after the other, in logarithms."""
+    used, weights, moves, begin, members = model.parts.value
+    theta = dict(zip(used.tolist(), weights))
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    if not words:
+        return "und", 0.0
+    none = np.zeros(len(model.languages))
+    hashed = [langid.features(w) + ([(1 << langid.BITS) + members[w]] if w in members else []) for w in words]
+    e = np.array([sum((theta.get(f, none) for f in h), none) for h in hashed])
+    ahead, behind = [begin + e[0]], [none]
+    for t in range(1, len(words)):
+        ahead.append(np.logaddexp.reduce(ahead[-1][:, None] + moves, axis=0) + e[t])
+    for t in range(len(words) - 1, 0, -1):
+        behind.append(np.logaddexp.reduce(moves + (e[t] + behind[-1])[None, :], axis=1))
+    both = np.array(ahead) + np.array(behind[::-1])
+    sums = np.exp(both - np.logaddexp.reduce(both, axis=1, keepdims=True)).sum(axis=0)
+    return model.languages[int(sums.argmax())], sums.max() / len(words)
+
+
+def test_whole_query_against_plain_loops(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    held = {r["doc_id"]: zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in docs.select("doc_id").collect()}
+    model = langid.fit_languages(docs.where(docs.doc_id.isin([i for i, h in held.items() if not h])))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = langid.op5_langid(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for r in got:
+        lang, score = naive_label(model, texts[r["doc_id"]])
+        assert (r["lang_pred"], r["held_out"]) == (lang, held[r["doc_id"]])
+        np.testing.assert_allclose(r["score"], score, atol=1e-6)
+
+
 def test_words_of_code_switched_text(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.fit_languages(docs)
