@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +28,9 @@ from telvault.llm.common import give_back, hold, quoted, shared_table
 
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 CACHED = 200_000  # words of a worker's cache
-SLICE = 1 << 20  # bytes of text that a worker splits at a time
+SLICE = 1 << 18  # bytes of text that a worker splits at a time
 MOST_BYTES = 64 << 20  # of text that a model is fitted on
+BLOCK = 1 << 18  # coordinates that are looked up at a time
 
 
 class WordTable(dict):
@@ -120,22 +122,43 @@ class Rates:
 
 
 def fit(examples: list[tuple[np.ndarray, np.ndarray, float]], size: int, rates: Rates) -> tuple[np.ndarray, np.ndarray, float]:
-    """``fit_flat`` of (coordinates, values, label) tuples."""
-    flat = lambda k, kind: np.concatenate([e[k] for e in examples]).astype(kind) if examples else np.zeros(0, kind)
-    ends = np.cumsum([len(e[0]) for e in examples], dtype=np.int64)
-    return fit_flat(flat(0, np.int32), flat(1, np.float32), ends, np.array([e[2] for e in examples], np.float32), size, rates)
-
-
-def fit_flat(at: np.ndarray, x: np.ndarray | None, ends: np.ndarray, labels: np.ndarray, size: int, rates: Rates) -> tuple[np.ndarray, np.ndarray, float]:
-    """(coordinates, weights, bias) from the examples' coordinates and values (None: all 1), one after the other, and where
-    each example ends. The bias is coordinate ``size``, without L1. Examples weigh so that both labels count alike, a
-    rare one ten times at most. Passes: ``epochs``, or as many as ``steps`` examples take, within ``most_epochs``."""
-    seen = np.bincount(at, minlength=size + 1)
-    seen[size] = rates.least_texts
-    kept = seen[at] >= rates.least_texts
-    ends = np.concatenate([[0], np.cumsum(kept)])[ends] if len(ends) else ends
-    at, x = at[kept], None if x is None else x[kept]
-    del kept, seen
+    """``fit_parts`` of (coordinates, values, label) tuples."""
+    parts = [(e[0].astype(np.int32), e[1].astype(np.float32)) for e in examples]
+    return fit_parts(parts, [len(e[0]) for e in examples], np.array([e[2] for e in examples], np.float32), size, rates)
+
+
+def frequent(parts: list[tuple[np.ndarray, np.ndarray | None]], sizes: list[int], size: int, least: int) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """The coordinates that at least ``least`` examples have (and ``size``, the bias) and their values, one after the other,
+    and where each example ends. ``parts`` are emptied on the way, so that memory holds little more than the coordinates
+    themselves: indexing by all of them at once would take eight bytes for each, several times over."""
+    seen = np.zeros(size + 1, np.int64)
+    for at, _ in parts:
+        for k in range(0, len(at), BLOCK):
+            seen += np.bincount(at[k:k + BLOCK], minlength=size + 1)
+    often = seen >= least
+    often[size] = True
+    found, values = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
+    ends, counts = [0], iter(sizes)
+    parts.reverse()
+    while parts:
+        at, x = parts.pop()
+        kept = np.concatenate([often[at[k:k + BLOCK]] for k in range(0, max(1, len(at)), BLOCK)])
+        first = 0
+        while first < len(at):
+            n = next(counts)
+            ends.append(ends[-1] + int(np.count_nonzero(kept[first:first + n])))
+            first += n
+        found.append(at[kept])
+        if x is not None:
+            values.append(x[kept])
+    return np.concatenate(found), np.concatenate(values) if len(values) > 1 else None, ends[1:]
+
+
+def fit_parts(parts: list[tuple[np.ndarray, np.ndarray | None]], sizes: list[int], labels: np.ndarray, size: int, rates: Rates) -> tuple[np.ndarray, np.ndarray, float]:
+    """(coordinates, weights, bias) from ``parts``, which hold whole examples' coordinates and values (None: all 1) one after
+    the other and are emptied, and the examples' ``sizes``. The bias is coordinate ``size``, without L1. Examples weigh so
+    that both labels count alike, a rare one ten times at most. Passes: ``epochs``, or as many as ``steps`` examples take, within ``most_epochs``."""
+    at, x, ends = frequent(parts, sizes, size, rates.least_texts)
     ones = float(labels.sum())
     weight = [min(10.0, len(labels) / (2 * max(1, c))) if len(labels) else 1.0 for c in (len(labels) - ones, ones)]
     epochs = max(rates.epochs, min(rates.most_epochs, -(-rates.steps // max(1, len(labels)))))
@@ -146,7 +169,7 @@ def fit_flat(at: np.ndarray, x: np.ndarray | None, ends: np.ndarray, labels: np.
     def weights(z, n, l1):
         return np.where(np.abs(z) <= l1, 0.0, (np.sign(z) * l1 - z) / ((rates.beta + np.sqrt(n)) / rates.alpha + rates.l2))
 
-    spans = [slice(a, b) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+    spans = [slice(a, b) for a, b in zip([0, *ends[:-1]], ends)]
     for _ in range(epochs):
         for span, y in zip(spans, labels.tolist()):
             c = at[span]
@@ -251,20 +274,16 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, featur
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("fit")  # not what scoring left
-        at, x, sizes, labels = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)], [], []
-        for b in batches:
-            for f, v in zip(b.column(2), b.column(3)):
-                at.append(np.frombuffer(f.as_py(), np.int32))
-                sizes.append(len(at[-1]))
-                if features.share:
-                    x.append(np.frombuffer(v.as_py(), np.float32))
-            labels += b.column(1).to_pylist()
-        values = np.concatenate(x) if features.share else None
-        del x
-        at = np.concatenate(at)
-        at, w, bias = fit_flat(at, values, np.cumsum(sizes, dtype=np.int64), np.array(labels, np.float32), size, rates)
+        parts, sizes, labels = [], [], []
+        flat = lambda c, kind: np.frombuffer(b"".join(c.to_pylist()), kind)
+        for batch in batches:
+            for b in pieces_of(batch, SLICE):
+                parts.append((flat(b.column(2), np.int32), flat(b.column(3), np.float32) if features.share else None))
+                sizes += [n // 4 for n in pc.binary_length(b.column(2)).to_pylist()]
+                labels += b.column(1).to_pylist()
+        batch = b = None  # the last one may be as large as all parts
+        at, w, bias = fit_parts(parts, sizes, np.array(labels, np.float32), size, rates)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(w, bias), pa.float64())], names=["at", "weight"])
-        del values
         give_back()
 
     packed = shared_table(rows.mapInArrow(pack, "at long, label int, features binary, shares binary"), "features")

@@ -87,6 +87,22 @@ def naive_score(model, text):
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
 
 
+def test_fit_holds_little_more_than_its_coordinates():
+    """A sample as large as it may be has 30 million coordinates, which took eight bytes each several times over."""
+    import tracemalloc
+
+    rng, size = np.random.default_rng(1), 1 << 14
+    examples = [(np.append(np.sort(rng.choice(size, 8000, replace=False)), size).astype(np.int32), np.ones(8001, np.float32), float(k % 2))
+                for k in range(400)]
+    tracemalloc.start()
+    at, _, _ = ftrl.fit(examples, size, ftrl.Rates(epochs=1, steps=1, l1=0.0, least_texts=205))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    seen = Counter(c for a, _, _ in examples for c in a[:-1].tolist())
+    assert at.tolist() == sorted(c for c, n in seen.items() if n >= 205)
+    assert peak < 1.5 * sum(a.nbytes + x.nbytes for a, x, _ in examples)
+
+
 @pytest.mark.parametrize("module, query, fit, remainder", [(toxicity, toxicity.op4_toxicity, toxicity.fit_toxicity, (3, 1)),
                                                            (quality_classifier, quality_classifier.op10_quality_classifier, quality_classifier.fit_quality, (4, 2))])
 def test_whole_query_against_plain_loops(spark, module, query, fit, remainder):
