@@ -154,6 +154,28 @@ def test_customer_360_priority_and_counts(spark):
     assert (r[0].subscription_count, r[0].active_service_count, r[0].high_risk_flag) == (2, 1, False)
 
 
+def test_customer_360_computes_each_part_once(spark, tmp_path):
+    """The composed core is ranked once, charges alike are written once, and no satellite's hash is written for a mart."""
+    from telvault.plans.silver import Windows, prepare
+
+    ins = inputs(
+        spark,
+        account=[dict(account_id=a, party_id=a, account_number="N", status="active") for a in ("a1", "a2")],
+        service=[dict(service_id=s, account_id="a1", status=x) for s, x in (("s1", "active"), ("s2", "active"), ("s3", None), (None, "active"))],
+        subscription=[dict(subscription_id=u, service_id=s) for u, s in (("u1", "s1"), ("u2", "s1"), ("u2", "s2"), ("u3", "s3"))],
+    )
+    both = prepare([build_silver(ins, AS_OF, materialize=True),
+                    build_silver(ins, AS_OF, windows=Windows(interactions=3, tickets=10), materialize=True)])
+    assert both[0].charges is both[1].charges and "hashdiff" not in both[0].mart_health.columns
+    assert set(both[0].mart_health.columns) == set(marts.HEALTH_COLUMNS)
+    cores = [p.subscriber360_core.where("account_number <> 'core_marker'") for p in both]
+    df = marts.customer_360(cores, [p.health_scorecard for p in both])
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("core_marker") == len(cores)
+    r = df.collect()
+    # s1 has two subscriptions and counts once; u2 is held by two services and counts once; no service is null
+    assert [(x.account_id, x.subscription_count, x.active_service_count) for x in r] == [("a1", 3, 2)]
+
+
 def test_wildcard_hot_group(spark):
     """One account with most services: every service gets the NULL-group row once."""
     svc = spark.createDataFrame([(f"s{i}", "hot" if i < 300 else f"a{i}") for i in range(320)],
