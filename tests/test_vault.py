@@ -176,6 +176,15 @@ def test_customer_360_computes_each_part_once(spark, tmp_path):
     assert [(x.account_id, x.subscription_count, x.active_service_count) for x in r] == [("a1", 3, 2)]
 
 
+def test_satellite_forms_its_hash_key_after_the_joins(spark):
+    ins = inputs(spark, service=[dict(service_id="s1", account_id="a1", status="active"), dict(service_id=None, account_id="a1")])
+    sat = build_silver(ins, AS_OF).sat_service_support_health
+    plan = sat._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("hk_service" in line for line in plan.splitlines()) == 1
+    md5 = {s: spark.range(1).select(F.md5(F.lit(s or ""))).first()[0] for s in ("s1", None)}
+    assert {r.service_id: r.hk_service for r in sat.collect()} == md5
+
+
 def test_wildcard_hot_group(spark):
     """One account with most services: every service gets the NULL-group row once."""
     svc = spark.createDataFrame([(f"s{i}", "hot" if i < 300 else f"a{i}") for i in range(320)],
